@@ -198,7 +198,8 @@ class Fixtures:
             F.lit("\nNo data value: -9999\n"),
         )
         return o.select(
-            (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("t"), content.alias("content")
+            (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("bigint").alias("t"),
+            content.alias("content")
         ).distinct()
 
     @cached_property
