@@ -7,12 +7,15 @@ quadrants that found one (p = 1 by default), NULL if none.  Valid cells are
 left alone; only original valid cells are used as sources.
 
 Plan: a window per (t, c) ordered by r gives, for every cell, the nearest
-valid cell at-or-above and below in its own column.  Each NULL cell is
-exploded onto the 2D+1 columns c+dx and joined on (t, r, c+dx) to those
-column neighbours: that yields exactly the one candidate per (dx, side)
-that can be nearest in its quadrant, i.e. 2(2D+1) candidates instead of a
-(2D+1)^2 box.  The quadrant minimum is an aggregate of structs (distance^2,
-|dx|, v), which Spark combines map-side.  Nothing is collected per grid.
+valid cell at-or-above and below in its own column.  Within a quadrant and
+a column offset dx only that cell can be the nearest, so a NULL cell needs
+just the 2(2D+1) candidates of columns c-D .. c+D instead of a (2D+1)^2 box.
+A second window per (t, r) ordered by c fetches, for each offset k in
+-D .. D, column c+k's pair with ``lag`` / ``lead`` (dense lattice); the sign
+of k fixes the quadrant, and ``least`` over structs ordered by (d^2, |dx|)
+picks each quadrant's nearest cell in the same task.  So the whole fill is two sorted shuffles of the grid by
+column and by row, with no join and no exploded copies of the grid.
+Offset frames buffer nothing beyond the row, so no task gathers a group.
 """
 
 from __future__ import annotations
@@ -27,49 +30,84 @@ def column_neighbours(cells: DataFrame, value_col: str = "v", keys=("t",)) -> Da
     w = Window.partitionBy(*keys, "c").orderBy("r")
     hit = F.when(v.isNotNull(), F.struct(F.col("r").alias("vr"), v.alias("vv")))
     return cells.select(
-        *keys, "r", "c",
+        *keys, "r", "c", value_col,
         F.last(hit, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("up"),
         F.first(hit, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("dn"),
     )
 
 
-def nearest_valid(cells: DataFrame, max_distance: int, value_col: str = "v", keys=("t",)) -> DataFrame:
-    """Per NULL cell and quadrant q (0..3): nearest valid cell's value and squared distance.
+def quadrant_picks(cells: DataFrame, max_distance: int, value_col: str = "v", keys=("t",)) -> DataFrame:
+    """Per NULL cell: struct columns p0..p3, the nearest valid cell of each quadrant.
 
-    q = 2*(dx > 0) + (dy > 0).  Output: keys, r, c, q, v, d2, dx, dy.
+    Each pick is (d2, adx, v) or NULL.  For column offset k the candidate of
+    the upper quadrants is the column's nearest valid cell at-or-above, that
+    of the lower ones the nearest below; which quadrant it serves is fixed by
+    the sign of k.  ``lag`` / ``lead`` by k over a window per (t, r) ordered
+    by c fetch column c+k's pair on the dense lattice (a cell whose column is
+    not c+k is ignored), and ``least`` over the (d^2, |dx|, v) structs of a quadrant picks its
+    nearest cell.  All plain column expressions, inside whole-stage codegen.
     """
     D = int(max_distance)
     nb = column_neighbours(cells, value_col, keys)
-    holes = cells.where(F.col(value_col).isNull()).select(
-        *keys, "r", "c", F.explode(F.sequence(F.lit(-D), F.lit(D))).alias("dx"))
-    holes = holes.withColumn("cc", F.col("c") + F.col("dx"))
-    j = holes.join(nb.withColumnRenamed("c", "cc"), on=[*keys, "r", "cc"], how="inner")
-    sides = F.array(
-        F.struct(F.col("up.vr").alias("sr"), F.col("up.vv").alias("sv")),
-        F.struct(F.col("dn.vr").alias("sr"), F.col("dn.vv").alias("sv")),
-    )
-    cand = j.select(*keys, "r", "c", "dx", F.explode(sides).alias("s")).where(F.col("s.sr").isNotNull())
-    cand = cand.select(*keys, "r", "c", "dx", (F.col("s.sr") - F.col("r")).alias("dy"), F.col("s.sv").alias("v"))
-    cand = cand.withColumn("d2", F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")).where(F.col("d2") <= D * D)
-    cand = cand.withColumn("q", F.when(F.col("dx") > 0, 2).otherwise(0) + F.when(F.col("dy") > 0, 1).otherwise(0))
-    best = cand.groupBy(*keys, "r", "c", "q").agg(
-        F.min(F.struct("d2", F.abs("dx").alias("adx"), "v", "dx", "dy")).alias("b"))
-    return best.select(*keys, "r", "c", "q", "b.v", "b.d2", "b.dx", "b.dy")
+    w = Window.partitionBy(*keys, "r").orderBy("c")
+    pair = F.struct(F.col("c").alias("nc"), "up", "dn")
+    offs = list(range(-D, D + 1))
+    at = [(F.lead(pair, k).over(w) if k > 0 else F.lag(pair, -k).over(w) if k < 0 else pair).alias(f"n{k + D}")
+          for k in offs]
+    x = nb.select(*keys, "r", "c", value_col, *at).where(F.col(value_col).isNull())
+    r = F.col("r")
+    quads: list[list] = [[], [], [], []]
+    for k in offs:
+        n = F.col(f"n{k + D}")
+        for side, below in (("up", 0), ("dn", 1)):
+            # the lattice is dense, so offset k is column c+k; the guard keeps it exact otherwise
+            dy = F.when(n["nc"] == F.col("c") + k, n[side]["vr"]) - r
+            d2 = dy * dy + k * k
+            cand = F.when(dy.isNotNull() & (d2 <= D * D),
+                          F.struct(d2.alias("d2"), F.lit(abs(k)).alias("adx"), n[side]["vv"].alias("v")))
+            quads[(2 if k > 0 else 0) + below].append(cand)
+    picks = [(F.least(*q) if len(q) > 1 else q[0]).alias(f"p{i}") for i, q in enumerate(quads)]
+    return x.select(*keys, "r", "c", *picks)
+
+
+def nearest_valid(cells: DataFrame, max_distance: int, value_col: str = "v", keys=("t",)) -> DataFrame:
+    """One row per (NULL cell, quadrant q) that found a source: keys, r, c, q, v, d2.
+
+    q = 2*(dx > 0) + (dy > 0).
+    """
+    p = quadrant_picks(cells, max_distance, value_col, keys)
+    arr = F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"p{q}").alias("p")) for q in range(4)])
+    e = p.select(*keys, "r", "c", F.explode(arr).alias("e")).where(F.col("e.p").isNotNull())
+    return e.select(*keys, "r", "c", "e.q", "e.p.v", "e.p.d2")
+
+
+def _idw(picks, power: float):
+    num, den = F.lit(0.0), F.lit(0.0)
+    for p in picks:
+        wgt = F.pow(F.sqrt(p["d2"].cast("double")), F.lit(-power))
+        num = num + F.coalesce(p["v"] * wgt, F.lit(0.0))
+        den = den + F.coalesce(wgt, F.lit(0.0))
+    return F.when(den > 0, F.round(num / den, 6))
 
 
 def idw_average(picks: DataFrame, power: float = 1.0, keys=("t",)) -> DataFrame:
     """Inverse-distance weighted mean of the quadrant picks per cell (rounded to 6 places)."""
-    w = F.pow(F.sqrt(F.col("d2").cast("double")), F.lit(-power))
-    return picks.groupBy(*keys, "r", "c").agg(
-        F.round(F.sum(F.col("v") * w) / F.sum(w), 6).alias("v_fill"))
+    cols = [F.col(f"p{q}") for q in range(4)]
+    out = picks.select(*keys, "r", "c", _idw(cols, power).alias("v_fill"))
+    return out.where(F.col("v_fill").isNotNull())
 
 
 def fill_nodata(cells: DataFrame, max_distance: int = 35, value_col: str = "v",
                 keys=("t",), power: float = 1.0) -> DataFrame:
-    """Whole grid with NULL cells filled where a source lies within ``max_distance``."""
-    filled = idw_average(nearest_valid(cells, max_distance, value_col, keys), power, keys)
-    out = cells.select(*keys, "r", "c", value_col).join(filled, on=[*keys, "r", "c"], how="left")
-    return out.select(*keys, "r", "c", F.coalesce(F.col(value_col), F.col("v_fill")).alias(value_col))
+    """Whole grid with NULL cells filled where a source lies within ``max_distance``.
+
+    Valid cells pass straight through and the filled NULL cells are unioned
+    back, so the input is not joined with its own result.
+    """
+    valid = cells.where(F.col(value_col).isNotNull()).select(*keys, "r", "c", value_col)
+    picks = quadrant_picks(cells, max_distance, value_col, keys)
+    filled = picks.select(*keys, "r", "c", _idw([F.col(f"p{q}") for q in range(4)], power).alias(value_col))
+    return valid.unionByName(filled)
 
 
 # --------------------------------------------------------------------- oracle

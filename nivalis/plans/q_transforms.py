@@ -138,7 +138,7 @@ def nearest_valid_join(spark, sf_dir):
 @register("idw_average", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *FL.sql_fill("swe_raw", FILL_DISTANCE, "f")],
                                   "select t, r, c, v_fill from f_idw"))
 def idw_average(spark, sf_dir):
-    return FL.idw_average(FL.nearest_valid(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE))
+    return FL.idw_average(FL.quadrant_picks(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE))
 
 
 @register("fill_nodata", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *FL.sql_fill("swe_raw", FILL_DISTANCE, "f")],
