@@ -140,7 +140,11 @@ class Fixtures:
     @cached_property
     def notice(self) -> DataFrame:
         """Object keys with URL escapes (``v_notice``)."""
-        ev = self.t("events")
+        return self.notice_of(self.t("events"))
+
+    @staticmethod
+    def notice_of(ev: DataFrame) -> DataFrame:
+        """``v_notice`` rows for an events relation (batch or stream)."""
         return ev.select(
             "event_id", "ts",
             F.concat(
@@ -176,7 +180,11 @@ class Fixtures:
     @cached_property
     def productfile(self) -> DataFrame:
         """Registry candidates (``v_productfile``)."""
-        o = self.t("orders")
+        return self.productfile_of(self.t("orders"))
+
+    @staticmethod
+    def productfile_of(o: DataFrame) -> DataFrame:
+        """``v_productfile`` rows for an orders relation (batch or stream)."""
         return o.select(
             F.col("o_orderkey").alias("file_id"),
             (F.col("o_custkey") % 10).cast("int").alias("product_id"),
