@@ -253,3 +253,12 @@ union all select file_id, product_id, datetime, version from inserts"""))
 def registry_stream(spark, sf_dir):
     from ..streaming.registry import run_registry_stream
     return run_registry_stream(spark, sf_dir)
+
+
+@register("zone_scan", sql_ctes(("v_zone",), [], "select z, cast(i as int) as i, x, y from v_zone"))
+def zone_scan(spark, sf_dir):
+    """Zones published as WKT text (one per nation triangle), parsed back into vertices."""
+    from ..sources.zones import vertices_to_wkt, wkt_to_vertices
+    wkt = vertices_to_wkt(Fixtures(spark, sf_dir).zones)
+    v = wkt_to_vertices(wkt, "wkt", ("z",))
+    return v.where(F.col("ring") == 0).select("z", F.col("i").cast("int").alias("i"), "x", "y")
