@@ -12,7 +12,7 @@ a column offset dx only that cell can be the nearest, so a NULL cell needs
 just the 2(2D+1) candidates of columns c-D .. c+D instead of a (2D+1)^2 box.
 A second window per (t, r) ordered by c fetches, for each offset k in
 -D .. D, column c+k's pair with ``lag`` / ``lead`` (dense lattice); the sign
-of k fixes the quadrant, and ``least`` over structs ordered by (d^2, |dx|)
+of k fixes the quadrant, and ``least`` over long keys d^2 * 2^20 + |dx|
 picks each quadrant's nearest cell in the same task.  So the whole fill is two sorted shuffles of the grid by
 column and by row, with no join and no exploded copies of the grid.
 Offset frames buffer nothing beyond the row, so no task gathers a group.
@@ -25,49 +25,69 @@ from pyspark.sql import functions as F
 
 
 def column_neighbours(cells: DataFrame, value_col: str = "v", keys=("t",)) -> DataFrame:
-    """Per cell: nearest valid (r, v) at-or-above (r' <= r) and below (r' > r) in its column."""
+    """Per cell: nearest valid row/value at-or-above (ur, uv; r' <= r) and below (dr, dv; r' > r)."""
     v = F.col(value_col)
     w = Window.partitionBy(*keys, "c").orderBy("r")
-    hit = F.when(v.isNotNull(), F.struct(F.col("r").alias("vr"), v.alias("vv")))
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    dn = w.rowsBetween(1, Window.unboundedFollowing)
+    vr = F.when(v.isNotNull(), F.col("r"))
     return cells.select(
         *keys, "r", "c", value_col,
-        F.last(hit, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("up"),
-        F.first(hit, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("dn"),
+        F.last(vr, ignorenulls=True).over(up).alias("ur"), F.last(v, ignorenulls=True).over(up).alias("uv"),
+        F.first(vr, ignorenulls=True).over(dn).alias("dr"), F.first(v, ignorenulls=True).over(dn).alias("dv"),
     )
 
 
+KEY_SCALE = 1 << 20     # key = d^2 * KEY_SCALE + |dx| orders by distance, then by |dx|
+
+
 def quadrant_picks(cells: DataFrame, max_distance: int, value_col: str = "v", keys=("t",)) -> DataFrame:
-    """Per NULL cell: struct columns p0..p3, the nearest valid cell of each quadrant.
-
-    Each pick is (d2, adx, v) or NULL.  For column offset k the candidate of
-    the upper quadrants is the column's nearest valid cell at-or-above, that
-    of the lower ones the nearest below; which quadrant it serves is fixed by
-    the sign of k.  ``lag`` / ``lead`` by k over a window per (t, r) ordered
-    by c fetch column c+k's pair on the dense lattice (a cell whose column is
-    not c+k is ignored), and ``least`` over the (d^2, |dx|, v) structs of a quadrant picks its
-    nearest cell.  All plain column expressions, inside whole-stage codegen.
+    """Per NULL cell: columns k0..k3 (best key) and v0..v3 (its value) of each quadrant.
+
+    For column offset k the candidate of the upper quadrants is that
+    column's nearest valid cell at-or-above, of the lower ones the nearest
+    below; the quadrant is fixed by the sign of k.  ``lag`` / ``lead`` by k
+    over a window per (t, r) ordered by c fetch column c+k's neighbours on
+    the dense lattice (a row whose column is not c+k is ignored, so the
+    result stays exact on sparse input), ``least`` over the long keys
+    d^2 * 2^20 + |dx| picks the nearest, and its value is fetched by key.
+    All primitive column expressions inside whole-stage codegen.
     """
     D = int(max_distance)
     nb = column_neighbours(cells, value_col, keys)
     w = Window.partitionBy(*keys, "r").orderBy("c")
-    pair = F.struct(F.col("c").alias("nc"), "up", "dn")
-    offs = list(range(-D, D + 1))
-    at = [(F.lead(pair, k).over(w) if k > 0 else F.lag(pair, -k).over(w) if k < 0 else pair).alias(f"n{k + D}")
-          for k in offs]
-    x = nb.select(*keys, "r", "c", value_col, *at).where(F.col(value_col).isNull())
-    r = F.col("r")
-    quads: list[list] = [[], [], [], []]
+    offs = [k for k in range(-D, D + 1)]
+
+    def at(col, k):
+        if k == 0:
+            return F.col(col)
+        return F.lead(col, k).over(w) if k > 0 else F.lag(col, -k).over(w)
+
+    lagged = []
+    for k in offs:
+        for col in ("c", "ur", "uv", "dr", "dv"):
+            lagged.append(at(col, k).alias(f"{col}_{k + D}"))
+    x = nb.select(*keys, "r", "c", value_col, *lagged).where(F.col(value_col).isNull())
+    r, c = F.col("r"), F.col("c")
+    kq: list[list] = [[], [], [], []]
+    vq: list[list] = [[], [], [], []]
     for k in offs:
-        n = F.col(f"n{k + D}")
-        for side, below in (("up", 0), ("dn", 1)):
-            # the lattice is dense, so offset k is column c+k; the guard keeps it exact otherwise
-            dy = F.when(n["nc"] == F.col("c") + k, n[side]["vr"]) - r
+        j = k + D
+        here = F.col(f"c_{j}") == c + k
+        for side, below in (("u", 0), ("d", 1)):
+            dy = F.col(f"{side}r_{j}") - r
             d2 = dy * dy + k * k
-            cand = F.when(dy.isNotNull() & (d2 <= D * D),
-                          F.struct(d2.alias("d2"), F.lit(abs(k)).alias("adx"), n[side]["vv"].alias("v")))
-            quads[(2 if k > 0 else 0) + below].append(cand)
-    picks = [(F.least(*q) if len(q) > 1 else q[0]).alias(f"p{i}") for i, q in enumerate(quads)]
-    return x.select(*keys, "r", "c", *picks)
+            key = F.when(here & dy.isNotNull() & (d2 <= D * D), d2.cast("long") * KEY_SCALE + abs(k))
+            q = (2 if k > 0 else 0) + below
+            kq[q].append(key)
+            vq[q].append((key, F.col(f"{side}v_{j}")))
+    best = [(F.least(*ks) if len(ks) > 1 else ks[0]).alias(f"k{q}") for q, ks in enumerate(kq)]
+    y = x.select(*keys, "r", "c", *best, *[F.col(n) for n in x.columns if n.startswith(("uv_", "dv_", "ur_", "dr_", "c_"))])
+    vals = []
+    for q in range(4):
+        bk = F.col(f"k{q}")
+        vals.append(F.coalesce(*[F.when(key == bk, v) for key, v in vq[q]]).alias(f"v{q}"))
+    return y.select(*keys, "r", "c", *[F.col(f"k{q}") for q in range(4)], *vals)
 
 
 def nearest_valid(cells: DataFrame, max_distance: int, value_col: str = "v", keys=("t",)) -> DataFrame:
@@ -76,25 +96,26 @@ def nearest_valid(cells: DataFrame, max_distance: int, value_col: str = "v", key
     q = 2*(dx > 0) + (dy > 0).
     """
     p = quadrant_picks(cells, max_distance, value_col, keys)
-    arr = F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"p{q}").alias("p")) for q in range(4)])
-    e = p.select(*keys, "r", "c", F.explode(arr).alias("e")).where(F.col("e.p").isNotNull())
-    return e.select(*keys, "r", "c", "e.q", "e.p.v", "e.p.d2")
+    arr = F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"k{q}").alias("k"), F.col(f"v{q}").alias("v"))
+                    for q in range(4)])
+    e = p.select(*keys, "r", "c", F.explode(arr).alias("e")).where(F.col("e.k").isNotNull())
+    return e.select(*keys, "r", "c", "e.q", "e.v", F.floor(F.col("e.k") / KEY_SCALE).cast("int").alias("d2"))
 
 
-def _idw(picks, power: float):
+def _idw(power: float):
     num, den = F.lit(0.0), F.lit(0.0)
-    for p in picks:
-        wgt = F.pow(F.sqrt(p["d2"].cast("double")), F.lit(-power))
-        num = num + F.coalesce(p["v"] * wgt, F.lit(0.0))
+    for q in range(4):
+        d2 = F.floor(F.col(f"k{q}") / KEY_SCALE)
+        wgt = F.pow(F.sqrt(d2.cast("double")), F.lit(-power))
+        num = num + F.coalesce(F.col(f"v{q}") * wgt, F.lit(0.0))
         den = den + F.coalesce(wgt, F.lit(0.0))
     return F.when(den > 0, F.round(num / den, 6))
 
 
 def idw_average(picks: DataFrame, power: float = 1.0, keys=("t",)) -> DataFrame:
     """Inverse-distance weighted mean of the quadrant picks per cell (rounded to 6 places)."""
-    cols = [F.col(f"p{q}") for q in range(4)]
-    out = picks.select(*keys, "r", "c", _idw(cols, power).alias("v_fill"))
-    return out.where(F.col("v_fill").isNotNull())
+    found = F.coalesce(*[F.col(f"k{q}") for q in range(4)]).isNotNull()
+    return picks.where(found).select(*keys, "r", "c", _idw(power).alias("v_fill"))
 
 
 def fill_nodata(cells: DataFrame, max_distance: int = 35, value_col: str = "v",
@@ -106,7 +127,7 @@ def fill_nodata(cells: DataFrame, max_distance: int = 35, value_col: str = "v",
     """
     valid = cells.where(F.col(value_col).isNotNull()).select(*keys, "r", "c", value_col)
     picks = quadrant_picks(cells, max_distance, value_col, keys)
-    filled = picks.select(*keys, "r", "c", _idw([F.col(f"p{q}") for q in range(4)], power).alias(value_col))
+    filled = picks.select(*keys, "r", "c", _idw(power).alias(value_col))
     return valid.unionByName(filled)
 
 
