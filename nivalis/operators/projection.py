@@ -103,21 +103,36 @@ def georef_rules(spark: SparkSession) -> DataFrame:
     return df.withColumn("valid_to", F.lead("valid_from").over(w))
 
 
+def rule_start(date_col: str = "d", dataset_col: str = "dataset", rules=GEOREF_RULES):
+    """``valid_from`` of the rule in force for (dataset, date), as a Column.
+
+    The rule table is fixed data, so its boundaries become a CASE (latest
+    start first); a date before a dataset's first rule takes the first rule.
+    """
+    out = None
+    for ds in sorted({r[0] for r in rules}):
+        starts = sorted({r[1] for r in rules if r[0] == ds}, reverse=True)
+        expr = None
+        for f in starts:
+            lit = F.to_date(F.lit(f))
+            expr = F.when(F.col(date_col) >= lit, lit) if expr is None else expr.when(F.col(date_col) >= lit, lit)
+        expr = expr.otherwise(F.to_date(F.lit(starts[-1])))
+        cond = F.col(dataset_col) == ds
+        out = F.when(cond, expr) if out is None else out.when(cond, expr)
+    return out
+
+
 def georef_asof(df: DataFrame, rules: DataFrame, date_col: str = "d", dataset_col: str = "dataset") -> DataFrame:
     """As-of join: the rule in force for (dataset, date).
 
-    The rule table is fixed-size, so it is broadcast; the dataset equality is
-    the equi key and the date test a filter on the few matching rules.  A date
-    before the first rule of its dataset uses the first rule (the earliest
-    corners were in force then).
+    The start of the rule in force is computed per row (``rule_start``), which
+    turns the interval lookup into an equi join on (dataset, valid_from) with
+    the fixed-size rule table, broadcast.
     """
+    keyed = df.withColumn("_from", rule_start(date_col, dataset_col))
     r = F.broadcast(rules.withColumnRenamed("dataset", "_ds"))
-    first = rules.groupBy("dataset").agg(F.min("valid_from").alias("_first")).withColumnRenamed("dataset", "_ds0")
-    x = df.join(F.broadcast(first), F.col(dataset_col) == F.col("_ds0"), "left")
-    cond = ((F.col(dataset_col) == F.col("_ds"))
-            & ((F.col(date_col) >= F.col("valid_from")) | (F.col("valid_from") == F.col("_first")))
-            & (F.col("valid_to").isNull() | (F.col(date_col) < F.col("valid_to"))))
-    return x.join(r, cond, "left").drop("_ds", "_ds0", "_first")
+    j = keyed.join(r, (F.col(dataset_col) == F.col("_ds")) & (F.col("_from") == F.col("valid_from")), "left")
+    return j.drop("_ds", "_from")
 
 
 def cell_centres(n_rows: int, n_cols: int) -> tuple[Column, Column]:
