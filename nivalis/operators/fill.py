@@ -119,15 +119,21 @@ def idw_average(picks: DataFrame, power: float = 1.0, keys=("t",)) -> DataFrame:
 
 
 def fill_nodata(cells: DataFrame, max_distance: int = 35, value_col: str = "v",
-                keys=("t",), power: float = 1.0) -> DataFrame:
+                keys=("t",), power: float = 1.0, flag: str | None = None) -> DataFrame:
     """Whole grid with NULL cells filled where a source lies within ``max_distance``.
 
     Valid cells pass straight through and the filled NULL cells are unioned
-    back, so the input is not joined with its own result.
+    back, so the input is not joined with its own result.  With ``flag`` a
+    boolean column of that name tells which cells were NULL before the fill.
+    ``keys`` may hold several grids at once (e.g. product and t): they are
+    filled by the same plan, each within its own window partitions.
     """
     valid = cells.where(F.col(value_col).isNotNull()).select(*keys, "r", "c", value_col)
     picks = quadrant_picks(cells, max_distance, value_col, keys)
     filled = picks.select(*keys, "r", "c", _idw(power).alias(value_col))
+    if flag:
+        valid = valid.withColumn(flag, F.lit(False))
+        filled = filled.withColumn(flag, F.lit(True))
     return valid.unionByName(filled)
 
 

@@ -163,13 +163,20 @@ def interpolated_swe_df(fx: Fixtures) -> DataFrame:
     return FL.fill_nodata(lakefixed_swe(fx), FILL_DISTANCE)
 
 
+def restored_fill(raw: DataFrame, swe_i: DataFrame, keys=("t",)) -> DataFrame:
+    """Fill grid(s), then set back to NULL where a cell was nodata and filled SWE is 0.
+
+    The fill flags the cells it filled, so only filled SWE is joined (on t, r, c).
+    """
+    filled = FL.fill_nodata(raw, FILL_DISTANCE, keys=keys, flag="was_null")
+    j = filled.join(swe_i.withColumnRenamed("v", "swe_f"), ["t", "r", "c"])
+    before = F.when(~F.col("was_null"), F.lit(0.0))          # NULL exactly where the input was NULL
+    return j.select(*keys, "r", "c", K.restore_nodata("v", before, "swe_f").alias("v"))
+
+
 def interpolated_restored(fx: Fixtures, col: str, swe_i: DataFrame) -> DataFrame:
-    """Fill a grid, then set back to NULL where it was nodata and filled SWE is 0."""
-    raw = one(fx, col)
-    filled = FL.fill_nodata(raw, FILL_DISTANCE).withColumnRenamed("v", "after")
-    j = filled.join(raw.withColumnRenamed("v", "before"), ["t", "r", "c"]).join(
-        swe_i.withColumnRenamed("v", "swe_f"), ["t", "r", "c"])
-    return j.select("t", "r", "c", K.restore_nodata("after", "before", "swe_f").alias("v"))
+    """Fill one grid, then restore its legitimate nodata by filled SWE."""
+    return restored_fill(one(fx, col), swe_i)
 
 
 _SQL_SWE_F = [_SQL_G, SQL_LAKEFIX, *FL.sql_fill("swe_in", FILL_DISTANCE, "swe_f")]
@@ -236,15 +243,22 @@ def interpolated_coldcontent(spark, sf_dir):
 def interpolate_all(fx: Fixtures, shared: bool = True) -> DataFrame:
     """All five interpolated products for every time step, one long table.
 
-    Filled SWE feeds depth, temperature, melt and cold content; it is written
-    once to the shared checkpoint folder (``shared=True``) instead of being
-    recomputed by each consumer.
+    Filled SWE feeds depth, temperature, melt and cold content, and filled
+    temperature feeds cold content and the output; both are written once to
+    the shared checkpoint folder (``shared=True``) instead of being recomputed
+    by each consumer.  Temperature and melt are filled by one plan.
     """
     swe_i = interpolated_swe_df(fx)
     if shared:
         swe_i = materialize(swe_i)
-    temp_i = interpolated_restored(fx, "temp_k", swe_i)
-    melt_i = interpolated_restored(fx, "melt", swe_i)
+    # temperature and melt are filled by one plan, keyed by product
+    raw = one(fx, "temp_k").withColumn("p", F.lit("temp")).unionByName(
+        one(fx, "melt").withColumn("p", F.lit("melt")))
+    both = restored_fill(raw.select("p", "t", "r", "c", "v"), swe_i, keys=("p", "t"))
+    if shared:
+        both = materialize(both)      # read by cold content and by the output union
+    temp_i = both.where(F.col("p") == "temp").drop("p")
+    melt_i = both.where(F.col("p") == "melt").drop("p")
     cc = K.cell_align_join(swe_i.withColumnRenamed("v", "swe"), temp_i.withColumnRenamed("v", "temp")).select(
         "t", "r", "c", K.cold_content("temp", "swe").alias("v"))
     parts = [("nohrsc_snodas_swe_interpolated", swe_i),
