@@ -75,17 +75,14 @@ def zone_cells(vertices: DataFrame, n_rows: int, n_cols: int, keys=("z",)) -> Da
 def zone_cell_join(values: DataFrame, members: DataFrame) -> DataFrame:
     """Attach zone keys to value cells: equi join on (r, c).
 
-    The value side is first cut to the envelope of all zones (scalar
-    subqueries, so the bounds reach the scan as filters); the join itself is
+    The value side is first cut to the envelope of all zones (one scalar
+    subquery, evaluated before the scan); the join itself is
     a hash/sort-merge equi join, or a broadcast of the membership table when
     AQE measures it small.
     """
-    env = members.agg(F.min("r").alias("r0"), F.max("r").alias("r1"),
-                      F.min("c").alias("c0"), F.max("c").alias("c1"))
-    cut = values.where(
-        F.col("r").between(env.select("r0").scalar(), env.select("r1").scalar())
-        & F.col("c").between(env.select("c0").scalar(), env.select("c1").scalar())
-    )
+    env = members.agg(F.struct(F.min("r").alias("r0"), F.max("r").alias("r1"),
+                               F.min("c").alias("c0"), F.max("c").alias("c1")).alias("e")).scalar()
+    cut = values.where(F.col("r").between(env["r0"], env["r1"]) & F.col("c").between(env["c0"], env["c1"]))
     return cut.join(members, on=["r", "c"], how="inner")
 
 
