@@ -188,3 +188,16 @@ def write_grid_files(cells: DataFrame, base: str, n_rows: int, n_cols: int, head
         return pd.DataFrame({"t": [t], "n_files": [4]})
 
     return src.groupBy("t").applyInPandas(write, "t int, n_files int")
+
+
+# Executors need not have this package installed: the task functions above
+# (and the module globals they use) are shipped by value with each task.
+def _ship_by_value():
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
