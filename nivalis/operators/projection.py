@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sizing import sized_broadcast
+
 # Ellipsoid and projection parameters.
 A = 6378137.0
 E2 = 0.00669438002290
@@ -177,9 +179,10 @@ def bilinear_resample(values: DataFrame, weights: DataFrame, join_keys=("r", "c"
                       group_keys=("t", "tr", "tc"), value_col: str = "v") -> DataFrame:
     """sum(w * v) / sum(w) over valid neighbours; NULL when none is valid.
 
-    An equi join of the (small, per-lattice) weight table with the value
-    cells; AQE broadcasts the weights when measured small.
+    An equi join of the weight table (4 rows per target cell, independent of
+    the number of time steps) with the value cells; the weights are broadcast
+    when their measured row count is under the bound, else shuffled.
     """
-    j = values.join(weights, on=list(join_keys), how="inner").where(F.col(value_col).isNotNull())
+    j = values.join(sized_broadcast(weights), on=list(join_keys), how="inner").where(F.col(value_col).isNotNull())
     return j.groupBy(*group_keys).agg(
         F.round(F.sum(F.col("w") * F.col(value_col)) / F.sum("w"), 6).alias(value_col))

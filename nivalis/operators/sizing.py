@@ -1,0 +1,24 @@
+"""Broadcast behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row limits for lookup-like sides derived from data (membership, weights):
+# a few bytes per row, so 4 M rows stay well below 100 MB per executor.
+MAX_BROADCAST_ROWS = 4_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is measured at most ``max_rows`` rows, else ``df``.
+
+    The count runs on the small side only (a polygon's cells, a target
+    lattice's neighbour weights), which is cheap to evaluate twice.  Beyond
+    the bound the caller's equi join stays a shuffle join (with AQE skew
+    handling), never a broadcast of unknown size.
+    """
+    n = df.count()
+    if n <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizing import sized_broadcast
+
 
 def _int_range(lo: Column, hi: Column) -> Column:
     """``sequence(lo, hi)`` that is empty (not descending) when lo > hi."""
@@ -76,14 +78,15 @@ def zone_cell_join(values: DataFrame, members: DataFrame) -> DataFrame:
     """Attach zone keys to value cells: equi join on (r, c).
 
     The value side is first cut to the envelope of all zones (one scalar
-    subquery, evaluated before the scan); the join itself is
-    a hash/sort-merge equi join, or a broadcast of the membership table when
-    AQE measures it small.
+    subquery, evaluated before the scan).  The membership table grows with
+    the zones' area, not with the number of time steps, so it is broadcast
+    when its measured row count is under the bound (the cell table is then
+    never shuffled); beyond it the join is a shuffle equi join on (r, c).
     """
     env = members.agg(F.struct(F.min("r").alias("r0"), F.max("r").alias("r1"),
                                F.min("c").alias("c0"), F.max("c").alias("c1")).alias("e")).scalar()
     cut = values.where(F.col("r").between(env["r0"], env["r1"]) & F.col("c").between(env["c0"], env["c1"]))
-    return cut.join(members, on=["r", "c"], how="inner")
+    return cut.join(sized_broadcast(members), on=["r", "c"], how="inner")
 
 
 def zonal_stats(values: DataFrame, members: DataFrame, zone_names: DataFrame,
