@@ -17,25 +17,21 @@ def levels_for(n_rows: int, n_cols: int, levels=OVERVIEW_LEVELS) -> list[int]:
 def overview_pyramid(cells: DataFrame, levels, value_col: str = "v", keys=("t",)) -> DataFrame:
     """Mean of valid base cells per block at every level, carried as (sum, count).
 
-    Levels cascade: level 2f is aggregated from level f's (sum, count), so
-    the base is read once and each level costs a quarter of the one below,
-    instead of exploding every base cell onto every level.  Carrying sum and
+    Two aggregations, whatever the number of levels: the base is reduced to
+    level 2 (2 x 2 blocks, a quarter of the rows), then every level-2 block
+    is exploded onto all requested levels and aggregated once more.  The
+    second aggregation combines map-side, so neighbouring blocks of the upper
+    levels collapse inside each task before the shuffle.  Carrying sum and
     count keeps each level the exact mean of its base cells.
     """
     v = F.col(value_col)
-    cur = cells.groupBy(*keys, F.floor(F.col("r") / 2).alias("br"), F.floor(F.col("c") / 2).alias("bc")).agg(
+    l2 = cells.groupBy(*keys, F.floor(F.col("r") / 2).alias("br"), F.floor(F.col("c") / 2).alias("bc")).agg(
         F.sum(v).alias("s"), F.count(v).alias("n"))
-    out = []
-    f = 2
-    for lvl in sorted(levels):
-        while f < lvl:
-            cur = cur.groupBy(*keys, F.floor(F.col("br") / 2).alias("br"), F.floor(F.col("bc") / 2).alias("bc")).agg(
-                F.sum("s").alias("s"), F.sum("n").alias("n"))
-            f *= 2
-        out.append(cur.select(*keys, F.lit(lvl).alias("level"), "br", "bc", "s", "n"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
+    lv = l2.select(*keys, "br", "bc", "s", "n",
+                   F.explode(F.array(*[F.lit(int(f)) for f in sorted(levels)])).alias("level"))
+    half = (F.col("level") / 2).cast("int")
+    res = lv.groupBy(*keys, "level", F.floor(F.col("br") / half).alias("br"), F.floor(F.col("bc") / half).alias("bc")).agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"))
     return res.select(*keys, "level", F.col("br").cast("int").alias("br"), F.col("bc").cast("int").alias("bc"),
                       F.round(F.col("s") / F.col("n"), 6).alias("v_mean"), F.col("n").cast("bigint").alias("v_count"))
 
