@@ -91,13 +91,15 @@ def zone_cell_join(values: DataFrame, members: DataFrame) -> DataFrame:
 
 def zonal_stats(values: DataFrame, members: DataFrame, zone_names: DataFrame,
                 value_col: str = "v", time_col: str = "t", prefix: str = "",
-                keys=("z",)) -> DataFrame:
+                keys=("z",), times: DataFrame | None = None) -> DataFrame:
     """min, max, mean, count of valid cells per (time, zone).
 
     ``zone_names`` holds one row per zone (keys + descriptive columns).  Every
     zone appears for every time step; a zone without valid cells gets count 0
     and NULL statistics.  The (time x zone) frame is produced by exploding the
     set of time steps on each zone row, not by a join without keys.
+    ``times`` (one column ``time_col``) names the steps when they are known
+    without scanning the values, e.g. from the partition list of the grid.
     """
     joined = zone_cell_join(values.select(time_col, "r", "c", value_col), members)
     v = F.col(value_col)
@@ -105,8 +107,9 @@ def zonal_stats(values: DataFrame, members: DataFrame, zone_names: DataFrame,
         F.min(v).alias(f"{prefix}min"), F.max(v).alias(f"{prefix}max"),
         F.avg(v).alias("_mean"), F.count(v).alias(f"{prefix}count"),
     )
-    times = values.agg(F.collect_set(time_col).alias("ts")).select("ts").scalar()
-    frame = zone_names.select("*", F.explode(times).alias(time_col))
+    src = times if times is not None else values
+    steps = src.agg(F.collect_set(time_col).alias("ts")).select("ts").scalar()
+    frame = zone_names.select("*", F.explode(steps).alias(time_col))
     out = frame.join(stats, on=[time_col, *keys], how="left")
     return out.select(
         *frame.columns,

@@ -316,7 +316,7 @@ group by zt.t, zt.z, zt.n"""))
 def zonal_stats(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     members = Z.zone_cells(fx.zones, LATTICE, LATTICE)
-    out = Z.zonal_stats(one(fx, "swe"), members, zone_names(fx), prefix="v_")
+    out = Z.zonal_stats(one(fx, "swe"), members, zone_names(fx), prefix="v_", times=fx.times)
     return out.select("t", F.col("z").alias("zone_id"), F.col("n").alias("zone_name"),
                       "v_min", "v_max", "v_mean", "v_count")
 
