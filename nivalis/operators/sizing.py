@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 4_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when ``df`` is measured at most ``max_rows`` rows, else ``df``.
 
     The count runs on the small side only (a polygon's cells, a target
@@ -18,7 +18,8 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     the bound the caller's equi join stays a shuffle join (with AQE skew
     handling), never a broadcast of unknown size.
     """
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     n = df.count()
-    if n <= max_rows:
+    if n <= bound:
         return F.broadcast(df)
     return df
