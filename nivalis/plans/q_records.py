@@ -61,7 +61,8 @@ NOTICE_SCHEMA = T.StructType([T.StructField("Records", T.ArrayType(T.StructType(
             T.StructField("key", T.StringType()), T.StructField("size", T.LongType())])),
     ])),
 ])))])
-BUCKET = "cumulus-incoming"
+BUCKET = "incoming-grids"
+ROUTE_PREFIX = "products"       # first part of every routed output key
 
 
 @register("notice_scan", sql_ctes(("v_notice",), [], f"""
@@ -153,7 +154,7 @@ def product_id_join(spark, sf_dir):
 
 
 @register("routed_key", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_PRODUCTS], f"""
-select k.event_id, concat('cumulus/', k.acquirable, '/', {_sql_output_name("'cut_grib2gz'", 'k.filename', 'k.ts')}) as write_key
+select k.event_id, concat('{ROUTE_PREFIX}/', k.acquirable, '/', {_sql_output_name("'cut_grib2gz'", 'k.filename', 'k.ts')}) as write_key
 from kp k join products p on p.name = k.acquirable"""))
 def routed_key(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
@@ -161,7 +162,7 @@ def routed_key(spark, sf_dir):
     p = product_table(fx).withColumnRenamed("name", "acquirable")
     j = kp.join(p, "acquirable", "inner")
     out = N.output_name(F.lit("cut_grib2gz"), "filename")
-    return j.select("event_id", F.concat(F.lit("cumulus/"), "acquirable", F.lit("/"),
+    return j.select("event_id", F.concat(F.lit(ROUTE_PREFIX + "/"), "acquirable", F.lit("/"),
                                          F.element_at(F.split(out, "/"), -1)).alias("write_key"))
 
 

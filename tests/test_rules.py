@@ -69,7 +69,7 @@ def test_header_values_missing_keyword(spark):
 
 
 def test_key_parts_plus_is_space(spark):
-    df = one_row(spark, k="cumulus/prism_ppt_early/PRISM+ppt%5Fearly.zip")
+    df = one_row(spark, k="incoming/prism_ppt_early/PRISM+ppt%5Fearly.zip")
     kp = N.key_parts("k")
     r = df.select(kp["acquirable"], kp["filename"]).first()
     assert r[0] == "prism_ppt_early" and r[1] == "PRISM ppt_early.zip"
