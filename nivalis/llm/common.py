@@ -61,3 +61,24 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         kept = np.concatenate(([0], np.cumsum(full)))
         return words.filter(pa.array(full)), kept[offsets]
     return words, offsets
+
+
+def slices(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20):
+    """Slices of a batch whose text column holds about ``most`` bytes (a single longer text stays whole)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not len(sizes):
+        return
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        stop = max(at + 1, stop)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def ragged_take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Concatenate ``values[starts[i] : starts[i] + sizes[i]]`` for all i."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]

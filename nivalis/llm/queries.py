@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, sharding
+from ..session import scratch_path
+from . import byte_bpe, chat_format, exact_dedup, sharding, token_files
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,33 @@ def op2_sharding(spark, sf_dir):
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def vocabulary(name: str) -> bytes:
+    """Contents of a public vocabulary file; its place is the installed package's."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def byte_bpe_parameters() -> tuple[bytes, str]:
+    import public_tokenizers
+
+    return vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@register("op4_token_files")
+def op4_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    manifest = token_files.write(read(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json").decode(),
+                                 end_id=2, vocabulary=49_408)
+    return token_files.read_back(spark, path, manifest, "ids_crc32 long", token_files.crc32_of)
+
+
+@register("op8_byte_bpe")
+def op8_byte_bpe(spark, sf_dir):
+    return byte_bpe.digests(read(spark, sf_dir, "documents"), *byte_bpe_parameters())
+
+
 @register("op9_chat_format", r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
