@@ -44,16 +44,11 @@ def plain_text(table: pa.Table | pa.RecordBatch, name: str = "text") -> pa.Array
     return pc.fill_null(col.cast(pa.large_string()), "")
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.
-
-    Returns the words of all texts in order and the offsets of each text in
-    them (length = number of texts + 1).
-    """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    words = lists.values
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """ASCII-white-space words of all texts, in order, and each text's offsets in them (texts + 1 values)."""
+    lists = pc.ascii_split_whitespace(texts)
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    words = words.slice(offsets[0], offsets[-1] - offsets[0])
+    words = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
     offsets = offsets - offsets[0]
     sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
     if len(sizes) and sizes.min() == 0:  # borders of a text that starts or ends with white space
@@ -63,6 +58,27 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, offsets
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case."""
+    return _words(pc.ascii_lower(texts))
+
+
+#: Byte map of the alphanumeric words: A-Z to lower case, every other ASCII byte but 0-9 and a-z to a space.
+ALNUM = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
+              for b in range(256))
+
+
+def split_alnum(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case.
+
+    The map is byte for byte, so it is applied to the whole buffer of a batch.
+    """
+    texts = texts if texts.offset == 0 else pa.concat_arrays([texts])
+    _, offsets, data = texts.buffers()
+    plain = pa.py_buffer(data.to_pybytes().translate(ALNUM)) if data is not None else pa.py_buffer(b"")
+    return _words(pa.LargeStringArray.from_buffers(len(texts), offsets, plain, null_count=0))
+
+
 def slices(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20):
     """Slices of a batch whose text column holds about ``most`` bytes (a single longer text stays whole)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)

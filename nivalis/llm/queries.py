@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, chat_format, exact_dedup, sharding, token_files
+from . import byte_bpe, chat_format, decontaminate, exact_dedup, sharding, token_files, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,33 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+@register("op1_decontaminate", r"""
+WITH lower_items AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+items AS (SELECT item_id, w, len(w) AS n, least(13, len(w)) AS size FROM lower_items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS words
+            FROM (SELECT item_id, w, size, unnest(range(1, n - size + 2)) AS i FROM items)),
+docs AS (SELECT row_number() OVER () AS rid, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT rid, size, i, array_to_string(list_slice(w, i, i + size - 1), ' ') AS words
+           FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs JOIN sizes ON size <= len(w))),
+hits AS (SELECT p.rid, p.i, p.size, item_id FROM places p JOIN windows USING (size, words)),
+hit_words AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS k FROM hits) GROUP BY 1),
+hit_items AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+              FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+""")
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @register("op2_sharding")
 def op2_sharding(spark, sf_dir):
     rows = sharding.number(sharding.assign(read(spark, sf_dir, "documents"), SHARDS), SHARDS)
@@ -56,6 +83,11 @@ def op4_token_files(spark, sf_dir):
     return token_files.read_back(spark, path, manifest, "ids_crc32 long", token_files.crc32_of)
 
 
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @register("op8_byte_bpe")
 def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.digests(read(spark, sf_dir, "documents"), *byte_bpe_parameters())
