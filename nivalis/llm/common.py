@@ -41,7 +41,9 @@ def plain_text(table: pa.Table | pa.RecordBatch, name: str = "text") -> pa.Array
         col = col.combine_chunks()
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], pa.large_string())
-    return pc.fill_null(col.cast(pa.large_string()), "")
+    # Rebased: some Arrow kernels misread an array whose first offset is not 0.
+    borders, data = raw_text(pc.fill_null(col.cast(pa.large_string()), ""))
+    return pa.LargeStringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders), pa.py_buffer(data), null_count=0)
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -73,10 +75,18 @@ def split_alnum(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
     The map is byte for byte, so it is applied to the whole buffer of a batch.
     """
-    texts = texts if texts.offset == 0 else pa.concat_arrays([texts])
+    borders, data = raw_text(texts)
+    plain = pa.py_buffer(data.tobytes().translate(ALNUM))
+    return _words(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(borders), plain, null_count=0))
+
+
+def raw_text(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Borders of the texts (texts + 1 values) and their bytes, of a large_string array that may be a slice."""
     _, offsets, data = texts.buffers()
-    plain = pa.py_buffer(data.to_pybytes().translate(ALNUM)) if data is not None else pa.py_buffer(b"")
-    return _words(pa.LargeStringArray.from_buffers(len(texts), offsets, plain, null_count=0))
+    if not len(texts) or data is None:
+        return np.zeros(len(texts) + 1, np.int64), np.empty(0, np.uint8)
+    borders = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return borders - borders[0], np.frombuffer(data, np.uint8)[borders[0] : borders[-1]]
 
 
 def slices(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20):

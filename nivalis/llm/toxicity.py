@@ -3,12 +3,13 @@
 Two zstandard dictionaries are fitted: one of ordinary words, one that holds the
 same ordinary words and, in place of filler, the words of toxic text that
 ordinary text does not explain.  A window is one word inside a fixed frame that
-both dictionaries hold; its compression distance is the bytes the ordinary
-dictionary needs beyond the toxic one.  (Wider windows drown a toxic word in
-the chance matches of its neighbours; a frame is needed because a lone short
-word is stored, not compressed.)  A document's evidence is how many of its
-windows reach a calibrated distance; a logistic curve, fitted out of fold,
-turns the evidence into a score.
+both dictionaries hold.  (Wider windows drown a toxic word in the chance matches
+of its neighbours; a frame is needed because a lone short word is stored, not
+compressed.)  Its *distance* is the bytes the ordinary dictionary needs beyond
+the toxic one, its *excess* the bytes the toxic one needs beyond a window it
+knows as a whole.  A document's evidence is how many of its windows reach the
+calibrated distance within the calibrated excess; a logistic curve, fitted out
+of fold, turns the evidence into a score.
 
 The fit takes at most ``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary labelled
 documents (those with the smallest hash of their id), whole texts; every
@@ -38,12 +39,12 @@ from .common import id_crc32, plain_text, slices, split_alnum, stage
 FIT_TOXIC, FIT_ORDINARY = 4_000, 12_000
 #: Expected number of ordinary words taken for toxic by chance, and words of each kind in the dictionaries.
 CHANCE_WORDS, TOXIC_WORDS, ORDINARY_WORDS = 1.0, 2_000, 3_000
-LEVEL = 3
-#: Distances are told apart up to here.
-MOST = 12
+#: Distances and excesses are told apart up to here.
+FAR, OVER = 10, 4
+CELLS = (FAR + 1) * (OVER + 1)
 #: The frame of a window: fixed strings of characters that words don't have.
-HEAD = b"|0-ABCDEFGHIJKLMNOPQRSTUVWXYZ-1| "
-TAIL = b" |2-ZYXWVUTSRQPONMLKJIHGFEDCBA-3|"
+HEAD = b"|0-ABCDEFGHIJKLMNOPQRSTUVWXYZ-1|"
+TAIL = b"|2-ZYXWVUTSRQPONMLKJIHGFEDCBA-3|"
 KNOWN_WORDS = 500_000
 
 
@@ -114,48 +115,56 @@ def toxic_words(counts: DataFrame, folds: tuple[int, ...]) -> tuple[list[str], l
 
 
 class Distance:
-    """Compression distance of words under a toxic and an ordinary dictionary."""
+    """Cell (distance, excess) of words under a toxic and an ordinary dictionary."""
 
     def __init__(self, toxic: list[str], ordinary: list[str]):
-        own = " ".join(toxic).encode()
-        base = " ".join(ordinary).encode()
+        own = "".join(f" {w} " for w in toxic).encode()
+        base = "".join(f" {w} " for w in ordinary).encode()
         filler = (base * (len(own) // max(1, len(base)) + 1))[: len(own)]
-        self.ordinary = self._compressor(base + b" " + filler)
-        self.toxic = self._compressor(base + b" " + own)
+        self.ordinary = self._compressor(base + filler)
+        self.toxic = self._compressor(base + own)
+        self.least = min((len(self.toxic(self.window(w))) for w in [*toxic, *ordinary]), default=0)
         self.known: dict[str, int] = {}
 
+    @staticmethod
+    def window(word: str) -> bytes:
+        return HEAD + f" {word} ".encode() + TAIL
+
     @staticmethod
     def _compressor(content: bytes):
-        import zstandard
+        import zstandard as z
 
-        data = zstandard.ZstdCompressionDict(content + b" " + HEAD + TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        how = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False,
-            write_dict_id=False)
-        return zstandard.ZstdCompressor(dict_data=data, compression_params=how).compress
+        data = z.ZstdCompressionDict(content + HEAD + TAIL, dict_type=z.DICT_TYPE_RAWCONTENT)
+        # Every position of the dictionary is searched, also for matches of four bytes.
+        how = z.ZstdCompressionParameters(
+            format=z.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False,
+            window_log=17, hash_log=16, chain_log=16, search_log=6, min_match=4, strategy=z.STRATEGY_LAZY)
+        return z.ZstdCompressor(dict_data=data, compression_params=how).compress
 
     def of(self, words: list[str]) -> np.ndarray:
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         out = np.empty(len(words), np.int64)
-        known, ordinary, toxic = self.known, self.ordinary, self.toxic
+        known, ordinary, toxic, window = self.known, self.ordinary, self.toxic, self.window
         for i, word in enumerate(words):
-            d = known.get(word)
-            if d is None:
-                window = HEAD + word.encode() + TAIL
-                d = known[word] = min(MOST, max(0, len(ordinary(window)) - len(toxic(window))))
-            out[i] = d
+            cell = known.get(word)
+            if cell is None:
+                framed = window(word)
+                n = len(toxic(framed))
+                cell = known[word] = (min(FAR, max(0, len(ordinary(framed)) - n)) * (OVER + 1)
+                                      + min(OVER, max(0, n - self.least)))
+            out[i] = cell
         return out
 
     def histogram(self, texts: pa.Array) -> np.ndarray:
-        """How many windows of each text have each distance."""
+        """How many windows of each text are in each cell."""
         words, offsets = split_alnum(texts)
-        out = np.zeros((len(offsets) - 1, MOST + 1), np.int64)
+        out = np.zeros((len(offsets) - 1, CELLS), np.int64)
         if len(words):
             own = words.dictionary_encode()
-            d = self.of(own.dictionary.to_pylist())[own.indices.to_numpy(zero_copy_only=False)]
+            cell = self.of(own.dictionary.to_pylist())[own.indices.to_numpy(zero_copy_only=False)]
             text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            out = np.bincount(text * (MOST + 1) + d, minlength=out.size).reshape(out.shape)
+            out = np.bincount(text * CELLS + cell, minlength=out.size).reshape(out.shape)
         return out
 
 
@@ -177,8 +186,13 @@ def histograms(sample: DataFrame, words: dict[int, tuple[list[str], list[str]]])
     return np.array([r.toxic for r in rows]), np.array([r.histogram for r in rows])
 
 
-def evidence(histogram: np.ndarray, least: int) -> np.ndarray:
-    return np.log1p(np.minimum(histogram[:, least:].sum(1), 20))
+def reaching(histogram: np.ndarray, far: int, over: int) -> np.ndarray:
+    """Windows of at least the distance ``far`` and at most the excess ``over``."""
+    return histogram.reshape(-1, FAR + 1, OVER + 1)[:, far:, : over + 1].sum((1, 2))
+
+
+def evidence(n: np.ndarray) -> np.ndarray:
+    return np.log1p(np.minimum(n, 20))
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -202,13 +216,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         return {}
     # Each fold is judged by the words of the other one.
     y, h = histograms(sample, {0: toxic_words(counts, (1,)), 1: toxic_words(counts, (0,))})
-    fits = [(logistic(evidence(h, least), y), least) for least in range(1, MOST + 1)]
-    (intercept, slope, _), least = max(fits, key=lambda f: f[0][2])
-    return {"toxic": toxic, "ordinary": ordinary, "least": least, "intercept": intercept, "slope": max(0.0, slope)}
+    fits = [(logistic(evidence(reaching(h, far, over)), y), far, over) for far in range(1, FAR + 1) for over in range(OVER + 1)]
+    (intercept, slope, _), far, over = max(fits, key=lambda f: f[0][2])
+    return {"toxic": toxic, "ordinary": ordinary, "far": far, "over": over, "intercept": intercept, "slope": max(0.0, slope)}
 
 
 def scores(docs: DataFrame, model: dict, score: str, n: str) -> DataFrame:
-    """Add ``score`` and ``n`` (windows that reach the calibrated distance)."""
+    """Add ``score`` and ``n`` (windows that reach the calibrated thresholds)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     from pyspark.sql import types as T
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType()), T.StructField(n, T.LongType())])
@@ -220,9 +234,8 @@ def scores(docs: DataFrame, model: dict, score: str, n: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 if distance:
-                    h = distance.histogram(plain_text(part))
-                    p = 1 / (1 + np.exp(-(m["intercept"] + m["slope"] * evidence(h, m["least"]))))
-                    n_windows = h[:, m["least"]:].sum(1)
+                    n_windows = reaching(distance.histogram(plain_text(part)), m["far"], m["over"])
+                    p = 1 / (1 + np.exp(-(m["intercept"] + m["slope"] * evidence(n_windows))))
                 else:
                     p, n_windows = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int64)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array(n_windows)], names=[*keep, score, n])
