@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, chat_format, decontaminate, exact_dedup, sharding, token_files, toxicity
+from . import byte_bpe, chat_format, decontaminate, exact_dedup, html_text, sharding, token_files, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op2_sharding(spark, sf_dir):
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@register("op3_html_text")
+def op3_html_text(spark, sf_dir):
+    return html_text.pages_text(read(spark, sf_dir, "pages"))
+
+
 def vocabulary(name: str) -> bytes:
     """Contents of a public vocabulary file; its place is the installed package's."""
     import public_tokenizers
