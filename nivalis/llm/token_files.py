@@ -36,67 +36,126 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import plain_text, ragged_take, slices, stage
+from .common import plain_text, ragged_take, raw_text, slices, stage
 
 MAGIC = b"TOKIDZ01"
 DICT_DOCS, DICT_IDS, DICT_BYTES = 2_000, 4_096, 64 << 10
 LEVEL = 3
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 350_000
+#: Pieces that are encoded in one call of the library, and calls in one batch.
+TOGETHER, CALLS = 128, 64
 ENTRY = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("n_tokens", "<u8"), ("start", "<u8"), ("offset", "<u8"),
                   ("length", "<u8")])
 
 
+#: Byte classes of ``pieces``: 1 letter, 2 digit, 3 punctuation but the apostrophe, 4 white space, 0 all else.
+CLASS = np.zeros(256, np.uint8)
+CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+CLASS[0x30:0x3A] = 2
+CLASS[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27]] = 3
+CLASS[[0x20, *range(0x09, 0x0E)]] = 4
+
+
+def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of the texts that the tokenizer encodes apart, A-Z in lower case, and each text's offsets in them.
+
+    Sure cuts are ASCII white space (dropped), both sides of a digit, and where
+    a letter (ASCII or one of the Latin-1 letters) meets ASCII punctuation; at
+    an apostrophe or another character nothing is cut.
+    """
+    borders, raw = raw_text(texts)
+    kind = CLASS[raw]
+    left, right = kind, kind  # of the character that ends, and that starts, at a byte
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    if len(lead):
+        lead = lead[(raw[lead + 1] & 0xDF) != 0x97]  # all but the signs of multiplication and division
+        left, right = kind.copy(), kind.copy()
+        left[lead + 1], right[lead] = 1, 1
+    code = left[:-1] << 3 | right[1:]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[1:-1] = CUTS[code]
+    cut[borders] = True
+    space = kind == 4
+    kept = np.concatenate(([0], np.cumsum(~space)))
+    starts = np.flatnonzero(cut[:-1] & ~space)  # a cut follows every space, so each piece starts at one
+    flat = pa.py_buffer(np.ascontiguousarray(raw[~space]))
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(kept[starts], kept[-1])), flat, null_count=0)
+    return pc.ascii_lower(words), np.searchsorted(starts, borders)
+
+
+CUTS = np.zeros(64, bool)
+for _a in range(5):
+    for _b in range(5):
+        CUTS[_a << 3 | _b] = 4 in (_a, _b) or (0 not in (_a, _b) and (_a != _b or _a == 2))
+
+
 class WordEncoder:
-    """Ids of whole texts, each distinct word of the task encoded once."""
+    """Ids of whole texts, each distinct piece of the task encoded once by the library."""
 
     def __init__(self, tokenizer_json: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self):
         self.place: dict[str, int] = {}
-        self.ids = [np.empty(0, np.uint32)]
-        self.sizes: list[int] = []
-        self.table = None
+        self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def _learn(self, words: list[str]) -> np.ndarray:
         """Place of each word in the table of known words."""
         fresh = [w for w in words if w not in self.place]
-        if fresh:
-            if len(self.place) + len(fresh) > KNOWN_WORDS:
-                self._forget()
-                fresh = words
-            for at in range(0, len(fresh), 20_000):
-                for word, got in zip(fresh[at : at + 20_000],
-                                     self.tokenizer.encode_batch_fast(fresh[at : at + 20_000], add_special_tokens=False)):
-                    self.place[word] = len(self.sizes)
-                    ids = got.ids
-                    self.sizes.append(len(ids))
-                    self.ids.append(np.array(ids, np.uint32))
-            self.table = None
-        if self.table is None:
-            flat = np.concatenate(self.ids)
-            sizes = np.array(self.sizes, np.int64)
-            self.ids = [flat]
-            self.table = flat, np.cumsum(sizes) - sizes, sizes
+        if len(self.place) + len(fresh) > KNOWN_WORDS:
+            self._forget()
+            fresh = words
+        # Runs of letters, and ASCII without the apostrophe, are one word to the tokenizer: many go in one text.
+        plain = [w for w in fresh if w.isalpha() or (w.isascii() and "'" not in w)]
+        other = [w for w in fresh if not (w.isalpha() or (w.isascii() and "'" not in w))]
+        ids, sizes, fresh = [self.ids], [self.sizes], []
+        for at in range(0, len(plain), TOGETHER * CALLS):
+            groups = [plain[i : i + TOGETHER] for i in range(at, min(len(plain), at + TOGETHER * CALLS), TOGETHER)]
+            for group, got in zip(groups, self._encode([" ".join(g) for g in groups])):
+                size = np.diff(np.flatnonzero(self.last[got]), prepend=-1)
+                if len(size) != len(group):  # a piece that is not one word after all
+                    other += group
+                    continue
+                fresh += group
+                ids.append(got)
+                sizes.append(size)
+        for at in range(0, len(other), TOGETHER * CALLS):
+            some = self._encode(other[at : at + TOGETHER * CALLS])
+            ids += some
+            sizes.append(np.array([len(x) for x in some], np.int64))
+        fresh += other
+        self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(got.ids, np.int64).astype(np.uint32)
+                for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's with the end id, and the number of ids of each text."""
-        lists = pc.ascii_split_whitespace(texts)
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets -= offsets[0]
+        words, offsets = pieces(texts)
+        words = words.dictionary_encode()
         known = self._learn(words.dictionary.to_pylist())
-        flat, starts, sizes = self.table
         places = known[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.int64)
-        per_word = sizes[places]
-        before = np.concatenate(([0], np.cumsum(per_word)))[offsets]
-        ids = ragged_take(flat, starts[places], per_word)
-        return np.insert(ids, before[1:], end_id), np.diff(before) + 1
+        # One end id for each text goes behind its words: a word of its own.
+        starts = np.append(np.cumsum(self.sizes) - self.sizes, len(self.ids))
+        per_word, at = np.append(self.sizes, 1), len(self.sizes)
+        places = np.insert(places, offsets[1:], at)
+        sizes = per_word[places]
+        after = np.cumsum(sizes)[offsets[1:] + np.arange(len(texts))]
+        return (ragged_take(np.append(self.ids, np.uint32(end_id)), starts[places], sizes),
+                np.diff(after, prepend=0))
 
 
 def encode_rows(docs: DataFrame, tokenizer_json: str, end_id: int, pack) -> DataFrame:
