@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, chat_format, decontaminate, exact_dedup, html_text, lm_score, sharding, token_files, toxicity
+from . import byte_bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, lm_score, sharding, token_files, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,11 @@ def op5_lm_score(spark, sf_dir):
     return lm_score.score(read(spark, sf_dir, "documents"))
 
 
+@register("op6_jaccard_join")
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.report(read(spark, sf_dir, "documents"))
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark, sf_dir):
     return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
