@@ -65,6 +65,8 @@ class Fixtures:
             (F.lit(255) + (F.col("sum_line") * 7 + F.col("r") + F.col("c")) % 40)
             .cast("double").alias("temp_k"),
             F.col("sum_supp").cast("double").alias("melt"),
+            F.when(F.col("sum_line") % 7 == 0, F.lit(0.0)).otherwise(F.col("sum_qty") * 3 + F.col("sum_line"))
+            .cast("double").alias("depth"),
         )
 
     @cached_property
@@ -106,6 +108,7 @@ class Fixtures:
             F.when(missing | ((r * 5 + c * 3) % 16 == 0), F.lit(NODATA)).otherwise(F.col("x.swe")).alias("swe"),
             F.when(missing | ((r * 7 + c * 13) % 16 == 0), F.lit(NODATA)).otherwise(F.col("x.temp_k")).alias("temp_k"),
             F.when(missing, F.lit(NODATA)).otherwise(F.col("x.melt")).alias("melt"),
+            F.when(missing | ((r * 3 + c * 7) % 16 == 0), F.lit(NODATA)).otherwise(F.col("x.depth")).alias("depth"),
         )
 
     @cached_property
@@ -227,7 +230,8 @@ select cast(year(l_shipdate)*100 + month(l_shipdate) as int) as t,
        cast(l_orderkey % 64 as int) as r, cast(l_partkey % 64 as int) as c,
        cast(case when sum(l_linenumber) % 7 = 0 then 0 else sum(l_quantity) end as double) as swe,
        cast(255 + (sum(l_linenumber)*7 + l_orderkey % 64 + l_partkey % 64) % 40 as double) as temp_k,
-       cast(sum(l_suppkey) as double) as melt
+       cast(sum(l_suppkey) as double) as melt,
+       cast(case when sum(l_linenumber) % 7 = 0 then 0 else sum(l_quantity) * 3 + sum(l_linenumber) end as double) as depth
 from lineitem
 group by year(l_shipdate)*100 + month(l_shipdate), l_orderkey % 64, l_partkey % 64"""),
     "v_lattice": (("v_cells",), """
@@ -239,7 +243,8 @@ cross join (select distinct cast(l_partkey % 64 as int) as c from lineitem) c"""
 select l.t, l.r, l.c,
        case when x.t is null or (l.r*5 + l.c*3) % 16 = 0 then -9999.0e0 else x.swe end as swe,
        case when x.t is null or (l.r*7 + l.c*13) % 16 = 0 then -9999.0e0 else x.temp_k end as temp_k,
-       case when x.t is null then -9999.0e0 else x.melt end as melt
+       case when x.t is null then -9999.0e0 else x.melt end as melt,
+       case when x.t is null or (l.r*3 + l.c*7) % 16 = 0 then -9999.0e0 else x.depth end as depth
 from v_lattice l left join v_cells x on l.t = x.t and l.r = x.r and l.c = x.c"""),
     "v_mask": (("v_lattice",), """
 select distinct r, c, case when (r + 2*c) % 5 = 0 then -9999.0e0 else 0.0e0 end as m from v_lattice"""),
@@ -275,16 +280,6 @@ select distinct event_type as name from events where event_type <> 'error'"""),
 }
 
 
-def sql_with(views: list[str] | tuple[str, ...], body: str) -> str:
-    """DuckDB text: the needed fixture views (with dependencies) as CTEs, then ``body``.
-
-    ``body`` may itself start with extra CTEs written as ``name as (...), ...``
-    followed by the final select; pass them through ``extra``-style by writing
-    ``, name as (...)`` after the views using :func:`sql_ctes`.
-    """
-    return sql_ctes(views, [], body)
-
-
 def sql_ctes(views, extra: list[tuple[str, str]], body: str) -> str:
     order: list[str] = []
 

@@ -18,11 +18,12 @@ def raw_grid(fx: Fixtures):
     return g.select("t", "r", "c",
                     K.nodata_to_null("swe").alias("swe"),
                     K.nodata_to_null("temp_k").alias("temp_k"),
-                    K.nodata_to_null("melt").alias("melt"))
+                    K.nodata_to_null("melt").alias("melt"),
+                    K.nodata_to_null("depth").alias("depth"))
 
 
 _SQL_G = ("g", "select t, r, c, nullif(swe, -9999.0) as swe, nullif(temp_k, -9999.0) as temp_k, "
-               "nullif(melt, -9999.0) as melt from v_grid")
+               "nullif(melt, -9999.0) as melt, nullif(depth, -9999.0) as depth from v_grid")
 _SQL_CC = ("cc", """
 select t, r, c,
        case when temp_k - 273.15 >= 0 then 0.0

@@ -19,6 +19,7 @@ from .registry import register
 
 FILL_DISTANCE = 16          # the published interpolated products use a 16-cell search
 SQL_MASK = ("m", "select r, c, m from v_mask")
+LEVELS = PY.levels_for(LATTICE, LATTICE)
 
 
 def shifted_date(t) -> "F.Column":
@@ -35,15 +36,38 @@ def one(fx: Fixtures, col: str) -> DataFrame:
     return raw_grid(fx).select("t", "r", "c", F.col(col).alias("v"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage for a grid read by several consumers: reliable checkpoint in the shared folder."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "grid", by: str | None = None) -> DataFrame:
+    """Write a grid that several consumers read once to the shared folder (partitioned by ``by``) and read it."""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_pyramid(base: DataFrame, keys=("t",)) -> DataFrame:
+    """Base cells as level 1, then the average overviews that end every product: keys, level, r, c, v."""
+    up = PY.overview_pyramid(base, LEVELS, keys=keys).select(
+        *keys, "level", F.col("br").alias("r"), F.col("bc").alias("c"), F.col("v_mean").alias("v"))
+    return base.select(*keys, F.lit(1).alias("level"), "r", "c", "v").unionByName(up)
+
+
+def sql_pyramid(src: str, keys: str = "t") -> str:
+    """DuckDB text of :func:`with_pyramid` over a relation with v, rounded to 6 places."""
+    return f"""
+select {keys}, 1 as level, r, c, round(v, 6) as v from {src}
+union all
+select {keys}, f as level, cast(floor(r / f) as int) as r, cast(floor(c / f) as int) as c, round(sum(v) / count(v), 6) as v
+from {src}, (select unnest({LEVELS}) as f) ff group by {keys}, f, floor(r / f), floor(c / f)"""
+
+
+def rounded(df: DataFrame, col: str = "v") -> DataFrame:
+    """Registered queries compare at 6 places; operators do not round."""
+    return df.withColumn(col, F.round(col, 6))
 
 
 # ----------------------------------------------------------------- point-wise
-@register("nodata_to_null", sql_ctes(("v_grid",), [_SQL_G], "select t, r, c, swe, temp_k, melt from g"))
+@register("nodata_to_null", sql_ctes(("v_grid",), [_SQL_G], "select t, r, c, swe, temp_k, melt, depth from g"))
 def nodata_to_null(spark, sf_dir):
     return raw_grid(Fixtures(spark, sf_dir))
 
@@ -82,12 +106,17 @@ def cell_align_join(spark, sf_dir):
     return K.cell_align_join(a, b).select("t", "r", "c", "swe", "temp_k")
 
 
-def lakefixed_swe(fx: Fixtures) -> DataFrame:
-    """SWE with the lake fix applied on the days it is due."""
-    g = one(fx, "swe")
-    j = g.join(fx.mask, on=["r", "c"], how="left")
+def lake_fix(cells: DataFrame, mask: DataFrame, wanted=None) -> DataFrame:
+    """The lake fix on the days it is due (and on the rows where ``wanted`` holds)."""
     due = N.lakefix_applies(shifted_date("t"), F.lit("1034"))
-    return j.select("t", "r", "c", F.when(due, K.lakefix_zero_to_nodata("v", "m")).otherwise(F.col("v")).alias("v"))
+    due = due & wanted if wanted is not None else due
+    j = cells.join(mask, on=["r", "c"], how="left")
+    return j.select(*[c for c in cells.columns if c != "v"],
+                    F.when(due, K.lakefix_zero_to_nodata("v", "m")).otherwise(F.col("v")).alias("v"))
+
+
+def lakefixed(fx: Fixtures, col: str) -> DataFrame:
+    return lake_fix(one(fx, col), fx.mask)
 
 
 SQL_LAKEFIX = ("swe_in", f"""
@@ -98,7 +127,7 @@ from g left join v_mask m on m.r = g.r and m.c = g.c""")
 
 @register("lakefix_zero_to_nodata", sql_ctes(("v_grid", "v_mask"), [_SQL_G, SQL_LAKEFIX], "select t, r, c, v from swe_in"))
 def lakefix_zero_to_nodata(spark, sf_dir):
-    return lakefixed_swe(Fixtures(spark, sf_dir))
+    return lakefixed(Fixtures(spark, sf_dir), "swe").select("t", "r", "c", "v")
 
 
 @register("grid_conformity", sql_ctes(("v_grid",), [_SQL_G, ("shapes", """
@@ -129,38 +158,41 @@ SQL_SWE = ("swe_raw", "select t, r, c, swe as v from g")
 
 
 @register("nearest_valid_join", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *FL.sql_fill("swe_raw", FILL_DISTANCE, "f")],
-                                         "select t, r, c, q, v, d2 from f_pick"))
+                                         FL.sql_nearest("f")))
 def nearest_valid_join(spark, sf_dir):
-    p = FL.nearest_valid(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE)
-    return p.select("t", "r", "c", "q", "v", "d2")
+    return FL.nearest_valid(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE)
 
 
 @register("idw_average", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *FL.sql_fill("swe_raw", FILL_DISTANCE, "f")],
-                                  "select t, r, c, v_fill from f_idw"))
+                                  "select t, cast(r as int) as r, c, round(v_fill, 6) as v_fill from f_idw"))
 def idw_average(spark, sf_dir):
-    return FL.idw_average(FL.quadrant_picks(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE))
+    return rounded(FL.idw_average(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE), "v_fill")
 
 
 @register("fill_nodata", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *FL.sql_fill("swe_raw", FILL_DISTANCE, "f")],
-                                  "select t, r, c, v from f"))
+                                  "select t, r, c, round(v, 6) as v from f"))
 def fill_nodata(spark, sf_dir):
-    return FL.fill_nodata(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE)
+    return rounded(FL.fill_nodata(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE))
 
 
 SQL_TEMP_RAW = ("temp_raw", "select t, r, c, case when temp_k in (-9999.0, 55537.0) then null else temp_k end as v from v_grid")
 
 
 @register("interpolate", sql_ctes(("v_grid",), [SQL_TEMP_RAW, *FL.sql_fill("temp_raw", FILL_DISTANCE, "f")],
-                                  "select t, r, c, v from f"))
+                                  "select t, r, c, round(v, 6) as v from f"))
 def interpolate(spark, sf_dir):
     """Mark the sentinel(s) as nodata, then fill (snowpack temperature grid)."""
     g = Fixtures(spark, sf_dir).grid
     cells = g.select("t", "r", "c", K.nodata_sentinels_to_null("temp_k").alias("v"))
-    return FL.fill_nodata(cells, FILL_DISTANCE)
+    return rounded(FL.fill_nodata(cells, FILL_DISTANCE))
 
 
 def interpolated_swe_df(fx: Fixtures) -> DataFrame:
-    return FL.fill_nodata(lakefixed_swe(fx), FILL_DISTANCE)
+    return FL.fill_nodata(lakefixed(fx, "swe"), FILL_DISTANCE)
+
+
+def interpolated_depth_df(fx: Fixtures) -> DataFrame:
+    return FL.fill_nodata(lakefixed(fx, "depth"), FILL_DISTANCE)
 
 
 def restored_fill(raw: DataFrame, swe_i: DataFrame, keys=("t",)) -> DataFrame:
@@ -180,6 +212,8 @@ def interpolated_restored(fx: Fixtures, col: str, swe_i: DataFrame) -> DataFrame
 
 
 _SQL_SWE_F = [_SQL_G, SQL_LAKEFIX, *FL.sql_fill("swe_in", FILL_DISTANCE, "swe_f")]
+_SQL_DEPTH_F = [_SQL_G, (SQL_LAKEFIX[0].replace("swe", "depth"), SQL_LAKEFIX[1].replace("swe", "depth")),
+                *FL.sql_fill("depth_in", FILL_DISTANCE, "depth_f")]
 
 
 def _sql_restored(col: str, name: str) -> list[tuple[str, str]]:
@@ -191,37 +225,44 @@ from {name}_fill a join {name}_raw b on b.t = a.t and b.r = a.r and b.c = a.c
 join swe_f s on s.t = a.t and s.r = a.r and s.c = a.c""")]
 
 
-@register("interpolated_swe", sql_ctes(("v_grid", "v_mask"), _SQL_SWE_F, "select t, r, c, v from swe_f"))
+@register("interpolated_swe", sql_ctes(("v_grid", "v_mask"), _SQL_SWE_F, sql_pyramid("swe_f")))
 def interpolated_swe(spark, sf_dir):
-    return interpolated_swe_df(Fixtures(spark, sf_dir))
+    """Lake fix if due, fill, overviews."""
+    return rounded(with_pyramid(interpolated_swe_df(Fixtures(spark, sf_dir))))
 
 
-@register("interpolated_snowdepth", sql_ctes(("v_grid", "v_mask"), _SQL_SWE_F, "select t, r, c, v from swe_f"))
+@register("interpolated_snowdepth", sql_ctes(("v_grid", "v_mask"), _SQL_DEPTH_F, sql_pyramid("depth_f")))
 def interpolated_snowdepth(spark, sf_dir):
-    """Depth recipe (lake fix if due, interpolate); the stand-in tables carry no depth band,
-    so it runs on the SWE column of the same lattice."""
-    return interpolated_swe_df(Fixtures(spark, sf_dir))
+    """The same recipe on the depth band, a grid of its own."""
+    return rounded(with_pyramid(interpolated_depth_df(Fixtures(spark, sf_dir))))
 
 
-@register("restore_nodata", sql_ctes(("v_grid", "v_mask"), [*_SQL_SWE_F, *_sql_restored("melt", "melt_i")],
-                                     "select t, r, c, v from melt_i"))
+@register("restore_nodata", sql_ctes(("v_grid", "v_mask"), [*_SQL_SWE_F, *_sql_restored("melt", "melt_i")], """
+select b.t, b.r, b.c, b.v is null as was_null, round(f.v, 6) as filled, round(i.v, 6) as restored
+from melt_i_raw b join melt_i_fill f on f.t = b.t and f.r = b.r and f.c = b.c
+join melt_i i on i.t = b.t and i.r = b.r and i.c = b.c"""))
 def restore_nodata(spark, sf_dir):
+    """The step itself, on the melt grid: each cell before, after the fill, and with its nodata restored."""
     fx = Fixtures(spark, sf_dir)
-    return interpolated_restored(fx, "melt", interpolated_swe_df(fx))
+    filled = FL.fill_nodata(one(fx, "melt"), FILL_DISTANCE, flag="was_null").withColumnRenamed("v", "filled")
+    j = K.cell_align_join(filled, interpolated_swe_df(fx).withColumnRenamed("v", "swe_f"))
+    before = F.when(~F.col("was_null"), F.lit(0.0))          # NULL exactly where the input was NULL
+    out = j.select("t", "r", "c", "was_null", "filled", K.restore_nodata("filled", before, "swe_f").alias("restored"))
+    return rounded(rounded(out, "filled"), "restored")
 
 
 @register("interpolated_snowtemp", sql_ctes(("v_grid", "v_mask"), [*_SQL_SWE_F, *_sql_restored("temp_k", "temp_i")],
-                                            "select t, r, c, v from temp_i"))
+                                            sql_pyramid("temp_i")))
 def interpolated_snowtemp(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return interpolated_restored(fx, "temp_k", interpolated_swe_df(fx))
+    return rounded(with_pyramid(interpolated_restored(fx, "temp_k", interpolated_swe_df(fx))))
 
 
 @register("interpolated_snowmelt", sql_ctes(("v_grid", "v_mask"), [*_SQL_SWE_F, *_sql_restored("melt", "melt_i")],
-                                            "select t, r, c, v from melt_i"))
+                                            sql_pyramid("melt_i")))
 def interpolated_snowmelt(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return interpolated_restored(fx, "melt", interpolated_swe_df(fx))
+    return rounded(with_pyramid(interpolated_restored(fx, "melt", interpolated_swe_df(fx))))
 
 
 _SQL_CCI = ("cc_i", f"""
@@ -231,61 +272,66 @@ from swe_f s join temp_i tt on tt.t = s.t and tt.r = s.r and tt.c = s.c""")
 
 @register("interpolated_coldcontent", sql_ctes(("v_grid", "v_mask"),
                                                [*_SQL_SWE_F, *_sql_restored("temp_k", "temp_i"), _SQL_CCI],
-                                               "select t, r, c, v from cc_i"))
+                                               sql_pyramid("cc_i")))
 def interpolated_coldcontent(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    swe_i = interpolated_swe_df(fx)
+    swe_i = materialize(interpolated_swe_df(fx), "swe_i")      # read by the restore step and by cold content
     temp_i = interpolated_restored(fx, "temp_k", swe_i)
     j = K.cell_align_join(swe_i.withColumnRenamed("v", "swe"), temp_i.withColumnRenamed("v", "temp"))
-    return j.select("t", "r", "c", K.cold_content("temp", "swe").alias("v"))
+    return rounded(with_pyramid(j.select("t", "r", "c", K.cold_content("temp", "swe").alias("v"))))
 
 
-def interpolate_all(fx: Fixtures, shared: bool = True) -> DataFrame:
+def interpolate_all(fx: Fixtures) -> DataFrame:
     """All five interpolated products for every time step, one long table.
 
-    Filled SWE feeds depth, temperature, melt and cold content, and filled
-    temperature feeds cold content and the output; both are written once to
-    the shared checkpoint folder (``shared=True``) instead of being recomputed
-    by each consumer.  Temperature and melt are filled by one plan.
+    The grid is written once; SWE, depth, temperature and melt are filled by
+    one plan, keyed by product, and written partitioned by product, so each
+    reader below prunes to its own.
     """
-    swe_i = interpolated_swe_df(fx)
-    if shared:
-        swe_i = materialize(swe_i)
-    # temperature and melt are filled by one plan, keyed by product
-    raw = one(fx, "temp_k").withColumn("p", F.lit("temp")).unionByName(
-        one(fx, "melt").withColumn("p", F.lit("melt")))
-    both = restored_fill(raw.select("p", "t", "r", "c", "v"), swe_i, keys=("p", "t"))
-    if shared:
-        both = materialize(both)      # read by cold content and by the output union
-    temp_i = both.where(F.col("p") == "temp").drop("p")
-    melt_i = both.where(F.col("p") == "melt").drop("p")
-    cc = K.cell_align_join(swe_i.withColumnRenamed("v", "swe"), temp_i.withColumnRenamed("v", "temp")).select(
-        "t", "r", "c", K.cold_content("temp", "swe").alias("v"))
-    parts = [("nohrsc_snodas_swe_interpolated", swe_i),
-             ("nohrsc_snodas_snowdepth_interpolated", swe_i),
-             ("nohrsc_snodas_snowpack_avg_temperature_interpolated", temp_i),
-             ("nohrsc_snodas_snowmelt_interpolated", melt_i),
-             ("nohrsc_snodas_coldcontent_interpolated", cc)]
+    cells = raw_grid(fx)
+    values = F.array(*[F.struct(F.lit(p).alias("p"), e.alias("v")) for p, e in (
+        ("swe", F.col("swe")), ("depth", F.col("depth")), ("temp", F.col("temp_k")), ("melt", F.col("melt")))])
+    long = cells.select("t", "r", "c", F.explode(values).alias("x")).select("x.p", "t", "r", "c", "x.v")
+    long = lake_fix(long, fx.mask, F.col("p").isin("swe", "depth"))
+    filled = materialize(FL.fill_nodata(long, FILL_DISTANCE, keys=("p", "t"), flag="was_null"), "filled", by="p")
+
+    def product(p: str) -> DataFrame:
+        return filled.where(F.col("p") == p).drop("p")
+
+    swe_i, depth_i = product("swe").drop("was_null"), product("depth").drop("was_null")
+    swe_f = swe_i.withColumnRenamed("v", "swe_f")
+
+    def restored(p: str) -> DataFrame:
+        before = F.when(~F.col("was_null"), F.lit(0.0))
+        return K.cell_align_join(product(p), swe_f).select("t", "r", "c", K.restore_nodata("v", before, "swe_f").alias("v"))
+
+    temp_i, melt_i = materialize(restored("temp"), "temp_i"), restored("melt")
+    cc = K.cell_align_join(swe_f, temp_i.withColumnRenamed("v", "temp")).select(
+        "t", "r", "c", K.cold_content("temp", "swe_f").alias("v"))
     out = None
-    for name, df in parts:
+    for name, df in zip(INTERPOLATED, (swe_i, depth_i, temp_i, melt_i, cc)):
         d = df.select(F.lit(name).alias("product"), "t", "r", "c", "v")
         out = d if out is None else out.unionByName(d)
     return out
 
 
+#: Names of the interpolated products.
+INTERPOLATED = ("nohrsc_snodas_swe_interpolated", "nohrsc_snodas_snowdepth_interpolated",
+                "nohrsc_snodas_snowpack_avg_temperature_interpolated", "nohrsc_snodas_snowmelt_interpolated",
+                "nohrsc_snodas_coldcontent_interpolated")
+_SQL_ALL = ("all_i", "\nunion all ".join(
+    f"select '{name}' as product, t, r, c, v from {src}"
+    for name, src in zip(INTERPOLATED, ("swe_f", "depth_f", "temp_i", "melt_i", "cc_i"))))
+
+
 @register("interpolate_for_datetime", sql_ctes(("v_grid", "v_mask"), [
-    *_SQL_SWE_F, *_sql_restored("temp_k", "temp_i"), *_sql_restored("melt", "melt_i"), _SQL_CCI], """
-select 'nohrsc_snodas_swe_interpolated' as product, t, r, c, v from swe_f
-union all select 'nohrsc_snodas_snowdepth_interpolated', t, r, c, v from swe_f
-union all select 'nohrsc_snodas_snowpack_avg_temperature_interpolated', t, r, c, v from temp_i
-union all select 'nohrsc_snodas_snowmelt_interpolated', t, r, c, v from melt_i
-union all select 'nohrsc_snodas_coldcontent_interpolated', t, r, c, v from cc_i"""))
+    *_SQL_SWE_F, *_SQL_DEPTH_F[1:], *_sql_restored("temp_k", "temp_i"), *_sql_restored("melt", "melt_i"), _SQL_CCI, _SQL_ALL],
+    sql_pyramid("all_i", "product, t")))
 def interpolate_for_datetime(spark, sf_dir):
-    return interpolate_all(Fixtures(spark, sf_dir))
+    return rounded(with_pyramid(interpolate_all(Fixtures(spark, sf_dir)), keys=("product", "t")))
 
 
 # ------------------------------------------------------- pyramids, statistics
-LEVELS = PY.levels_for(LATTICE, LATTICE)
 
 
 @register("overview_pyramid", sql_ctes(("v_grid",), [_SQL_G], f"""
@@ -294,14 +340,14 @@ select t, f as level, cast(floor(r / f) as int) as br, cast(floor(c / f) as int)
 from g, (select unnest({LEVELS}) as f) ff
 group by t, f, floor(r / f), floor(c / f)"""))
 def overview_pyramid(spark, sf_dir):
-    return PY.overview_pyramid(one(Fixtures(spark, sf_dir), "swe"), LEVELS)
+    return rounded(PY.overview_pyramid(one(Fixtures(spark, sf_dir), "swe"), LEVELS), "v_mean")
 
 
 @register("band_statistics", sql_ctes(("v_grid",), [_SQL_G], """
 select t, min(swe) as v_min, max(swe) as v_max, round(avg(swe), 6) as v_mean,
        round(stddev_pop(swe), 6) as v_stddev, count(swe) as v_count from g group by t"""))
 def band_statistics(spark, sf_dir):
-    return PY.band_statistics(one(Fixtures(spark, sf_dir), "swe"))
+    return rounded(rounded(PY.band_statistics(one(Fixtures(spark, sf_dir), "swe")), "v_mean"), "v_stddev")
 
 
 # ------------------------------------------------------------------- zonal
@@ -393,12 +439,12 @@ def basin_clip_join(spark, sf_dir):
 
 
 @register("basin_series_interpolated", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, _SQL_CLIP], """
-select b.z, s.t, s.r, s.c, s.v from swe_f s join clip b
+select b.z, s.t, s.r, s.c, round(s.v, 6) as v from swe_f s join clip b
   on s.c + 0.5 >= b.bxmin and s.c + 0.5 < b.bxmax and s.r + 0.5 > b.bymin and s.r + 0.5 <= b.bymax"""))
 def basin_series_interpolated(spark, sf_dir):
     """Filled SWE per basin (buffered envelope) for every time step of the range."""
     fx = Fixtures(spark, sf_dir)
-    return basin_clip(interpolated_swe_df(fx), fx.zones).select("z", "t", "r", "c", "v")
+    return rounded(basin_clip(interpolated_swe_df(fx), fx.zones).select("z", "t", "r", "c", "v"))
 
 
 def inches_stats(fx: Fixtures, swe: DataFrame) -> DataFrame:

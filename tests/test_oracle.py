@@ -1,7 +1,6 @@
 """Every registered key with an oracle: Spark result == DuckDB result (sf0.001)."""
 
 import math
-import os
 
 import pytest
 
@@ -10,13 +9,6 @@ from conftest import SF_SMALL
 
 ORACLE = entry.oracle_sql()
 QUERIES = entry.queries()
-# Composites of the gap fill: each runs one to three fills over the whole stand-in
-# lattice; fill_nodata itself always runs.  NIVALIS_FULL=1 runs them all.
-HEAVY = {"nearest_valid_join", "idw_average", "interpolate", "interpolated_swe", "interpolated_snowdepth",
-         "restore_nodata", "interpolated_snowtemp", "interpolated_snowmelt", "interpolated_coldcontent",
-         "interpolate_for_datetime", "zonal_series", "basin_series_interpolated"}
-FULL = os.environ.get("NIVALIS_FULL") == "1"
-
 
 def _rows(tbl):
     cols = sorted(tbl.column_names)
@@ -32,8 +24,6 @@ def _rows(tbl):
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, key):
-    if key in HEAVY and not FULL:
-        pytest.skip("fill composite; run with NIVALIS_FULL=1 or tools/oracle_check.py")
     got = QUERIES[key](spark, SF_SMALL).toArrow()
     exp = duck.sql(ORACLE[key]).arrow()
     if hasattr(exp, "read_all"):

@@ -7,8 +7,10 @@ import math
 import os
 import tarfile
 import tempfile
+import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -39,26 +41,50 @@ def brute_fill(grid, D):
                         best[q] = (key, v)
             if best:
                 w = [1 / math.sqrt(k[0]) for k, _ in best.values()]
-                out[r, c] = round(sum(wi * v for wi, (_, v) in zip(w, best.values())) / sum(w), 6)
+                out[r, c] = sum(wi * v for wi, (_, v) in zip(w, best.values())) / sum(w)
     return out
 
 
-def test_fill_matches_brute_force_and_keeps_valid_cells(spark):
+def cells_of(spark, g):
+    rows = [(1, r, c, None if np.isnan(g[r, c]) else float(g[r, c])) for r in range(g.shape[0]) for c in range(g.shape[1])]
+    return spark.createDataFrame(rows, "t int, r int, c int, v double").repartition(3)
+
+
+@pytest.mark.parametrize("shape, D, tile, share", [((20, 24), 5, 512, 0.7), ((33, 21), 6, 8, 0.9), ((30, 40), 35, 512, 0.97), ((24, 24), 35, 16, 0.98)])
+def test_fill_matches_brute_force_and_keeps_valid_cells(spark, monkeypatch, shape, D, tile, share):
+    monkeypatch.setattr(FL, "TILE", tile)
     rng = np.random.default_rng(7)
-    g = rng.integers(0, 100, size=(20, 24)).astype(float)
-    g[rng.random(g.shape) < 0.7] = np.nan
-    rows = [(1, r, c, None if np.isnan(g[r, c]) else float(g[r, c])) for r in range(20) for c in range(24)]
-    cells = spark.createDataFrame(rows, "t int, r int, c int, v double")
-    got = {(r.r, r.c): r.v for r in FL.fill_nodata(cells, 5).collect()}
-    exp = brute_fill(g, 5)
-    for r in range(20):
-        for c in range(24):
-            e = exp[r, c]
-            v = got[(r, c)]
-            if np.isnan(e):
-                assert v is None
-            else:
-                assert v is not None and abs(v - e) < 1e-9, (r, c, v, e)
+    g = rng.integers(0, 100, size=shape).astype(float)
+    g[rng.random(g.shape) < share] = np.nan
+    got = {(r.r, r.c): r.v for r in FL.fill_nodata(cells_of(spark, g), D).collect()}
+    exp = brute_fill(g, D)
+    assert len(got) == g.size
+    for (r, c), v in got.items():
+        e = exp[r, c]
+        assert v is None if np.isnan(e) else v is not None and abs(v - e) < 1e-9, (r, c, v, e)
+
+
+def test_fill_is_linear_in_the_cells():
+    """Equal cells as short and as long columns: the kernel's time must not grow with the column."""
+    rng = np.random.default_rng(3)
+    times = {}
+    for rows in (64, 4096):
+        g = rng.random((rows, 262_144 // rows))
+        g[rng.random(g.shape) < 0.3] = np.nan
+        i, j = np.nonzero(np.isnan(g))
+        best = []
+        for _ in range(3):
+            t0 = time.process_time()
+            FL.quadrants(g, i, j, 16)
+            best.append(time.process_time() - t0)
+        times[rows] = min(best)
+    assert times[4096] < 2 * times[64]
+
+
+def test_fill_plan_is_one_shuffle_without_join(spark):
+    cells = spark.range(64).select(F.lit(1).alias("t"), F.col("id").cast("int").alias("r"), F.lit(0).alias("c"), F.lit(1.0).alias("v"))
+    plan = FL.fill_nodata(cells, 35)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "Window" not in plan
 
 
 def test_pyramid_counts_add_up(spark):
@@ -70,7 +96,7 @@ def test_pyramid_counts_add_up(spark):
         assert n == n_valid
     top = p.where("level = 16").first()
     mean = sum(x[3] for x in rows if x[3] is not None) / n_valid
-    assert abs(top.v_mean - round(mean, 6)) < 1e-9
+    assert abs(top.v_mean - mean) < 1e-9
 
 
 def test_projection_round_trip(spark):
