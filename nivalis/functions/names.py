@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # Fixed values used by the reference's rules.
 VERSION_DEFAULT = "1111-11-11T11:11:11.11Z"
 NODATA_SWITCH_DATE = "2011-01-24"      # 55537 before, -9999 from this day
-GEOREF_SWITCH_DATE = "2013-10-01"      # corner coordinates change
 LAKEFIX_START_DATE = "2014-10-09"      # lake fix due from this day
 LAKEFIX_CODES = ("1034", "1036")       # SWE and snow depth parameter codes
 SNOW_PARAMETERS = {                     # product -> member name pattern (prefix, date)
@@ -24,8 +23,8 @@ COMPUTED_PRODUCTS = {
     "nohrsc_snodas_coldcontent": "{}_coldcontent_{}",
     "nohrsc_snodas_snowmeltmm": "{}_snowmeltmm_{}",
 }
-SNODAS_NAME_PATTERN = r"^SNODAS_unmasked_([0-9]+).tar"
-PRISM_NAME_PATTERN = r"^PRISM_[a-z]+_early_4kmD2_([0-9]+)_bil.zip"
+SNODAS_NAME_PATTERN = r"^SNODAS_unmasked_([0-9]+)\.tar$"
+PRISM_NAME_PATTERN = r"^PRISM_[a-z]+_early_4kmD2_([0-9]+)_bil\.zip$"
 
 
 def _c(x) -> Column:
@@ -52,8 +51,8 @@ def ntz_from_epoch(seconds) -> Column:
 
 
 def grib_time(text) -> Column:
-    """``"1599008400 sec UTC"`` -> TIMESTAMP_NTZ (UTC)."""
-    return ntz_from_epoch(F.split_part(_c(text), F.lit(" "), F.lit(1)).cast("bigint"))
+    """``"1599008400 sec UTC"`` -> TIMESTAMP_NTZ (UTC); NULL when it does not start with a whole number."""
+    return ntz_from_epoch(F.split_part(_c(text), F.lit(" "), F.lit(1)).try_cast("bigint"))
 
 
 def iso_text(ts) -> Column:
@@ -161,6 +160,7 @@ def header_value(content, keyword: str) -> Column:
     return F.nullif(F.regexp_extract(_c(content), keyword + r":\s+(\S*)\s+", 1), F.lit(""))
 
 
+# Header keywords and their short names.
 HEADER_KEYWORDS = {
     "cols": "Number of columns",
     "rows": "Number of rows",

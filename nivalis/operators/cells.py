@@ -86,7 +86,7 @@ def cell_align_join(left: DataFrame, right: DataFrame, keys=("t", "r", "c"), how
     return left.join(right, on=list(keys), how=how)
 
 
-def grid_shape(cells: DataFrame, grid_col: str = "grid") -> DataFrame:
-    """Row and column count of every grid (max index + 1)."""
-    return cells.groupBy(grid_col).agg(
+def grid_shape(cells: DataFrame, keys=("t", "grid")) -> DataFrame:
+    """Row and column count of every grid (max index + 1) over all its cells, nodata ones included."""
+    return cells.groupBy(*keys).agg(
         (F.max("r") + 1).alias("n_rows"), (F.max("c") + 1).alias("n_cols"))

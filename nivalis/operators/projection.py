@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sizing import sized_broadcast
-
 # Ellipsoid and projection parameters.
 A = 6378137.0
 E2 = 0.00669438002290
@@ -30,7 +28,6 @@ GEOREF_RULES = [
     ("masked", "2003-09-30", -124.73375000, 52.87458333, -66.94208333, 24.87458333),
     ("masked", "2013-10-01", -124.73333333, 52.87500000, -66.94166667, 24.95000000),
 ]
-GEOREF_CRS = "+proj=longlat +ellps=WGS84 +datum=WGS84 +no_defs"
 
 
 def _consts():
@@ -175,14 +172,14 @@ def bilinear_weights(targets: DataFrame, n_rows: int, n_cols: int) -> DataFrame:
     return e.where(F.col("r").between(0, n_rows - 1) & F.col("c").between(0, n_cols - 1))
 
 
-def bilinear_resample(values: DataFrame, weights: DataFrame, join_keys=("r", "c"),
+def bilinear_resample(values: DataFrame, weights: DataFrame, frame: DataFrame, join_keys=("r", "c"),
                       group_keys=("t", "tr", "tc"), value_col: str = "v") -> DataFrame:
-    """sum(w * v) / sum(w) over valid neighbours; NULL when none is valid.
+    """sum(w * v) / sum(w) over valid neighbours for every cell of ``frame`` (group keys); NULL when none is valid.
 
     An equi join of the weight table (4 rows per target cell, independent of
-    the number of time steps) with the value cells; the weights are broadcast
-    when their measured row count is under the bound, else shuffled.
+    the number of time steps) with the value cells; Spark broadcasts the
+    weights only where they are below its size threshold.
     """
-    j = values.join(sized_broadcast(weights), on=list(join_keys), how="inner").where(F.col(value_col).isNotNull())
-    return j.groupBy(*group_keys).agg(
-        F.round(F.sum(F.col("w") * F.col(value_col)) / F.sum("w"), 6).alias(value_col))
+    j = values.join(weights, on=list(join_keys), how="inner").where(F.col(value_col).isNotNull())
+    found = j.groupBy(*group_keys).agg((F.sum(F.col("w") * F.col(value_col)) / F.sum("w")).alias(value_col))
+    return frame.join(found, list(group_keys), "left")

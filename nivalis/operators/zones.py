@@ -6,11 +6,12 @@ cell belongs to a zone when its centre is inside under the even-odd rule.
 
 Spark will not plan a pure range predicate (``xa <= c + 0.5 < xb``) as
 anything but a nested-loop join, so the rasteriser gives every piece an equi
-key itself: edges are exploded onto the rows they cross (``sequence``), the
-crossings in a row are paired into spans by a window over (zone, row), and
-each span is exploded onto its columns.  The result, a (zone, r, c)
-membership table, meets the value grid through a plain equi join on (r, c).
-All work is proportional to the polygon outline plus the covered area.
+key itself: edges are exploded onto the rows they cross (``sequence``), and the
+crossings in a row, of all rings of the zone (holes and parts), are paired
+into spans of cells by a window over (zone, row).  Spans are cut at column
+tiles, so they meet the value grid in an equi join on (row, column tile) with
+the span as a residual test.  The membership grows with the outline, not with
+the covered area.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import sized_broadcast
+COLUMN_TILE = 64
 
 
 def _int_range(lo: Column, hi: Column) -> Column:
@@ -28,8 +29,9 @@ def _int_range(lo: Column, hi: Column) -> Column:
 
 
 def zone_edges(vertices: DataFrame, keys=("z",)) -> DataFrame:
-    """Closed ring edges: each vertex to the next, the last one back to the first."""
-    w = Window.partitionBy(*keys).orderBy("i")
+    """Closed ring edges: each vertex to the next of its ring, the last one back to the first."""
+    rings = ["ring"] if "ring" in vertices.columns else []
+    w = Window.partitionBy(*keys, *rings).orderBy("i")
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return vertices.select(
         *keys, "i",
@@ -63,30 +65,36 @@ def zone_spans(edges: DataFrame, n_rows: int, keys=("z",)) -> DataFrame:
     return ranked.where((F.col("k") % 2 == 1) & F.col("xb").isNotNull()).drop("k")
 
 
-def zone_cells(vertices: DataFrame, n_rows: int, n_cols: int, keys=("z",)) -> DataFrame:
-    """Membership table (zone keys, r, c): cells whose centre lies inside the zone."""
+def zone_members(vertices: DataFrame, n_rows: int, n_cols: int, keys=("z",)) -> DataFrame:
+    """Membership (zone keys, r, ct, lo, hi): columns lo..hi of row r, within column tile ct, lie inside the zone."""
     spans = zone_spans(zone_edges(vertices, keys), n_rows, keys)
-    xa, xb = F.col("xa"), F.col("xb")
-    c0 = F.greatest(F.ceil(xa - 0.5) - 1, F.lit(0))
-    c1 = F.least(F.ceil(xb - 0.5), F.lit(n_cols - 1))
-    cells = spans.select(*keys, "r", "xa", "xb", F.explode(_int_range(c0, c1)).alias("c"))
-    xc = F.col("c") + 0.5
-    return cells.where((xc >= xa) & (xc < xb)).select(*keys, "r", "c")
+    # Cell c is inside when xa <= c + 0.5 < xb.
+    cells = spans.select(*keys, "r", F.greatest(F.ceil(F.col("xa") - 0.5), F.lit(0)).cast("int").alias("c0"),
+                         F.least(F.ceil(F.col("xb") - 0.5) - 1, F.lit(n_cols - 1)).cast("int").alias("c1"))
+    tiles = cells.where("c0 <= c1").select("*", F.explode(F.sequence(
+        F.floor(F.col("c0") / COLUMN_TILE).cast("int"), F.floor(F.col("c1") / COLUMN_TILE).cast("int"))).alias("ct"))
+    return tiles.select(*keys, "r", "ct", F.greatest("c0", F.col("ct") * COLUMN_TILE).alias("lo"),
+                        F.least("c1", (F.col("ct") + 1) * COLUMN_TILE - 1).alias("hi"))
+
+
+def zone_cells(vertices: DataFrame, n_rows: int, n_cols: int, keys=("z",)) -> DataFrame:
+    """Membership cell by cell (zone keys, r, c): cells whose centre lies inside the zone."""
+    return zone_members(vertices, n_rows, n_cols, keys).select(*keys, "r", F.explode(F.sequence("lo", "hi")).alias("c"))
 
 
 def zone_cell_join(values: DataFrame, members: DataFrame) -> DataFrame:
-    """Attach zone keys to value cells: equi join on (r, c).
+    """Attach zone keys to value cells: equi join on (r, column tile), the span as residual test.
 
     The value side is first cut to the envelope of all zones (one scalar
-    subquery, evaluated before the scan).  The membership table grows with
-    the zones' area, not with the number of time steps, so it is broadcast
-    when its measured row count is under the bound (the cell table is then
-    never shuffled); beyond it the join is a shuffle equi join on (r, c).
+    subquery, evaluated before the scan).  Which side travels is Spark's
+    choice by size: the membership is broadcast where it is below
+    ``spark.sql.autoBroadcastJoinThreshold``, and only there.
     """
     env = members.agg(F.struct(F.min("r").alias("r0"), F.max("r").alias("r1"),
-                               F.min("c").alias("c0"), F.max("c").alias("c1")).alias("e")).scalar()
+                               F.min("lo").alias("c0"), F.max("hi").alias("c1")).alias("e")).scalar()
     cut = values.where(F.col("r").between(env["r0"], env["r1"]) & F.col("c").between(env["c0"], env["c1"]))
-    return cut.join(sized_broadcast(members), on=["r", "c"], how="inner")
+    tiled = cut.withColumn("ct", F.floor(F.col("c") / COLUMN_TILE).cast("int"))
+    return tiled.join(members, ["r", "ct"]).where(F.col("c").between(F.col("lo"), F.col("hi"))).drop("ct", "lo", "hi")
 
 
 def zonal_stats(values: DataFrame, members: DataFrame, zone_names: DataFrame,
@@ -114,7 +122,7 @@ def zonal_stats(values: DataFrame, members: DataFrame, zone_names: DataFrame,
     return out.select(
         *frame.columns,
         f"{prefix}min", f"{prefix}max",
-        F.round("_mean", 6).alias(f"{prefix}mean"),
+        F.col("_mean").alias(f"{prefix}mean"),
         F.coalesce(F.col(f"{prefix}count"), F.lit(0)).cast("bigint").alias(f"{prefix}count"),
     )
 
@@ -127,13 +135,13 @@ def zone_envelope(vertices: DataFrame, keys=("z",)) -> DataFrame:
 
 
 # --------------------------------------------------------------------- oracle
-def sql_zone_members(zone_view="v_zone", lattice_sql="select distinct r, c from v_lattice") -> list[tuple[str, str]]:
-    """DuckDB CTEs ``z_edges`` and ``z_inside`` by ray casting (crossing count parity)."""
+def sql_zone_members(zone_view="v_zone", lattice_sql="select distinct r, c from v_lattice", ring="z") -> list[tuple[str, str]]:
+    """DuckDB CTEs ``z_edges`` and ``z_inside`` by ray casting (crossing count parity over all rings)."""
     return [
         ("z_edges", f"""
 select z, x as x1, y as y1,
-       coalesce(lead(x) over (partition by z order by i), first_value(x) over (partition by z order by i)) as x2,
-       coalesce(lead(y) over (partition by z order by i), first_value(y) over (partition by z order by i)) as y2
+       coalesce(lead(x) over (partition by z, {ring} order by i), first_value(x) over (partition by z, {ring} order by i)) as x2,
+       coalesce(lead(y) over (partition by z, {ring} order by i), first_value(y) over (partition by z, {ring} order by i)) as y2
 from {zone_view}"""),
         ("z_inside", f"""
 select e.z, p.r, p.c

@@ -40,10 +40,10 @@ def zonal_coldcontent_df(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     g = raw_grid(fx)
     cc = g.select("t", "r", "c", K.cold_content("temp_k", "swe").alias("v"))
-    members = Z.zone_cells(fx.zones, LATTICE, LATTICE)
+    members = Z.zone_members(fx.zones, LATTICE, LATTICE)
     out = Z.zonal_stats(cc, members, zone_names(fx), prefix="cc_", times=fx.times)
     return out.select("t", F.col("z").alias("zone_id"), F.col("n").alias("zone_name"),
-                      "cc_min", "cc_max", "cc_mean", "cc_count")
+                      "cc_min", "cc_max", F.round("cc_mean", 6).alias("cc_mean"), "cc_count")
 
 
 register("zonal_coldcontent", sql_ctes(

@@ -24,6 +24,7 @@ from ..sources import rasters as R
 from .q_grid import _SQL_G, raw_grid, zone_names
 from .q_records import SQL_KP, SQL_PRODUCTS, SQL_UUID, _existing, _sql_hv
 from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, key_parts_df, product_table
+from .q_transforms import SQL_HOLED, holed_zones
 from .registry import register
 
 _SQL_RAW_SWE = f"""
@@ -178,11 +179,12 @@ def grid_window_read(spark, sf_dir):
     return df.select(F.col("t").cast("int").alias("t"), "r", "c", "swe")
 
 
-_SQL_ZI = f"""
-select g.t, zn.n as zone_name, round(min(g.swe) * 0.0393701, 3) as min_inches, round(max(g.swe) * 0.0393701, 3) as max_inches,
+_SQL_ZI = """
+select zt.t, zt.n as zone_name, round(min(g.swe) * 0.0393701, 3) as min_inches, round(max(g.swe) * 0.0393701, 3) as max_inches,
        round(avg(g.swe) * 0.0393701, 3) as mean_inches, count(g.swe) as count
-from z_inside i join g on g.r = i.r and g.c = i.c join (select distinct z, n from v_zone) zn on zn.z = i.z
-group by g.t, zn.n"""
+from (select distinct z, n, t from v_zone, (select distinct t from v_grid) tt) zt
+left join z_inside i on i.z = zt.z left join g on g.t = zt.t and g.r = i.r and g.c = i.c
+group by zt.t, zt.n"""
 STATS_DOC = "map<string, struct<HU_10:string, HU_10_NAME:string, min_inches:double, max_inches:double, mean_inches:double, count:bigint>>"
 
 
@@ -198,7 +200,9 @@ def stats_json(spark, sf_dir):
     s = inches_stats(fx, one(fx, "swe"))
     props = F.struct(F.col("n").alias("HU_10"), F.col("n").alias("HU_10_NAME"), "min_inches", "max_inches",
                      "mean_inches", "count")
-    docs = s.groupBy("t").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n", props)))).alias("json"))
+    s = C.last_per_key(s, ["t", "n"], "z")          # equal names: the last zone's entry stays
+    entries = F.map_from_entries(F.collect_list(F.struct("n", props)))
+    docs = s.groupBy("t").agg(F.to_json(entries, {"ignoreNullFields": "false"}).alias("json"))
     path = scratch_path(spark, "stats")
     S.write_json_documents(docs, path, "t")
     back = spark.read.text(path).select(F.col("t").cast("int").alias("t"), F.from_json("value", STATS_DOC).alias("m"))
@@ -255,10 +259,11 @@ def registry_stream(spark, sf_dir):
     return run_registry_stream(spark, sf_dir)
 
 
-@register("zone_scan", sql_ctes(("v_zone",), [], "select z, cast(i as int) as i, x, y from v_zone"))
+@register("zone_scan", sql_ctes(("v_zone",), [SQL_HOLED], "select z, cast(ring as int) as ring, cast(i as int) as i, x, y from hz"))
 def zone_scan(spark, sf_dir):
-    """Zones published as WKT text (one per nation triangle), parsed back into vertices."""
+    """Zones published as WKT text (triangles, some with a hole, some as MULTIPOLYGON in lower case), parsed back."""
     from ..sources.zones import vertices_to_wkt, wkt_to_vertices
-    wkt = vertices_to_wkt(Fixtures(spark, sf_dir).zones)
-    v = wkt_to_vertices(wkt, "wkt", ("z",))
-    return v.where(F.col("ring") == 0).select("z", F.col("i").cast("int").alias("i"), "x", "y")
+    wkt = vertices_to_wkt(holed_zones(Fixtures(spark, sf_dir)))
+    multi = F.concat(F.lit("multipolygon(("), F.regexp_extract("wkt", r"^POLYGON\((.*)\)$", 1), F.lit("))"))
+    v = wkt_to_vertices(wkt.select("z", F.when(F.col("z") % 3 == 0, multi).otherwise(F.col("wkt")).alias("wkt")))
+    return v.select("z", F.col("ring").cast("int").alias("ring"), F.col("i").cast("int").alias("i"), "x", "y")

@@ -52,15 +52,6 @@ def key_parts_df(fx: Fixtures):
 
 
 # ------------------------------------------------------------------ notices
-NOTICE_SCHEMA = T.StructType([T.StructField("Records", T.ArrayType(T.StructType([
-    T.StructField("eventName", T.StringType()),
-    T.StructField("eventTime", T.StringType()),
-    T.StructField("s3", T.StructType([
-        T.StructField("bucket", T.StructType([T.StructField("name", T.StringType())])),
-        T.StructField("object", T.StructType([
-            T.StructField("key", T.StringType()), T.StructField("size", T.LongType())])),
-    ])),
-])))])
 BUCKET = "incoming-grids"
 ROUTE_PREFIX = "products"       # first part of every routed output key
 
@@ -330,9 +321,10 @@ from assign a join recipes r on r.recipe = a.recipe join v_band b on b.file_id =
 group by a.file_id, r.filetype, r.version_from, r.band_rule, r.band_number, r.band_comment""")], f"""
 select p.file_id, p.filetype, p.band,
        strftime({SQL_GT.format(s='b.valid_time')}, '%Y-%m-%dT%H:%M:%S') as datetime,
-       case when p.version_from = 'grib_ref' then strftime({SQL_GT.format(s='f.valid_time')}, '%Y-%m-%dT%H:%M:%S') end as version
+       case when p.version_from = 'grib_ref' then strftime({SQL_GT.format(s='f.valid_time')}, '%Y-%m-%dT%H:%M:%S') end as version,
+       case when b.band is null then 'no band by the rule of the recipe' end as reason
 from pick p
-join v_band b on b.file_id = p.file_id and b.band = p.band
+left join v_band b on b.file_id = p.file_id and b.band = p.band
 join (select file_id, arg_min(valid_time, band) as valid_time from v_band group by file_id) f on f.file_id = p.file_id"""))
 def product_recipes(spark, sf_dir):
     """One plan for all GRIB recipes: pick the band by rule, then time and version.
@@ -355,11 +347,11 @@ def product_recipes(spark, sf_dir):
     )
     g = x.groupBy("file_id", "filetype", "version_from", "band_rule", "band_number", "band_comment").agg(
         by_rule.alias("s"), F.min(bs).alias("first"))
-    g = g.where(F.col("s").isNotNull())
     return g.select(
         "file_id", "filetype", F.col("s.band").alias("band"),
         N.iso_text(N.grib_time("s.valid_time")).alias("datetime"),
         F.when(F.col("version_from") == "grib_ref", N.iso_text(N.grib_time("first.valid_time"))).alias("version"),
+        F.when(F.col("s").isNull(), "no band by the rule of the recipe").alias("reason"),
     )
 
 

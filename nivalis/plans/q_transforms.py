@@ -130,26 +130,25 @@ def lakefix_zero_to_nodata(spark, sf_dir):
     return lakefixed(Fixtures(spark, sf_dir), "swe").select("t", "r", "c", "v")
 
 
-@register("grid_conformity", sql_ctes(("v_grid",), [_SQL_G, ("shapes", """
-select t, p, max(r) + 1 as n_rows, max(c) + 1 as n_cols from (
-  select t, r, c, 'swe' as p from g where swe is not null
-  union all select t, r, c, 'temp_k' from g where temp_k is not null
-  union all select t, r, c, 'melt' from g where melt is not null) x group by t, p""")], """
+@register("grid_conformity", sql_ctes(("v_grid",), [("shapes", """
+select t, p, max(r) + 1 as n_rows, max(c) + 1 as n_cols
+from (select t, r, c, unnest(['swe', 'temp_k', 'melt']) as p from v_grid) x group by t, p""")], """
 select t, count(*) as n_grids, min(n_rows) as min_rows, max(n_rows) as max_rows,
        min(n_cols) as min_cols, max(n_cols) as max_cols,
        (count(*) = 3 and min(n_rows) = max(n_rows) and min(n_cols) = max(n_cols)) as conform
 from shapes group by t"""))
 def grid_conformity(spark, sf_dir):
-    """Shape (extent of valid cells) of the three grids of each step, and whether they agree."""
+    """Shape of the three grids of each step, nodata edges included, and whether they agree."""
     fx = Fixtures(spark, sf_dir)
-    parts = [one(fx, p).where(F.col("v").isNotNull()).select("t", "r", "c", F.lit(p).alias("grid"))
-             for p in ("swe", "temp_k", "melt")]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    shapes = u.groupBy("t", "grid").agg((F.max("r") + 1).alias("n_rows"), (F.max("c") + 1).alias("n_cols"))
+    long = fx.grid.select("t", "r", "c", F.explode(F.array(*[F.lit(p) for p in ("swe", "temp_k", "melt")])).alias("grid"))
+    return conformity(K.grid_shape(long))
+
+
+def conformity(shapes: DataFrame, n_grids: int = 3) -> DataFrame:
     g = shapes.groupBy("t").agg(
         F.count(F.lit(1)).alias("n_grids"), F.min("n_rows").alias("min_rows"), F.max("n_rows").alias("max_rows"),
         F.min("n_cols").alias("min_cols"), F.max("n_cols").alias("max_cols"))
-    return g.withColumn("conform", (F.col("n_grids") == 3) & (F.col("min_rows") == F.col("max_rows"))
+    return g.withColumn("conform", (F.col("n_grids") == n_grids) & (F.col("min_rows") == F.col("max_rows"))
                         & (F.col("min_cols") == F.col("max_cols")))
 
 
@@ -361,15 +360,34 @@ from zt left join z_inside i on i.z = zt.z left join g on g.t = zt.t and g.r = i
 group by zt.t, zt.z, zt.n"""))
 def zonal_stats(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    members = Z.zone_cells(fx.zones, LATTICE, LATTICE)
-    out = Z.zonal_stats(one(fx, "swe"), members, zone_names(fx), prefix="v_", times=fx.times)
+    members = Z.zone_members(fx.zones, LATTICE, LATTICE)
+    out = rounded(Z.zonal_stats(one(fx, "swe"), members, zone_names(fx), prefix="v_", times=fx.times), "v_mean")
     return out.select("t", F.col("z").alias("zone_id"), F.col("n").alias("zone_name"),
                       "v_min", "v_max", "v_mean", "v_count")
 
 
-@register("zone_cell_join", sql_ctes(("v_zone", "v_lattice"), Z.sql_zone_members(), "select z, r, c from z_inside"))
+def holed_zones(fx: Fixtures) -> DataFrame:
+    """The zone triangles with their vertices drawn towards the middle of the envelope as a second ring, for even z."""
+    v = fx.zones.select("z", F.lit(0).alias("ring"), "i", "x", "y")
+    env = Z.zone_envelope(fx.zones)
+    hole = v.where("z % 2 = 0").join(env, "z").select(
+        "z", F.lit(1).alias("ring"), "i", (F.col("x") * 0.4 + (F.col("xmin") + F.col("xmax")) * 0.3).alias("x"),
+        (F.col("y") * 0.4 + (F.col("ymin") + F.col("ymax")) * 0.3).alias("y"))
+    return v.unionByName(hole)
+
+
+SQL_HOLED = ("hz", """
+select z, 0 as ring, i, x, y from v_zone
+union all
+select z, 1, i, x * 0.4e0 + (min(x) over (partition by z) + max(x) over (partition by z)) * 0.3e0,
+       y * 0.4e0 + (min(y) over (partition by z) + max(y) over (partition by z)) * 0.3e0 from v_zone where z % 2 = 0""")
+
+
+@register("zone_cell_join", sql_ctes(("v_zone", "v_lattice"), [SQL_HOLED, *Z.sql_zone_members("hz", ring="ring")],
+                                     "select z, r, c from z_inside"))
 def zone_cell_join(spark, sf_dir):
-    return Z.zone_cells(Fixtures(spark, sf_dir).zones, LATTICE, LATTICE)
+    """Cells of zones with holes."""
+    return Z.zone_cells(holed_zones(Fixtures(spark, sf_dir)), LATTICE, LATTICE)
 
 
 @register("zone_envelope", sql_ctes(("v_zone",), [], """
@@ -447,21 +465,25 @@ def basin_series_interpolated(spark, sf_dir):
     return rounded(basin_clip(interpolated_swe_df(fx), fx.zones).select("z", "t", "r", "c", "v"))
 
 
-def inches_stats(fx: Fixtures, swe: DataFrame) -> DataFrame:
-    members = Z.zone_cells(fx.zones, LATTICE, LATTICE)
-    j = Z.zone_cell_join(swe, members)
-    g = j.groupBy("t", "z").agg(F.min("v").alias("mn"), F.max("v").alias("mx"), F.avg("v").alias("av"),
-                                F.count("v").alias("cnt"))
-    g = g.join(zone_names(fx), "z")
-    return g.select("t", "z", "n", N.mm_to_inches("mn").alias("min_inches"), N.mm_to_inches("mx").alias("max_inches"),
-                    N.mm_to_inches("av").alias("mean_inches"), F.col("cnt").cast("bigint").alias("count"))
+def inches_stats(fx: Fixtures, swe: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Statistics in inches per step of [start, end) and zone; a zone without valid cells has count 0 and no values."""
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (F.col("t") >= start)
+    if end is not None:
+        inside = inside & (F.col("t") < end)
+    members = Z.zone_members(fx.zones, LATTICE, LATTICE)
+    g = Z.zonal_stats(swe.where(inside), members, zone_names(fx), times=fx.times.where(inside))
+    return g.select("t", "z", "n", N.mm_to_inches("min").alias("min_inches"), N.mm_to_inches("max").alias("max_inches"),
+                    N.mm_to_inches("mean").alias("mean_inches"), "count")
 
 
 _SQL_INCH = """
-select g.t, i.z, zn.n, round(min(g.v) * 0.0393701, 3) as min_inches, round(max(g.v) * 0.0393701, 3) as max_inches,
+select zt.t, zt.z, zt.n, round(min(g.v) * 0.0393701, 3) as min_inches, round(max(g.v) * 0.0393701, 3) as max_inches,
        round(avg(g.v) * 0.0393701, 3) as mean_inches, count(g.v) as count
-from z_inside i join {src} g on g.r = i.r and g.c = i.c join (select distinct z, n from v_zone) zn on zn.z = i.z
-group by g.t, i.z, zn.n"""
+from (select distinct z, n, t from v_zone, (select distinct t from v_grid) tt) zt
+left join z_inside i on i.z = zt.z left join {src} g on g.t = zt.t and g.r = i.r and g.c = i.c
+group by zt.t, zt.z, zt.n"""
 
 
 @register("mm_to_inches", sql_ctes(("v_grid", "v_zone"), [_SQL_G, SQL_SWE, *Z.sql_zone_members()],
@@ -483,13 +505,19 @@ def zone_properties(spark, sf_dir):
     return s.select("t", props).select("t", "p.*")
 
 
+SERIES = (199201, 199901)       # first step and the step after the last of the series
+
+
 @register("zonal_series", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, *Z.sql_zone_members()],
-                                   "select t, n as zone_name, min_inches, max_inches, mean_inches, count from ("
-                                   + _SQL_INCH.format(src="swe_f") + ") q"))
+                                   f"select t, max_by(n, z) as zone_name, max_by(min_inches, z) as min_inches, max_by(max_inches, z) as max_inches, "
+                                   "max_by(mean_inches, z) as mean_inches, max_by(count, z) as count from ("
+                                   + _SQL_INCH.format(src="swe_f") + f") q where t >= {SERIES[0]} and t < {SERIES[1]} group by t, n"))
 def zonal_series(spark, sf_dir):
-    """Per time step and zone name: statistics of filled SWE in inches (the daily series)."""
+    """Per time step of [start, end) and zone name: statistics of filled SWE in inches; of equal names the last zone's."""
     fx = Fixtures(spark, sf_dir)
-    s = inches_stats(fx, interpolated_swe_df(fx))
+    start, end = SERIES
+    swe = FL.fill_nodata(lakefixed(fx, "swe").where((F.col("t") >= start) & (F.col("t") < end)), FILL_DISTANCE)
+    s = C.last_per_key(inches_stats(fx, swe, start, end), ["t", "n"], "z")
     return s.select("t", F.col("n").alias("zone_name"), "min_inches", "max_inches", "mean_inches", "count")
 
 
@@ -620,8 +648,9 @@ where r between 0 and {LATTICE - 1} and c between 0 and {LATTICE - 1}"""),
 ]
 
 
-@register("bilinear_join", sql_ctes((), [_SQL_RULES, *_SQL_TW], """
-select rule_from, tr, tc, r, c, round(w, 6) as w from nb"""))
+@register("bilinear_join", sql_ctes(("v_grid",), [_SQL_RULES, *_SQL_TW], f"""
+select rule_from, tr, tc, r, c, round(w, 6) as w from nb where rule_from in (
+  select u.valid_from from (select distinct {SQL_SHIFT} as d from v_grid) tt {_SQL_ASOF.format(ds="'unmasked'", d='tt.d')})"""))
 def bilinear_join(spark, sf_dir):
     """Target cells of the equal-area lattice with their source neighbours and weights,
     for every georeference period in force over the grid steps of the tables."""
@@ -636,14 +665,20 @@ select g.t, u.valid_from as rule_from, g.r, g.c, g.swe as v
 from g, (select distinct t, {SQL_SHIFT} as d from v_grid) tt
 {_SQL_ASOF.format(ds="'unmasked'", d='tt.d')}
 where tt.t = g.t""")], """
-select v.t, n.tr, n.tc, round(sum(n.w * v.v) / sum(n.w), 6) as v
-from vals v join nb n on n.rule_from = v.rule_from and n.r = v.r and n.c = v.c
-where v.v is not null group by v.t, n.tr, n.tc"""))
+select f.t, f.tr, f.tc, x.v
+from (select t, tr, tc from (select distinct t from v_grid) a, tl) f left join (
+  select v.t, n.tr, n.tc, round(sum(n.w * v.v) / sum(n.w), 6) as v
+  from vals v join nb n on n.rule_from = v.rule_from and n.r = v.r and n.c = v.c
+  where v.v is not null group by v.t, n.tr, n.tc) x on x.t = f.t and x.tr = f.tr and x.tc = f.tc"""))
 def reproject_grid(spark, sf_dir):
-    """SWE warped to 50 km equal-area cells by bilinear weights (valid neighbours only)."""
+    """SWE warped to 50 km equal-area cells by bilinear weights (valid neighbours only); every target cell has a row."""
     fx = Fixtures(spark, sf_dir)
-    vals = one(fx, "swe").join(georef_times(fx).select("t", F.col("valid_from").alias("rule_from")), "t")
-    return P.bilinear_resample(vals, target_weights(spark), join_keys=("rule_from", "r", "c"))
+    times = georef_times(fx).select("t", F.col("valid_from").alias("rule_from"))
+    vals = one(fx, "swe").join(times, "t")
+    cols = F.sequence(F.lit(0), F.lit(TARGET["n_cols"] - 1))
+    frame = (times.select("t", F.explode(F.sequence(F.lit(0), F.lit(TARGET["n_rows"] - 1))).alias("tr"))
+             .select("t", "tr", F.explode(cols).alias("tc")))
+    return rounded(P.bilinear_resample(vals, target_weights(spark), frame, join_keys=("rule_from", "r", "c")))
 
 
 # --------------------------------------------------------- daily products

@@ -1,9 +1,10 @@
-"""Zone polygons from WKT text: ``POLYGON((x y, ...), (hole ...))`` -> vertex table.
+"""Zone polygons from WKT text: POLYGON and MULTIPOLYGON, with holes -> vertex table.
 
-Parsing is built-in string functions only: the ring list is cut out with
-``regexp_extract``, rings and points are split and numbered with
-``posexplode``.  The closing vertex (equal to the first) is dropped, so the
-edges are formed again by ``lead`` over the vertex order.
+Parsing is built-in string functions only: every innermost pair of brackets is
+a ring; rings and points are numbered with ``posexplode``.  Rings are kept
+apart, so the even-odd rule sees holes and parts alike.  The closing vertex
+(equal to the first) is dropped, so the edges are formed again by ``lead``
+over the vertex order.
 """
 
 from __future__ import annotations
@@ -11,29 +12,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_NUMBER = r"[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?"
+
+
+def _parsed(df: DataFrame, wkt_col: str) -> DataFrame:
+    """Add ``_rings`` (array of arrays of point texts) and ``_ok``: at least one ring, every point two numbers."""
+    body = F.regexp_extract(F.col(wkt_col), r"(?is)^\s*(?:MULTI)?POLYGON\s*(?:Z\s*|M\s*|ZM\s*)?\((.*)\)\s*$", 1)
+    rings = F.transform(F.regexp_extract_all(body, F.lit(r"\(([^()]+)\)"), F.lit(1)),
+                        lambda ring: F.split(F.trim(ring), r"\s*,\s*"))
+    numbers = F.forall(F.flatten("_rings"), lambda pt: pt.rlike(rf"^\s*{_NUMBER}\s+{_NUMBER}(\s|$)"))
+    return df.withColumn("_rings", rings).withColumn("_ok", (F.size("_rings") > 0) & numbers)
+
+
+def wkt_rejects(df: DataFrame, wkt_col: str = "wkt") -> DataFrame:
+    """Rows whose text is no polygon: empty, another geometry, or with a coordinate that is no number."""
+    return _parsed(df, wkt_col).where(~F.coalesce("_ok", F.lit(False))).select(*df.columns)
+
 
 def wkt_to_vertices(df: DataFrame, wkt_col: str = "wkt", keys=("z",)) -> DataFrame:
-    """(keys, wkt) -> (keys, ring, i, x, y); ring 0 is the outer ring."""
-    body = F.regexp_extract(F.col(wkt_col), r"^\s*POLYGON\s*\(\((.*)\)\)\s*$", 1)
-    rings = df.select(*keys, F.posexplode(F.split(body, r"\)\s*,\s*\(")).alias("ring", "txt"))
-    pts = rings.select(*keys, "ring", F.posexplode(F.split(F.trim("txt"), r"\s*,\s*")).alias("i", "pt"))
+    """(keys, wkt) -> (keys, ring, i, x, y); rejected texts (see ``wkt_rejects``) give no rows."""
+    good = _parsed(df, wkt_col).where("_ok")
+    rings = good.select(*keys, F.posexplode("_rings").alias("ring", "pts"))
+    pts = rings.select(*keys, "ring", F.posexplode("pts").alias("i", "pt"))
     xy = F.split(F.trim("pt"), r"\s+")
-    v = pts.select(*keys, "ring", "i", xy[0].cast("double").alias("x"), xy[1].cast("double").alias("y"))
-    n = F.max("i").over(Window.partitionBy(*keys, "ring"))
-    first = F.first(F.struct("x", "y")).over(
-        Window.partitionBy(*keys, "ring").orderBy("i")
-        .rowsBetween(Window.unboundedPreceding, 0))
-    v = v.select("*", n.alias("_n"), first.alias("_f"))
+    v = pts.select(*keys, "ring", "i", xy[0].try_cast("double").alias("x"), xy[1].try_cast("double").alias("y"))
+    w = Window.partitionBy(*keys, "ring")
+    first = F.first(F.struct("x", "y")).over(w.orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    v = v.select("*", F.max("i").over(w).alias("_n"), first.alias("_f"))
     closing = (F.col("i") == F.col("_n")) & (F.col("x") == F.col("_f.x")) & (F.col("y") == F.col("_f.y")) & (F.col("_n") > 0)
     return v.where(~closing).drop("_n", "_f")
 
 
 def vertices_to_wkt(vertices: DataFrame, keys=("z",)) -> DataFrame:
-    """Vertex table (one ring per zone) -> closed WKT polygon text per zone.
+    """Vertex table (keys, ring, i, x, y) -> closed WKT polygon text per zone, holes as further rings.
 
     One group is one polygon outline, bounded by its vertex count.
     """
-    pts = vertices.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("p"))
+    pts = vertices.groupBy(*keys, "ring").agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("p"))
     txt = F.transform("p", lambda e: F.concat_ws(" ", e["x"].cast("string"), e["y"].cast("string")))
-    closed = F.concat(txt, F.array(F.element_at(txt, 1)))
-    return pts.select(*keys, F.concat(F.lit("POLYGON(("), F.array_join(closed, ", "), F.lit("))")).alias("wkt"))
+    ring = F.concat(F.lit("("), F.array_join(F.concat(txt, F.array(F.element_at(txt, 1))), ", "), F.lit(")"))
+    rings = pts.select(*keys, "ring", ring.alias("txt")).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("ring", "txt"))).alias("rs"))
+    return rings.select(*keys, F.concat(F.lit("POLYGON("), F.array_join(F.transform("rs", lambda r: r["txt"]), ", "),
+                                        F.lit(")")).alias("wkt"))

@@ -150,13 +150,16 @@ def test_binary_round_trips(spark):
         assert len(got) == 120 and got[(3, 4)] is None and got[(11, 9)] == 119.0
 
 
-def test_zonal_stats_same_with_and_without_broadcast(spark, monkeypatch):
+def test_zonal_stats_same_with_and_without_broadcast(spark):
     import __spark_entry__ as e
-    from nivalis.operators import sizing
     q = e.queries()["zonal_stats"]
     with_bc = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
-    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", -1)
-    plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    without = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
-    assert with_bc == without
-    assert "BroadcastNestedLoopJoin" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = q(spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in df.collect()) == with_bc
+        assert "NestedLoop" not in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from nivalis.functions import names as N
 from nivalis.operators import cells as K
 from nivalis.operators import zones as Z
@@ -91,23 +92,13 @@ def test_empty_zone_gets_count_zero(spark):
                                   "z int, n string, i int, x double, y double")
     cells = spark.createDataFrame([(1, r, c, float(r * 10 + c)) for r in range(4) for c in range(4)],
                                   "t int, r int, c int, v double")
-    members = Z.zone_cells(verts, 4, 4)
+    members = Z.zone_members(verts, 4, 4)
     out = {r.z: r for r in Z.zonal_stats(cells, members, verts.select("z", "n").distinct()).collect()}
     assert out[1]["count"] == 0 and out[1]["min"] is None
     # centres (c+.5, r+.5) strictly inside x + y < 4: 6 cells
     assert out[2]["count"] == 6
 
 
-def test_band_by_comment_falls_back_to_last(spark):
-    from nivalis.plans import q_records  # noqa: F401  (uses the same expression)
-    b = spark.createDataFrame([(1, 1, "Wind"), (1, 2, "Wind"), (1, 3, "Wind"), (2, 1, "Wind"), (2, 2, "Total precipitation x")],
-                              "file_id long, band int, comment string")
-    hit = F.when(F.col("comment").contains("Total precipitation"), F.struct("band"))
-    g = b.groupBy("file_id").agg(F.coalesce(F.min(hit), F.max(F.struct("band"))).alias("s"))
-    got = {r.file_id: r.s.band for r in g.collect()}
-    assert got == {1: 3, 2: 2}
-
-
 def test_buffered_extent_zero_cell_size(spark):
     from nivalis.plans.q_transforms import buffered
     env = spark.createDataFrame([(1.3, 2.7, 5.2, 6.9, 2, 0.0), (1.3, 2.7, 5.2, 6.9, 0, 1.0), (1.3, 2.7, 5.2, 6.9, 1, 1.0)],
@@ -116,3 +107,57 @@ def test_buffered_extent_zero_cell_size(spark):
     assert got[0] == (1.3, 2.7, 5.2, 6.9)
     assert got[1] == (1.3, 2.7, 5.2, 6.9)
     assert got[2] == (0.0, 1.0, 7.0, 8.0)
+
+
+def test_zone_with_hole_multipolygon_and_rejects(spark):
+    from nivalis.sources.zones import wkt_rejects, wkt_to_vertices
+    texts = [(1, "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0), (3 3, 7 3, 7 7, 3 7, 3 3))"),
+             (2, "multipolygon(((0 0,2 0,2 2,0 2,0 0)),((4 4,6 4,6 6,4 6,4 4)))"),
+             (3, "POLYGON EMPTY"), (4, "POLYGON((0 0, x 1, 2 2))"), (5, "POINT(1 2)"), (6, None), (7, " Polygon ((0 0 5, 1e0 0 5, 1 1 5, 0 0 5))")]
+    df = spark.createDataFrame(texts, "z int, wkt string")
+    assert sorted(r.z for r in wkt_rejects(df).collect()) == [3, 4, 5, 6]
+    v = wkt_to_vertices(df)
+    assert sorted({r.z for r in v.collect()}) == [1, 2, 7]
+    cells = Z.zone_cells(v, 10, 10).collect()
+    assert sum(r.z == 1 for r in cells) == 84 and sum(r.z == 2 for r in cells) == 8
+    hole = {(r.r, r.c) for r in cells if r.z == 1}
+    assert (4, 4) not in hole and (2, 2) in hole
+
+
+def test_wide_spans_are_cut_at_column_tiles(spark):
+    v = spark.createDataFrame([(1, 0, 0.0, 0.0), (1, 1, 200.0, 0.0), (1, 2, 200.0, 2.0), (1, 3, 0.0, 2.0)], "z int, i int, x double, y double")
+    members = Z.zone_members(v, 2, 200)
+    assert {(r.ct, r.lo, r.hi) for r in members.where("r = 0").collect()} == {(0, 0, 63), (1, 64, 127), (2, 128, 191), (3, 192, 199)}
+    cells = spark.range(400).select(F.lit(1).alias("t"), (F.col("id") % 2).cast("int").alias("r"),
+                                    F.floor(F.col("id") / 2).cast("int").alias("c"), F.lit(1.0).alias("v"))
+    assert Z.zone_cell_join(cells, members).count() == 400
+
+
+def test_malformed_grib_time_is_null(spark):
+    df = spark.createDataFrame([("1599008400 sec UTC",), ("soon",), (None,), ("",)], "s string")
+    got = [r.t for r in df.select(N.grib_time("s").alias("t")).collect()]
+    assert got[0] is not None and got[1:] == [None, None, None]
+
+
+def test_conformity_counts_nodata_edges(spark):
+    from nivalis.plans.q_transforms import conformity
+    rows = [(1, g, r, c, None if r == 3 else 1.0) for g in "ab" for r in range(4) for c in range(3)] + [(2, "a", 0, 0, 1.0), (2, "b", 5, 0, 1.0)]
+    cells = spark.createDataFrame(rows, "t int, grid string, r int, c int, v double")
+    got = {r.t: (r.min_rows, r.max_rows, r.conform) for r in conformity(K.grid_shape(cells), 2).collect()}
+    assert got == {1: (4, 4, True), 2: (1, 6, False)}
+
+
+def test_file_without_its_band_is_reported(spark):
+    from nivalis.plans.registry import QUERIES
+    got = QUERIES["product_recipes"](spark, SF_SMALL)
+    files = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey").distinct().count()
+    assert got.count() == files
+    assert got.where("band is null").count() == got.where("reason is not null").count() > 0
+
+
+def test_every_target_cell_has_a_row(spark):
+    from nivalis.plans.q_transforms import TARGET
+    from nivalis.plans.registry import QUERIES
+    got = QUERIES["reproject_grid"](spark, SF_SMALL)
+    steps = got.select("t").distinct().count()
+    assert got.count() == steps * TARGET["n_rows"] * TARGET["n_cols"] and got.where("v is null").count() > 0
