@@ -10,9 +10,10 @@ The class model is log-bilinear: the vectors of the two context classes, each
 through its own matrix, predict a vector whose product with a class's vector,
 plus its bias, is the class's score.  Training minimises the noise-contrastive
 loss in numpy on the counts of all class trigrams of the training corpus (the
-expectation over noise is taken exactly, the classes being few); afterwards one
-batched matrix product gives the scores of all contexts, which are normalised
-into a table of log-probabilities.  Scoring a document looks its classes up.
+expectation over noise is taken exactly, the classes being few).  A scoring
+task gets the vectors, makes the scores of all contexts in batched matrix
+products, normalises them into a table of log-probabilities and looks the
+classes of its documents up.
 
 Everything is gathered from all training tokens by Spark: word counts (partly
 summed in the scan tasks), trigram counts (at most CLASSES ** 3 cells) and, for
@@ -195,10 +196,11 @@ def trigram_counts(encoded: DataFrame, end: int) -> tuple[np.ndarray, np.ndarray
     return rows.column("code").to_numpy(), rows.column("n").to_numpy()
 
 
-def train(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Table of log10 P(class | two classes before), contexts by rows, from trigram counts."""
+def train(codes: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """Vectors, matrices and biases of the class model from trigram counts; all 0 without any."""
+    shapes = {"r": (CLASSES, DIM), "a": (DIM, DIM), "b": (DIM, DIM), "v": (CLASSES, DIM), "bias": (CLASSES,)}
     if not len(codes):
-        return np.full((CLASSES**2, CLASSES), -np.log10(CLASSES), np.float32)
+        return {k: np.zeros(s) for k, s in shapes.items()}
     rng = np.random.default_rng(7)
     context, target = codes // CLASSES, codes % CLASSES
     order = np.argsort(context, kind="stable")
@@ -210,7 +212,6 @@ def train(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
     noise = np.bincount(target, n, CLASSES) + 1.0
     noise /= noise.sum()
     log_noise = np.log(NOISE * noise)
-    shapes = {"r": (CLASSES, DIM), "a": (DIM, DIM), "b": (DIM, DIM), "v": (CLASSES, DIM), "bias": (CLASSES,)}
     w = {k: rng.normal(0, 0.1, s) for k, s in shapes.items()}
     w["a"], w["b"], w["bias"] = np.eye(DIM), np.eye(DIM) * 0.5, np.log(noise)
     first, second = ({k: np.zeros(s) for k, s in shapes.items()} for _ in range(2))
@@ -236,6 +237,11 @@ def train(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
             first[k] = 0.9 * first[k] + 0.1 * grad
             second[k] = 0.999 * second[k] + 0.001 * grad**2
             w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+def table_of(w: dict[str, np.ndarray]) -> np.ndarray:
+    """log10 P(class | two classes before), contexts by rows: normalised products of all contexts."""
     table = np.empty((CLASSES**2, CLASSES), np.float32)
     for two in range(CLASSES):  # all contexts, a batch of products per class two back
         score = (w["r"] @ w["a"] + w["r"][two] @ w["b"]) @ w["v"].T + w["bias"]
@@ -244,13 +250,13 @@ def train(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
     return table
 
 
-def class_scores(encoded: DataFrame, model: Vocabulary, table: np.ndarray) -> DataFrame:
+def class_scores(encoded: DataFrame, model: Vocabulary, weights: dict[str, np.ndarray]) -> DataFrame:
     """row_id, doc_id, held_out, n_tokens, n_known, and the parts of both scores that need no other words."""
-    shared = encoded.sparkSession.sparkContext.broadcast((table, model.log_room, model.end))
+    shared = encoded.sparkSession.sparkContext.broadcast((weights, model.log_room, model.end))  # of fixed size
 
     def run(batches):
-        table, log_room, end = shared.value
-        flat = table.reshape(-1)
+        weights, log_room, end = shared.value
+        flat = table_of(weights).reshape(-1)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -271,8 +277,8 @@ def score(docs: DataFrame) -> DataFrame:
     counts = stage(word_counts(docs), "lm_counts")
     model = vocabulary(counts)
     encoded = encode(docs, model)
-    table = train(*trigram_counts(encoded, model.end))
-    parts = class_scores(encoded, model, table)
+    weights = train(*trigram_counts(encoded, model.end))
+    parts = class_scores(encoded, model, weights)
     least = float(model.counts.min()) if len(model.counts) else 0.0
     # Words that are not common are no more frequent than the least common one.
     rare = counts.filter(F.col("c") <= least)

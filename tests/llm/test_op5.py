@@ -46,7 +46,7 @@ def test_probabilities_of_all_words_sum_to_one(spark, duck):
     counts = lm_score.word_counts(docs)
     model = lm_score.vocabulary(counts)
     encoded = lm_score.encode(docs, model)
-    table = lm_score.train(*lm_score.trigram_counts(encoded, model.end))
+    table = lm_score.table_of(lm_score.train(*lm_score.trigram_counts(encoded, model.end)))
     assert np.allclose((10.0 ** table.astype(float)).sum(1), 1, atol=1e-4)
     # Within a class: known words by (c + 1) and one place for the unknown fill the room.
     own = set(model.words[: lm_score.OWN]) | {lm_score.END}
