@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import table
+from .session import scratch_path, table
 
 # Fixed values of the fixture definition.
 LATTICE = 64            # rows = columns of the stand-in grid
@@ -158,9 +158,15 @@ class Fixtures:
 
     @cached_property
     def acquirable(self) -> DataFrame:
-        """Catalog of valid acquirables: every event type except ``error``."""
-        return self.t("events").select(F.col("event_type").alias("name")).where(
-            F.col("name") != "error").distinct()
+        """Catalog of valid acquirables: every event type except ``error``.
+
+        Written as a table of its own, as a catalog is: the planner sees its
+        true size and joins the notices to it without a shuffle.
+        """
+        path = scratch_path(self.spark, "acquirable")
+        rows = self.t("events").select(F.col("event_type").alias("name")).where(F.col("name") != "error").distinct()
+        rows.coalesce(1).write.parquet(path)
+        return self.spark.read.schema("name string").parquet(path)
 
     @cached_property
     def band(self) -> DataFrame:

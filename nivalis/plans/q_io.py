@@ -24,18 +24,18 @@ from ..sources import rasters as R
 from .q_grid import _SQL_G, raw_grid, zone_names
 from .q_records import SQL_KP, SQL_PRODUCTS, SQL_UUID, _existing, _sql_hv
 from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, key_parts_df, product_table
-from .q_transforms import SQL_HOLED, holed_zones
+from .q_transforms import SQL_HOLED, SQL_SHIFT, holed_zones
 from .registry import register
 
 _SQL_RAW_SWE = f"""
 select t, r, c, case when swe = -9999.0 then null else round(swe) end as v from v_grid"""
 
 
-def _grid_files(fx: Fixtures) -> str:
-    """Write the SWE grids in every raw container format; return the folder."""
+def _grid_files(fx: Fixtures, kind: str) -> str:
+    """Write the SWE grids in one raw container format; return the folder."""
     base = scratch_path(fx.spark, "rawgrids")
     cells = raw_grid(fx).select("t", "r", "c", F.col("swe").alias("v"))
-    R.write_grid_files(cells, base, LATTICE, LATTICE, headers=fx.header).count()
+    R.write_grid_files(cells, base, LATTICE, LATTICE, headers=fx.header, kinds=(kind,)).write.format("noop").mode("overwrite").save()
     return base
 
 
@@ -44,9 +44,9 @@ def _t_from_path(pattern: str):
 
 
 def _scan(fx: Fixtures, sub: str, glob: str, kind: str, member_of=None) -> DataFrame:
-    base = _grid_files(fx)
+    base = _grid_files(fx, kind)
     files = R.read_binary(fx.spark, os.path.join(base, sub), glob)
-    cells = R.tiles_to_cells(R.decode_grids(files, LATTICE, kind, member_of))
+    cells = R.tiles_to_cells(R.decode_grids(files, LATTICE, kind, member_of, n_rows=LATTICE))
     return cells.select(_t_from_path(r"grid_(\d+)").alias("t"), "r", "c", "v")
 
 
@@ -69,7 +69,7 @@ def zipped_grid_scan(spark, sf_dir):
 
 
 def _members(fx: Fixtures) -> DataFrame:
-    base = _grid_files(fx)
+    base = _grid_files(fx, "tar")
     files = R.read_binary(fx.spark, os.path.join(base, "tar"), "*.tar")
     m = R.archive_members(files)
     return m.select(_t_from_path(r"archive_(\d+)\.tar").alias("t"), "member", "content")
@@ -229,17 +229,34 @@ def header_csv_append(spark, sf_dir):
     return spark.read.schema(HEADER_CSV).csv(path)
 
 
-@register("publish_manifest")
+# The four raw daily products and the band each one's files hold.
+PUBLISHED = {"swe": "swe", "snowdepth": "depth", "snowpack_average_temperature": "temp_k", "snowmelt": "melt"}
+
+
+@register("publish_manifest", sql_ctes(("v_grid",), [], "\nunion all ".join(f"""
+select cast(t as int) as t, '{name}' as product_name, '{uuid}' as product,
+       md5(unhex(string_agg(printf('%04x', case when cast(round({PUBLISHED[name]}) as int) < 0
+           then 65536 + cast(round({PUBLISHED[name]}) as int) else cast(round({PUBLISHED[name]}) as int) end), '' order by r, c))) as md5,
+       strftime(cast({SQL_SHIFT} as timestamp), '%Y-%m-%dT%H:%M:%S') as datetime
+from (select l.t, l.r, l.c, coalesce(g.{PUBLISHED[name]}, -9999) as {PUBLISHED[name]}
+      from (select t, rr.r, cc.c from (select distinct t from v_grid) tt, (select unnest(range({LATTICE})) as r) rr,
+                   (select unnest(range({LATTICE})) as c) cc) l
+      left join v_grid g on g.t = l.t and g.r = l.r and g.c = l.c) q group by t""" for name, uuid in C.PUBLISH_IDS if name in PUBLISHED)))
 def publish_manifest(spark, sf_dir):
-    """Payload of each publish call: product id, md5 of the file bytes, datetime."""
+    """Payload of each publish call, every raw daily product with its own file: product id, md5 of the bytes, datetime."""
+    from .q_transforms import one, shifted_date
     fx = Fixtures(spark, sf_dir)
-    base = _grid_files(fx)
-    files = R.read_binary(spark, os.path.join(base, "raw"), "*.bil")
-    ids = F.broadcast(C.publish_ids(spark)).where(F.col("name") == "nohrsc_snodas_swe_interpolated")
-    x = files.select("path", F.md5("content").alias("md5"), _t_from_path(r"grid_(\d+)").alias("t"))
-    x = x.withColumn("name", F.lit("nohrsc_snodas_swe_interpolated")).join(ids, "name")
-    from .q_transforms import shifted_date
-    return x.select("t", F.col("product_uuid").alias("product"), "md5",
+    out = None
+    for name, col in PUBLISHED.items():
+        base = scratch_path(spark, "published")
+        R.write_grid_files(one(fx, col), base, LATTICE, LATTICE, kinds=("raw",)).write.format("noop").mode("overwrite").save()
+        files = R.read_binary(spark, os.path.join(base, "raw"), "*.bil")
+        d = files.select(_t_from_path(r"grid_(\d+)").alias("t"), F.lit(name).alias("product_name"),
+                         F.md5("content").alias("md5"))
+        out = d if out is None else out.unionByName(d)
+    ids = F.broadcast(C.publish_ids(spark))          # a fixed table
+    x = out.join(ids, F.col("product_name") == F.col("name"))
+    return x.select("t", "product_name", F.col("product_uuid").alias("product"), "md5",
                     N.iso_text(shifted_date("t").cast("timestamp_ntz")).alias("datetime"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -508,19 +509,28 @@ select cast(run as bigint) as run, min(t) as first_t, max(t) as last_t, any_valu
 def header_change_runs(spark, sf_dir):
     """Gaps and islands over the header series (one row per time step of the archive).
 
-    The series is ordered by time as a whole; it has one row per day of the
-    calendar, not per cell, so a single ordered window is small at any scale.
+    Runs are found within each year (a window per year), then runs that touch
+    over a year's border with the same values are merged; only the yearly
+    runs, a few rows per year, are ordered as a whole.
     """
     h = Fixtures(spark, sf_dir).header
     hv = h.select("t", N.header_value("content", "Number of columns").alias("cols"),
                   N.header_value("content", "Number of rows").alias("rows"))
-    w = Window.orderBy("t")
-    same = F.lag("cols").over(w).eqNullSafe(F.col("cols")) & F.lag("rows").over(w).eqNullSafe(F.col("rows"))
-    fl = hv.withColumn("chg", F.when(same, 0).otherwise(1))
-    rn = fl.withColumn("run", F.sum("chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return rn.groupBy("run").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"),
-                                 F.any_value("cols").alias("cols"), F.any_value("rows").alias("rows"),
-                                 F.count(F.lit(1)).alias("n_steps"))
+    yearly = change_runs(hv.select(F.floor(F.col("t") / 100).alias("part"), F.col("t").alias("first_t"), F.col("t").alias("last_t"),
+                                   "cols", "rows", F.lit(1).cast("long").alias("n_steps")), ["part"])
+    return change_runs(yearly, []).select("run", "first_t", "last_t", "cols", "rows", "n_steps")
+
+
+def change_runs(rows: DataFrame, parts: list[str]) -> DataFrame:
+    """Merge neighbours (first_t, last_t, cols, rows, n_steps) of equal cols and rows, within each part."""
+    w = Window.partitionBy(*parts).orderBy("first_t")
+    same = F.lag("cols").over(w).eqNullSafe(F.col("cols")) & F.lag("rows").over(w).eqNullSafe(F.col("rows")) & (F.row_number().over(w) > 1)
+    flagged = rows.withColumn("chg", F.when(same, 0).otherwise(1))
+    numbered = flagged.withColumn("run", F.sum("chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*parts, "run").agg(
+        F.min("first_t").alias("first_t"), F.max("last_t").alias("last_t"), F.any_value("cols").alias("cols"),
+        F.any_value("rows").alias("rows"), F.sum("n_steps").alias("n_steps"))
+
 
 
 @register("raw_file_inventory", sql_ctes((), [SQL_DATES], """

@@ -27,11 +27,14 @@ TILE_SCHEMA = "path string, tr int, r0 int, n_cols int, vals array<int>"
 MEMBER_SCHEMA = "path string, member string, content binary"
 
 
-def _tiles_from_bytes(path: str, buf: bytes, n_cols: int, tile_rows: int):
-    arr = np.frombuffer(buf, dtype=RAW_DTYPE)
-    n_rows = len(arr) // n_cols
-    grid = arr[: n_rows * n_cols].reshape(n_rows, n_cols)
-    for tr, r0 in enumerate(range(0, n_rows, tile_rows)):
+def _tiles_from_bytes(path: str, buf: bytes, n_cols: int, tile_rows: int, n_rows: int | None = None):
+    """Row tiles of a flat grid; a file of any other length than rows x columns says is an error."""
+    size = np.dtype(RAW_DTYPE).itemsize
+    rows = n_rows if n_rows is not None else len(buf) // (size * n_cols)
+    if len(buf) != rows * n_cols * size:
+        raise ValueError(f"{path}: {len(buf)} bytes are no grid of {n_rows or 'whole'} rows of {n_cols} columns")
+    grid = np.frombuffer(buf, dtype=RAW_DTYPE).reshape(rows, n_cols)
+    for tr, r0 in enumerate(range(0, rows, tile_rows)):
         block = grid[r0: r0 + tile_rows].astype(np.int32).ravel()
         yield path, tr, r0, n_cols, block
 
@@ -55,7 +58,7 @@ def _member_bytes(path: str, content: bytes, kind: str, member: str | None):
 
 
 def decode_grids(files: DataFrame, n_cols: int, kind: str = "raw", member_of=None,
-                 tile_rows: int = 256) -> DataFrame:
+                 tile_rows: int = 256, n_rows: int | None = None) -> DataFrame:
     """``binaryFile`` rows -> row tiles of int16 values (as int) per file.
 
     ``member_of(path) -> member name`` picks the archive member for zip / tar.
@@ -67,19 +70,11 @@ def decode_grids(files: DataFrame, n_cols: int, kind: str = "raw", member_of=Non
             contents = b.column("content").to_pylist()
             for p, c in zip(paths, contents):
                 raw = _member_bytes(p, c, kind, member_of(p) if member_of else None)
-                tiles = list(_tiles_from_bytes(p, raw, n_cols, tile_rows))
-                if not tiles:
-                    continue
-                blocks = [t[4] for t in tiles]
-                offsets = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype(np.int32)
-                vals = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(blocks), pa.int32()))
-                yield pa.RecordBatch.from_pydict({
-                    "path": pa.array([t[0] for t in tiles], pa.string()),
-                    "tr": pa.array([t[1] for t in tiles], pa.int32()),
-                    "r0": pa.array([t[2] for t in tiles], pa.int32()),
-                    "n_cols": pa.array([t[3] for t in tiles], pa.int32()),
-                    "vals": vals,
-                })
+                for path, tr, r0, cols, block in _tiles_from_bytes(p, raw, n_cols, tile_rows, n_rows):
+                    vals = pa.ListArray.from_arrays(pa.array([0, len(block)], pa.int32()), pa.array(block, pa.int32()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path]), pa.array([tr], pa.int32()), pa.array([r0], pa.int32()), pa.array([cols], pa.int32()), vals],
+                        names=["path", "tr", "r0", "n_cols", "vals"])
 
     return files.select("path", "content").mapInArrow(run, TILE_SCHEMA)
 
@@ -137,57 +132,136 @@ def gunzip_column(df: DataFrame, col: str = "content", out: str = "data") -> Dat
 
 
 # ------------------------------------------------------------------ writers
-def encode_grid(values: np.ndarray, n_rows: int, n_cols: int) -> bytes:
-    """Flat big-endian int16 bytes of a (n_rows x n_cols) grid, NaN -> sentinel."""
-    v = np.where(np.isnan(values), RAW_NODATA, np.rint(values)).astype(RAW_DTYPE)
-    return v.reshape(n_rows, n_cols).tobytes()
+def file_system(path: str):
+    """File system and inner path of a folder given as URI (file:, hdfs:, s3:) or as a plain local path."""
+    from pyarrow import fs
+
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    path = path.replace("s3a://", "s3://", 1)
+    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
 
 
-def write_grid_files(cells: DataFrame, base: str, n_rows: int, n_cols: int, headers: DataFrame | None = None) -> DataFrame:
-    """Write every grid (one per ``t``) in the raw container formats below ``base``.
+class GridWriter:
+    """One grid, row by row, into the containers ``kinds``; files get their names when they are whole.
 
-    One group is one grid, bounded by the lattice (rows x cols), which is the
-    unit of a raw file anyway.  Files are named by ``t``, so a retried task
-    rewrites the same names (idempotent).  Returns (t, n_files) rows.
-    Layout: raw/grid_<t>.bil, gz/grid_<t>.bil.gz, zip/grid_<t>_bil.zip with
-    member grid_<t>.bil, tar/archive_<t>.tar with grid_<t>.dat.gz and, when a
-    header text is given for t, grid_<t>.txt.gz.
+    Only the compressed member of the tar archive is held (its size has to be
+    known first); all else is streamed.
     """
-    import os
 
-    src = cells.select("t", "r", "c", "v")
+    def __init__(self, base: str, t: int, header: str | None, kinds):
+        import uuid
+
+        self.fs, self.folder = file_system(base)
+        self.t, self.header, self.kinds, self.name = t, header, kinds, f"grid_{t}"
+        names = {"raw": f"raw/{self.name}.bil", "gz": f"gz/{self.name}.bil.gz", "zip": f"zip/{self.name}_bil.zip",
+                 "tar": f"tar/archive_{t}.tar"}
+        self.names = {k: names[k] for k in kinds}
+        self.own = {k: f"{self.folder}/{k}/.{uuid.uuid4().hex}" for k in kinds}
+        self.out = {}
+        for k in kinds:
+            self.fs.create_dir(f"{self.folder}/{k}", recursive=True)
+            self.out[k] = self.fs.open_output_stream(self.own[k])
+        self.sinks = []
+        if "raw" in kinds:
+            self.sinks.append(self.out["raw"])
+        if "gz" in kinds:
+            self.gz = gzip.GzipFile(fileobj=self.out["gz"], mode="wb", mtime=0)
+            self.sinks.append(self.gz)
+        if "zip" in kinds:
+            self.zip = zipfile.ZipFile(self.out["zip"], "w")
+            self.member = self.zip.open(f"{self.name}.bil", "w")
+            self.sinks.append(self.member)
+        if "tar" in kinds:
+            self.packed = io.BytesIO()
+            self.tar_gz = gzip.GzipFile(fileobj=self.packed, mode="wb", mtime=0)
+            self.sinks.append(self.tar_gz)
+
+    def write(self, raw: bytes) -> None:
+        for sink in self.sinks:
+            sink.write(raw)
+
+    def close(self) -> int:
+        if "gz" in self.kinds:
+            self.gz.close()
+        if "zip" in self.kinds:
+            self.member.close()
+            self.zip.close()
+        if "tar" in self.kinds:
+            self.tar_gz.close()
+            members = [(f"{self.name}.dat.gz", self.packed.getvalue())]
+            if self.header is not None:
+                members.append((f"{self.name}.txt.gz", gzip.compress(self.header.encode("utf-8"), mtime=0)))
+            with tarfile.open(fileobj=self.out["tar"], mode="w|") as tar:
+                for name, data in members:
+                    info = tarfile.TarInfo(name)
+                    info.size = len(data)
+                    tar.addfile(info, io.BytesIO(data))
+        for k in self.kinds:
+            self.out[k].close()
+            self.fs.move(self.own[k], f"{self.folder}/{self.names[k]}")
+        return len(self.kinds)
+
+
+def write_grid_files(cells: DataFrame, base: str, n_rows: int, n_cols: int, headers: DataFrame | None = None,
+                     kinds=("raw", "gz", "zip", "tar")) -> DataFrame:
+    """Write every grid (one per ``t``) in the raw container formats below ``base`` (a URI all executors reach).
+
+    Cells are sorted by step, row and column in Spark and streamed through the
+    tasks, so a task holds a batch of cells and never a grid.  The header text
+    of a step is one more row ahead of its cells.  Files are written under a
+    name of their own and moved, so a task that runs again replaces them.
+    Returns (t, n_files) rows.  Layout: raw/grid_<t>.bil, gz/grid_<t>.bil.gz,
+    zip/grid_<t>_bil.zip with member grid_<t>.bil, tar/archive_<t>.tar with
+    grid_<t>.dat.gz and, where there is a header, grid_<t>.txt.gz.
+    """
+    src = cells.select(F.col("t").cast("int").alias("t"), "r", "c", F.col("v").cast("double").alias("v"),
+                       F.lit(None).cast("string").alias("header"))
     if headers is not None:
-        src = src.join(headers.select("t", F.col("content").alias("header")), "t", "left")
-    else:
-        src = src.withColumn("header", F.lit(None).cast("string"))
-
-    def write(pdf):
-        import pandas as pd
-        t = int(pdf["t"].iloc[0])
-        grid = np.full(n_rows * n_cols, np.nan)
-        grid[(pdf["r"] * n_cols + pdf["c"]).to_numpy()] = pdf["v"].to_numpy(dtype=float)
-        raw = encode_grid(grid, n_rows, n_cols)
-        name = f"grid_{t}"
-        for d in ("raw", "gz", "zip", "tar"):
-            os.makedirs(os.path.join(base, d), exist_ok=True)
-        with open(os.path.join(base, "raw", f"{name}.bil"), "wb") as f:
-            f.write(raw)
-        with open(os.path.join(base, "gz", f"{name}.bil.gz"), "wb") as f:
-            f.write(gzip.compress(raw, mtime=0))
-        with zipfile.ZipFile(os.path.join(base, "zip", f"{name}_bil.zip"), "w") as z:
-            z.writestr(f"{name}.bil", raw)
-        header = pdf["header"].iloc[0]
-        with tarfile.open(os.path.join(base, "tar", f"archive_{t}.tar"), "w") as tf:
-            members = [(f"{name}.dat.gz", gzip.compress(raw, mtime=0))]
-            if isinstance(header, str):
-                members.append((f"{name}.txt.gz", gzip.compress(header.encode("utf-8"), mtime=0)))
-            for mname, data in members:
-                info = tarfile.TarInfo(mname)
-                info.size = len(data)
-                tf.addfile(info, io.BytesIO(data))
-        return pd.DataFrame({"t": [t], "n_files": [4]})
-
-    return src.groupBy("t").applyInPandas(write, "t int, n_files int")
+        steps = headers.join(cells.select("t").distinct(), "t", "left_semi")
+        src = src.unionByName(steps.select(F.col("t").cast("int").alias("t"), F.lit(-1).alias("r"), F.lit(-1).alias("c"),
+                                           F.lit(None).cast("double").alias("v"), F.col("content").alias("header")))
+    nodata, dtype = RAW_NODATA, RAW_DTYPE
+
+    def run(batches):
+        open_t, writer, header, row, line = None, None, None, 0, np.full(n_cols, nodata, dtype)
+
+        def finish():
+            nonlocal row
+            while row < n_rows:
+                writer.write(line.tobytes())
+                line[:] = nodata
+                row += 1
+            return writer.close()
+
+        def told(t, n):
+            return pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([n], pa.int32())], names=["t", "n_files"])
+
+        for batch in batches:
+            t, r, c = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("t", "r", "c"))
+            v = batch.column("v").to_numpy(zero_copy_only=False).astype(np.float64)
+            v = np.where(np.isnan(v), nodata, np.rint(v)).astype(dtype)
+            cuts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (r[1:] != r[:-1])]) if len(t) else []
+            for a, b in zip(cuts, [*cuts[1:], len(t)]):
+                if t[a] != open_t:
+                    if writer is not None:
+                        yield told(open_t, finish())
+                    open_t, row, writer, header = int(t[a]), 0, None, None
+                    line[:] = nodata
+                if r[a] < 0:
+                    header = batch.column("header")[int(a)].as_py()
+                    continue
+                if writer is None:
+                    writer = GridWriter(base, open_t, header, kinds)
+                while row < r[a]:
+                    writer.write(line.tobytes())
+                    line[:] = nodata
+                    row += 1
+                line[c[a:b]] = v[a:b]
+        if writer is not None:
+            yield told(open_t, finish())
+
+    return src.repartition("t").sortWithinPartitions("t", "r", "c").mapInArrow(run, "t int, n_files int")
 
 
 # Executors need not have this package installed: the task functions above

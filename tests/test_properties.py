@@ -135,7 +135,7 @@ def test_binary_round_trips(spark):
     d = tempfile.mkdtemp(prefix="nivalis-test-")
     grid = np.arange(12 * 10, dtype=float).reshape(12, 10)
     grid[3, 4] = np.nan
-    raw = R.encode_grid(grid.ravel(), 12, 10)
+    raw = np.where(np.isnan(grid), -9999, np.rint(grid)).astype(">i2").tobytes()
     with open(os.path.join(d, "a.bil"), "wb") as f:
         f.write(raw)
     with tarfile.open(os.path.join(d, "b.tar"), "w") as t:
@@ -163,3 +163,49 @@ def test_zonal_stats_same_with_and_without_broadcast(spark):
         assert "NestedLoop" not in plan and "BroadcastHashJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_truncated_grid_is_an_error(spark):
+    d = tempfile.mkdtemp(prefix="nivalis-cut-")
+    for name, n in (("short.bil", 57), ("odd.bil", 60)):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(np.arange(n, dtype=">i2").tobytes())
+    for glob, rows in (("short.bil", None), ("odd.bil", 7)):
+        with pytest.raises(Exception, match="are no grid"):
+            R.decode_grids(R.read_binary(spark, d, glob), 10, "raw", n_rows=rows).collect()
+    assert R.decode_grids(R.read_binary(spark, d, "odd.bil"), 10, "raw", n_rows=6).count() == 1
+
+
+def test_grid_files_on_a_uri_with_gaps_and_headers(spark):
+    base = "file://" + tempfile.mkdtemp(prefix="nivalis-uri-")
+    rows = [(t, r, c, None if c == 1 else float(r * 10 + c)) for t in (1, 2) for r in range(1, 4) for c in range(3)]
+    cells = spark.createDataFrame(rows, "t int, r int, c int, v double").repartition(5)
+    headers = spark.createDataFrame([(1, "Number of rows: 5"), (9, "x")], "t int, content string")
+    assert sorted(map(tuple, R.write_grid_files(cells, base, 5, 4, headers).collect())) == [(1, 4), (2, 4)]
+    members = [(r.path[-13:], r.member) for r in R.archive_members(R.read_binary(spark, base + "/tar", "*.tar")).collect()]
+    assert sorted(m for _, m in members) == ["grid_1.dat.gz", "grid_1.txt.gz", "grid_2.dat.gz"]
+    for sub, kind, member in (("raw", "raw", None), ("gz", "gz", None), ("zip", "zip", lambda p: os.path.basename(p).replace("_bil.zip", ".bil"))):
+        got = R.tiles_to_cells(R.decode_grids(R.read_binary(spark, f"{base}/{sub}", "*grid*"), 4, kind, member, n_rows=5)).collect()
+        assert len(got) == 40
+        assert {(r.r, r.c): r.v for r in got if "grid_1" in r.path and r.v is not None} == {(r, c): v for t, r, c, v in rows if t == 1 and v is not None}
+
+
+def test_notices_meet_the_catalog_without_a_shuffle(spark):
+    from nivalis.plans.registry import QUERIES
+    for key in ("acquirable_semi_join", "product_id_join"):
+        plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(acquirable" not in plan and "BroadcastHashJoin" in plan, key
+
+
+def test_registry_batch_reads_its_months_only(spark):
+    from nivalis.session import scratch_path
+    from nivalis.streaming import registry as REG
+    path = scratch_path(spark, "t-registry")
+    rows = spark.sql("select 1L file_id, 1 product_id, timestamp_ntz'2001-01-05 00:00:00' datetime, 'a' version "
+                     "union all select 2L, 1, timestamp_ntz'2002-02-05 00:00:00', 'a'")
+    REG.write_batch(rows, path, -1)
+    df = REG.registry_rows(spark, path, 5, [200101])
+    assert [r.file_id for r in df.collect()] == [1]
+    assert "PartitionFilters: [" in df._jdf.queryExecution().toString() and "month" in df._jdf.queryExecution().toString()
+    REG.upsert_batch(path)(rows, 7)
+    assert REG.registry_rows(spark, path).count() == 2
