@@ -50,13 +50,6 @@ PUBLISH_IDS = [
     ("nohrsc_snodas_coldcontent_interpolated", "33407c74-cdc2-4ab2-bd9a-3dff99ea02e4"),
 ]
 
-# Stand-in fixture: which recipe each synthetic acquirable (event type) uses.
-FIXTURE_RECIPE_OF = [
-    ("click", "ncep_mrms_gaugecorr_qpe_01h"),
-    ("view", "ncep_mrms_v12_MultiSensor_QPE_01H_Pass1"),
-    ("purchase", "ncep_mrms_v12_MultiSensor_QPE_01H_Pass2"),
-    ("signup", "ndgd_leia98_precip"),
-]
 
 REGISTRY_KEYS = ("product_id", "version", "datetime")
 
@@ -69,8 +62,9 @@ def publish_ids(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PUBLISH_IDS, "name string, product_uuid string")
 
 
-def recipe_aliases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FIXTURE_RECIPE_OF, "acquirable string, recipe string")
+def stand_in_recipe(number) -> "F.Column":
+    """Stand-in fixture: the synthetic events name no product, so a record's number picks one of all recipes."""
+    return F.element_at(F.array(*[F.lit(r[0]) for r in RECIPES]), (number % len(RECIPES)).cast("int") + 1)
 
 
 def products_from_names(names: DataFrame) -> DataFrame:
@@ -136,3 +130,22 @@ def registry_upsert(candidates: DataFrame, existing: DataFrame, order_col: str =
     """Registry state after the idempotent upsert: existing rows plus inserts."""
     ins = registry_inserts(candidates, existing, order_col, keys)
     return with_default_version(existing).unionByName(ins.select(*existing.columns))
+
+
+def registrations(notices: DataFrame, acquirables: DataFrame, recipe_table: DataFrame, route_prefix: str) -> DataFrame:
+    """From notices (event_id, ts, object_key) to registry rows, batch or stream.
+
+    The key's acquirable has to be in the catalog; the recipe then gives the
+    output name, the filetype, by the filetype the product, and the key the
+    output is routed to.  Joins are with the catalog (small, its size known)
+    and the recipe table (fixed), so the notices themselves never shuffle.
+    """
+    kp = N.key_parts("object_key")
+    parts = notices.select("event_id", "ts", kp["acquirable"].alias("acquirable"), kp["filename"].alias("filename"))
+    known = parts.join(acquirables.select(F.col("name").alias("acquirable")), "acquirable", "left_semi")
+    made = dispatch(known.withColumn("recipe", stand_in_recipe(F.col("event_id"))), recipe_table)
+    out = N.output_name("name_rule", "filename", "ts")
+    return made.select(
+        "event_id", "recipe", "filetype", N.uuid_of("filetype").alias("product_id"),
+        F.concat(F.lit(f"{route_prefix}/"), "filetype", F.lit("/"), out).alias("file"),
+        N.iso_text("ts").alias("datetime"), N.version_default(F.lit(None).cast("string")).alias("version"))

@@ -21,9 +21,9 @@ from ..operators import zones as Z
 from ..session import scratch_path
 from ..sinks import grids as S
 from ..sources import rasters as R
-from .q_grid import _SQL_G, raw_grid, zone_names
-from .q_records import SQL_KP, SQL_PRODUCTS, SQL_UUID, _existing, _sql_hv
-from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, key_parts_df, product_table
+from .q_grid import _SQL_G, raw_grid
+from .q_records import SQL_KP, SQL_PRODUCTS, SQL_RECIPES, SQL_REGISTRATIONS, _sql_hv
+from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, product_table
 from .q_transforms import SQL_HOLED, SQL_SHIFT, holed_zones
 from .registry import register
 
@@ -261,9 +261,10 @@ def publish_manifest(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- streams
-@register("notice_stream", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_PRODUCTS], """
-select k.event_id, k.acquirable as filetype, p.product_id from kp k join products p on p.name = k.acquirable"""))
+@register("notice_stream", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES, SQL_REGISTRATIONS],
+                                    "select * from registrations"))
 def notice_stream(spark, sf_dir):
+    """From the arriving notices to registry rows: catalog check, recipe, name, product, routed key, version."""
     from ..streaming.notices import run_notice_stream
     return run_notice_stream(spark, sf_dir)
 

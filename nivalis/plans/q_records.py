@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..fixtures import Fixtures, sql_ctes
 from ..functions import names as N
@@ -25,7 +24,7 @@ def _sql_values(rows, cols) -> str:
 
 
 SQL_RECIPES = ("recipes", _sql_values(C.RECIPES, [f.name for f in C.RECIPE_SCHEMA.fields]))
-SQL_ALIASES = ("aliases", _sql_values(C.FIXTURE_RECIPE_OF, ["acquirable", "recipe"]))
+_SQL_RECIPE_OF = f"list_extract([{', '.join(repr(r[0]) for r in C.RECIPES)}], cast(k.event_id % {len(C.RECIPES)} as int) + 1)"
 SQL_PUBLISH = ("publish_ids", _sql_values(C.PUBLISH_IDS, ["name", "product_uuid"]))
 SQL_KP = ("kp", """
 select event_id, ts, url_decode(replace(object_key, '+', ' ')) as key,
@@ -97,19 +96,18 @@ def acquirable_anti_join(spark, sf_dir):
 
 
 def dispatched(fx: Fixtures):
-    spark = fx.spark
     kp = key_parts_df(fx)
     valid = kp.join(fx.acquirable.withColumnRenamed("name", "acquirable"), "acquirable", "left_semi")
-    with_recipe = valid.join(F.broadcast(C.recipe_aliases(spark)), "acquirable", "inner")
-    return C.dispatch(with_recipe, C.recipes(spark))
+    return C.dispatch(valid.withColumn("recipe", C.stand_in_recipe(F.col("event_id"))), C.recipes(fx.spark))
 
 
-@register("processor_dispatch", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES, SQL_ALIASES], f"""
+@register("processor_dispatch", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES], f"""
 select k.event_id, k.acquirable, r.recipe, r.filetype, r.name_rule,
        {_sql_output_name('r.name_rule', 'k.filename', 'k.ts')} as out_file
-from kp k join aliases a on a.acquirable = k.acquirable join recipes r on r.recipe = a.recipe
+from kp k join recipes r on r.recipe = {_SQL_RECIPE_OF}
 where k.acquirable in (select name from v_acquirable)"""))
 def processor_dispatch(spark, sf_dir):
+    """Every valid notice with its recipe (all of them are reached) and output name."""
     d = dispatched(Fixtures(spark, sf_dir))
     return d.select("event_id", "acquirable", "recipe", "filetype", "name_rule",
                     N.output_name("name_rule", "filename", "ts").alias("out_file"))
@@ -145,17 +143,20 @@ def product_id_join(spark, sf_dir):
         p, "filetype", "inner")
 
 
-@register("routed_key", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_PRODUCTS], f"""
-select k.event_id, concat('{ROUTE_PREFIX}/', k.acquirable, '/', {_sql_output_name("'cut_grib2gz'", 'k.filename', 'k.ts')}) as write_key
-from kp k join products p on p.name = k.acquirable"""))
+SQL_REGISTRATIONS = ("registrations", f"""
+select k.event_id, r.recipe, r.filetype, {SQL_UUID.format(x='r.filetype')} as product_id,
+       concat('{ROUTE_PREFIX}/', r.filetype, '/', {_sql_output_name('r.name_rule', 'k.filename', 'k.ts')}) as file,
+       strftime(k.ts, '%Y-%m-%dT%H:%M:%S') as datetime, '{N.VERSION_DEFAULT}' as version
+from kp k join recipes r on r.recipe = {_SQL_RECIPE_OF}
+where k.acquirable in (select name from v_acquirable)""")
+
+
+@register("routed_key", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES, SQL_REGISTRATIONS],
+                                 "select event_id, file as write_key from registrations"))
 def routed_key(spark, sf_dir):
+    """Key the output of each notice is written to: by the recipe's filetype and name rule."""
     fx = Fixtures(spark, sf_dir)
-    kp = key_parts_df(fx)
-    p = product_table(fx).withColumnRenamed("name", "acquirable")
-    j = kp.join(p, "acquirable", "inner")
-    out = N.output_name(F.lit("cut_grib2gz"), "filename")
-    return j.select("event_id", F.concat(F.lit(ROUTE_PREFIX + "/"), "acquirable", F.lit("/"),
-                                         F.element_at(F.split(out, "/"), -1)).alias("write_key"))
+    return C.registrations(fx.notice, fx.acquirable, C.recipes(spark), ROUTE_PREFIX).select("event_id", F.col("file").alias("write_key"))
 
 
 @register("compound_extension", sql_ctes(("v_notice",), [SQL_KP], """

@@ -424,23 +424,28 @@ def buffered_extent(spark, sf_dir):
     return buffered(env, "n", "s").select("z", "bxmin", "bymin", "bxmax", "bymax")
 
 
+CLIP_TILE = 32          # rows per tile of the clip's join key
+
+
 def basin_clip(values: DataFrame, zones: DataFrame, pad_cells: int = 2, cell_size: float = 1.0) -> DataFrame:
     """One clipped grid per basin: cells whose centre is in the buffered envelope.
 
-    The envelope is exploded onto its (r, c) keys, so the clip is an equi
-    join whose work is the clipped area, not a range (nested-loop) join.
+    An envelope becomes one row per (row tile, column tile) it touches, so the
+    join is an equi join on the tile with the envelope as residual test, and
+    the basin side grows with basins times tiles, not with cells.
     """
     env = Z.zone_envelope(zones).withColumn("n", F.lit(pad_cells)).withColumn("s", F.lit(cell_size))
-    b = buffered(env, "n", "s")
-    r0 = F.greatest(F.ceil(F.col("bymin") - 0.5), F.lit(0))
-    r1 = F.least(F.ceil(F.col("bymax") - 0.5), F.lit(LATTICE - 1))
-    c0 = F.greatest(F.ceil(F.col("bxmin") - 0.5), F.lit(0))
-    c1 = F.least(F.ceil(F.col("bxmax") - 0.5), F.lit(LATTICE - 1))
-    keys = b.select("z", "bxmin", "bymin", "bxmax", "bymax", F.explode(Z._int_range(r0 - 1, r1)).alias("r"))
-    keys = keys.select("*", F.explode(Z._int_range(c0 - 1, c1)).alias("c"))
+
+    def tiles(lo: str, hi: str):
+        first = F.greatest(F.floor(F.col(lo) / CLIP_TILE), F.lit(0)).cast("int")
+        return F.explode(Z._int_range(first, F.floor(F.col(hi) / CLIP_TILE)))
+
+    boxes = buffered(env, "n", "s").select("z", "bxmin", "bymin", "bxmax", "bymax")
+    boxes = boxes.select("*", tiles("bymin", "bymax").alias("rt")).select("*", tiles("bxmin", "bxmax").alias("ct"))
+    tiled = values.select("*", F.floor(F.col("r") / CLIP_TILE).cast("int").alias("rt"), F.floor(F.col("c") / CLIP_TILE).cast("int").alias("ct"))
     xc, yc = F.col("c") + 0.5, F.col("r") + 0.5
-    keys = keys.where((xc >= F.col("bxmin")) & (xc < F.col("bxmax")) & (yc > F.col("bymin")) & (yc <= F.col("bymax")))
-    return values.join(keys.select("z", "r", "c"), ["r", "c"])
+    inside = (xc >= F.col("bxmin")) & (xc < F.col("bxmax")) & (yc > F.col("bymin")) & (yc <= F.col("bymax"))
+    return tiled.join(boxes, ["rt", "ct"]).where(inside).select("z", *values.columns)
 
 
 _SQL_CLIP = ("clip", """

@@ -8,21 +8,12 @@ folder keyed by batch id, so a replayed batch overwrites itself (idempotent).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..fixtures import Fixtures
-from ..functions import names as N
 from ..operators import catalog as C
 from ..session import scratch_path
 
 
-def routed_records(notices: DataFrame, products: DataFrame) -> DataFrame:
-    """Key parts of each notice, kept only for known products, with the product id."""
-    kp = N.key_parts("object_key")
-    rec = notices.select("event_id", kp["acquirable"].alias("filetype"))
-    return rec.join(products.withColumnRenamed("name", "filetype"), "filetype", "inner")
-
-
 def write_by_batch(path: str):
     def sink(df: DataFrame, batch_id: int):
         df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -34,10 +25,10 @@ def run_notice_stream(spark: SparkSession, sf_dir: str, trigger_files: int = 1)
     schema = fx.t("events").schema
     events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .option("maxFilesPerTrigger", trigger_files).parquet(sf_dir))
-    products = C.products_from_names(fx.acquirable)          # static side
-    routed = routed_records(Fixtures.notice_of(events), products)
+    from ..plans.q_records import ROUTE_PREFIX
+    routed = C.registrations(Fixtures.notice_of(events), fx.acquirable, C.recipes(spark), ROUTE_PREFIX)
     out, ckpt = scratch_path(spark, "notice-sink"), scratch_path(spark, "notice-ckpt")
     q = (routed.writeStream.foreachBatch(write_by_batch(out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).select("event_id", "filetype", "product_id")
+    return spark.read.parquet(out).select(*routed.columns)
