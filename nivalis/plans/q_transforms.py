@@ -698,19 +698,6 @@ DAILY_PRODUCTS = [  # filetype, name pattern key
 _ALL_NAMES = {**N.SNOW_PARAMETERS, **N.COMPUTED_PRODUCTS}
 
 
-def daily_product_files(fx: Fixtures) -> DataFrame:
-    """Product-file list per grid step, in output order; melt in mm replaces raw melt."""
-    ts = fx.times.select("t", (shifted_date("t").cast("timestamp_ntz") + F.expr("interval 6 hours")).alias("dt"))
-    entries = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(ft).alias("filetype"),
-                                 F.concat(N.member_name(_ALL_NAMES[k], F.col("dt"), F.lit("unmasked")),
-                                          F.lit("_cloud_optimized.tif")).alias("file"))
-                        for i, (ft, k) in enumerate(DAILY_PRODUCTS)])
-    x = ts.select("t", "dt", F.explode(entries).alias("e")).select("t", "dt", "e.*")
-    last = C.last_per_key(x, ["t", "filetype"], "seq")
-    return last.select("t", "filetype", "file", N.iso_text("dt").alias("datetime"),
-                       F.lit(None).cast("string").alias("version"))
-
-
 def _sql_member_t(pattern):
     head, mid, tail = pattern.split("{}")
     return f"concat('{head}', 'zz', '{mid}', strftime(dt, '%Y%m%d'), '{tail}', '_cloud_optimized.tif')"
@@ -730,10 +717,31 @@ def _sql_daily_files():
                                            f"select tt.t, tt.dt, e.seq, e.filetype, case e.pk {cases} end as file"))
 
 
-@register("snow_daily_products", sql_ctes(("v_grid",), [_sql_daily_files()],
-                                          "select t, filetype, file, datetime, version from daily"))
+_DAILY_SQL = {"nohrsc_snodas_swe": "swe", "nohrsc_snodas_snowdepth": "depth", "nohrsc_snodas_snowpack_average_temperature": "temp_k",
+              "nohrsc_snodas_snowmelt": "melt", "nohrsc_snodas_coldcontent": SQL_CC_EXPR.format(t="temp_k", s="swe"),
+              "nohrsc_snodas_snowmeltmm": "melt * 0.01"}
+
+
+@register("snow_daily_products", sql_ctes(("v_grid",), [_SQL_G, _sql_daily_files(), ("pk_of", """
+select * from (values """ + ", ".join(f"('{ft}', '{k}')" for ft, k in dict(DAILY_PRODUCTS).items()) + ") as p(filetype, pk)")],
+    "select d.t, d.filetype, d.file, d.datetime, d.version, g.r, g.c, round(case p.pk "
+    + " ".join(f"when '{k}' then {e}" for k, e in _DAILY_SQL.items()) + """ end, 6) as v
+from daily d join pk_of p on p.filetype = d.filetype join g on g.t = d.t"""))
 def snow_daily_products(spark, sf_dir):
-    return daily_product_files(Fixtures(spark, sf_dir))
+    """The grids of each day's products with their files: four parameters, cold content, and melt in mm in place of raw melt."""
+    fx = Fixtures(spark, sf_dir)
+    g = raw_grid(fx)
+    values = {"nohrsc_snodas_swe": F.col("swe"), "nohrsc_snodas_snowdepth": F.col("depth"),
+              "nohrsc_snodas_snowpack_average_temperature": F.col("temp_k"), "nohrsc_snodas_snowmelt": F.col("melt"),
+              "nohrsc_snodas_coldcontent": K.cold_content("temp_k", "swe"), "nohrsc_snodas_snowmeltmm": K.scale_values("melt", K.MELT_TO_MM)}
+    when = shifted_date("t").cast("timestamp_ntz") + F.expr("interval 6 hours")
+    # One pass over the cells: of the products of one filetype the last in the list stays.
+    products = F.array(*[F.struct(F.lit(ft).alias("filetype"),
+                                  F.concat(N.member_name(_ALL_NAMES[k], when, F.lit("unmasked")), F.lit("_cloud_optimized.tif")).alias("file"),
+                                  values[k].alias("v")) for ft, k in dict(DAILY_PRODUCTS).items()])
+    x = g.select("t", "r", "c", when.alias("dt"), F.explode(products).alias("p"))
+    return rounded(x.select("t", "p.filetype", "p.file", N.iso_text("dt").alias("datetime"),
+                            F.lit(None).cast("string").alias("version"), "r", "c", "p.v"))
 
 
 @register("product_union", sql_ctes(("v_grid",), [_SQL_G], f"""
@@ -741,12 +749,12 @@ select 'swe' as product, t, r, c, swe as v from g
 union all select 'coldcontent', t, r, c, {SQL_CC_EXPR.format(t='temp_k', s='swe')} from g
 union all select 'snowmeltmm', t, r, c, melt * 0.01 from g"""))
 def product_union(spark, sf_dir):
-    """Outputs of several steps collected into one long product table."""
+    """Outputs of several steps collected into one long product table, in one pass over the grid."""
     g = raw_grid(Fixtures(spark, sf_dir))
-    a = g.select(F.lit("swe").alias("product"), "t", "r", "c", F.col("swe").alias("v"))
-    b = g.select(F.lit("coldcontent").alias("product"), "t", "r", "c", K.cold_content("temp_k", "swe").alias("v"))
-    m = g.select(F.lit("snowmeltmm").alias("product"), "t", "r", "c", K.scale_values("melt", K.MELT_TO_MM).alias("v"))
-    return a.unionByName(b).unionByName(m)
+    products = F.array(*[F.struct(F.lit(name).alias("product"), v.alias("v")) for name, v in (
+        ("swe", F.col("swe")), ("coldcontent", K.cold_content("temp_k", "swe")),
+        ("snowmeltmm", K.scale_values("melt", K.MELT_TO_MM)))])
+    return g.select("t", "r", "c", F.explode(products).alias("p")).select("p.product", "t", "r", "c", "p.v")
 
 
 _SHORT = ["swe", "snowdepth", "snowpack_average_temperature", "snowmelt", "coldcontent", "snowmeltmm"]
