@@ -59,17 +59,20 @@ ROUTE_PREFIX = "products"       # first part of every routed output key
 @register("notice_scan", sql_ctes(("v_notice",), [], f"""
 select event_id, '{BUCKET}' as bucket, url_decode(replace(object_key, '+', ' ')) as key from v_notice"""))
 def notice_scan(spark, sf_dir):
-    """Notification documents (one JSON text per event) parsed with an explicit schema."""
-    from ..sources.notices import notices_from_json
+    """Notification files (one document per event) written to the shared folder and read with an explicit schema."""
+    from ..session import scratch_path
+    from ..sources.notices import read_notices
     fx = Fixtures(spark, sf_dir)
-    docs = fx.notice.select("event_id", F.to_json(F.struct(F.array(F.struct(
+    docs = fx.notice.select(F.to_json(F.struct(F.array(F.struct(
         F.lit("ObjectCreated:Put").alias("eventName"),
         N.iso_text("ts").alias("eventTime"),
         F.struct(F.struct(F.lit(BUCKET).alias("name")).alias("bucket"),
-                 F.struct(F.col("object_key").alias("key"), F.lit(0).cast("bigint").alias("size")).alias("object"),
-                 ).alias("s3"))).alias("Records"))).alias("json"))
-    recs = notices_from_json(docs, "json", keep=["event_id"])
-    return recs.select("event_id", "bucket", "key")
+                 F.struct(F.col("object_key").alias("key"), F.lit(0).cast("bigint").alias("size"),
+                          F.col("event_id").cast("string").alias("sequencer")).alias("object"),
+                 ).alias("s3"))).alias("Records"))).alias("value"))
+    path = scratch_path(spark, "notices")
+    docs.write.text(path)
+    return read_notices(spark, path, pretty=False).select(F.col("sequencer").cast("bigint").alias("event_id"), "bucket", "key")
 
 
 @register("key_parts", sql_ctes(("v_notice",), [SQL_KP], "select event_id, key, acquirable, filename from kp"))

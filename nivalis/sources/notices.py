@@ -37,12 +37,18 @@ def _records(df: DataFrame, keep) -> DataFrame:
         F.col("rec.eventTime").alias("event_time"),
         F.col("rec.s3.bucket.name").alias("bucket"),
         F.url_decode(F.col("rec.s3.object.key")).alias("key"),
+        F.col("rec.s3.object.sequencer").alias("sequencer"),
     )
 
 
-def read_notices(spark: SparkSession, path: str) -> DataFrame:
-    """Pretty-printed notification files -> one row per record (every record, not just the first)."""
-    df = spark.read.schema(NOTICE).option("multiLine", "true").json(path)
+def read_notices(spark: SparkSession, path: str, pretty: bool = True) -> DataFrame:
+    """Notification files -> one row per record (every record, not just the first).
+
+    ``pretty`` files hold one document over many lines; the others one
+    document per line, and can be split.  A document that is no notification
+    gives no row.
+    """
+    df = spark.read.schema(NOTICE).option("multiLine", str(pretty).lower()).json(path)
     return _records(df.withColumn("source_file", F.input_file_name()), ["source_file"])
 
 

@@ -161,3 +161,14 @@ def test_every_target_cell_has_a_row(spark):
     got = QUERIES["reproject_grid"](spark, SF_SMALL)
     steps = got.select("t").distinct().count()
     assert got.count() == steps * TARGET["n_rows"] * TARGET["n_cols"] and got.where("v is null").count() > 0
+
+
+def test_pretty_notification_files(spark, tmp_path):
+    import json
+    from nivalis.sources.notices import read_notices
+    record = {"eventVersion": "2.1", "eventTime": "2020-01-01T00:00:00Z", "eventName": "ObjectCreated:Put",
+              "s3": {"bucket": {"name": "b"}, "object": {"key": "obs/a+b%5Fc/x.grib2.gz", "size": 3}}}
+    (tmp_path / "two.json").write_text(json.dumps({"Records": [record, record]}, indent=2))
+    (tmp_path / "none.json").write_text(json.dumps({"Event": "test"}, indent=2))
+    got = read_notices(spark, f"file://{tmp_path}").collect()
+    assert [(r.record_no, r.bucket, r.key) for r in got] == [(0, "b", "obs/a b_c/x.grib2.gz"), (1, "b", "obs/a b_c/x.grib2.gz")]
