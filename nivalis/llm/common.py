@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +16,19 @@ from ..session import scratch_path
 WHITE_SPACE = " \t\n\x0b\f\r"
 
 
+#: Bytes of one Arrow batch on its way to a Python worker: ten thousand long texts would be gigabytes.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session has a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -24,6 +38,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage with files every executor can see, so a lost
     executor costs only its running tasks.
     """
+    bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.mode("error").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -89,7 +104,7 @@ def raw_text(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return borders - borders[0], np.frombuffer(data, np.uint8)[borders[0] : borders[-1]]
 
 
-def slices(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, name: str = "text", most: int = 4 << 20):
     """Slices of a batch whose text column holds about ``most`` bytes (a single longer text stays whole)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     if not len(sizes):
@@ -101,6 +116,15 @@ def slices(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20):
         stop = max(at + 1, stop)
         yield batch.slice(at, stop - at)
         at = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and would keep a batch's room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def ragged_take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

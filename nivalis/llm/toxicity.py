@@ -45,7 +45,7 @@ CELLS = (FAR + 1) * (OVER + 1)
 #: The frame of a window: fixed strings of characters that words don't have.
 HEAD = b"|0-ABCDEFGHIJKLMNOPQRSTUVWXYZ-1|"
 TAIL = b"|2-ZYXWVUTSRQPONMLKJIHGFEDCBA-3|"
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 150_000
 
 
 def held_out(doc_id: Column) -> Column:
