@@ -17,7 +17,10 @@ decided in three steps, all exact:
    random into blocks; every two blocks meet in one task, which computes
    all overlaps by matrix products and returns one link per two components.
 
-Links are verified on the whole sets; components come from ``components``.
+A pair first has to pass the documents' sketches (how many elements fall in
+each cell of the universe, more cells for larger sets): the sum of the cells'
+differences is never more than the sets' difference, so no similar pair fails.  Those that pass are verified on the
+whole sets; components come from ``components``.
 
 Defined cases: null, empty and all-white texts have no shingles and stay alone;
 texts of fewer than five words are one shingle; equal texts are linked (their
@@ -47,6 +50,13 @@ LARGE, BLOCK = 48, 512
 #: Bits of the filter that spares the sets of documents in no bucket their way.
 FILTER_BITS = 1 << 23
 COLUMNS = 4_096
+#: Cells of a sketch of sets under CELLS * PER_CELL elements; four times as many for each four times of that.
+#: Counts above 255 are 255, which only brings sketches closer.
+CELLS, PER_CELL = 256, 6
+#: Shingles of a task that are counted together.
+COUNTED = 3_000_000
+#: Text of one step: shingles take many times the room of their text.
+STEP = 2 << 20
 
 
 def _digests(sets: np.ndarray, borders: np.ndarray) -> np.ndarray:
@@ -76,28 +86,63 @@ def _subset(sets: np.ndarray, borders: np.ndarray, rows: np.ndarray) -> tuple[np
     return sets[np.repeat(borders[rows] - (ends - sizes), sizes) + np.arange(total)], np.concatenate(([0], ends)).astype(np.int64)
 
 
+def _sketches(sets: np.ndarray, borders: np.ndarray) -> list[bytes]:
+    """Counts of each set's elements by cell."""
+    sizes = np.diff(borders)
+    out = [b""] * len(sizes)
+    cells, least = CELLS, 0
+    while (sizes >= least).any():
+        rows = np.flatnonzero((sizes >= least) & (sizes < cells * PER_CELL))
+        own, ends = _subset(sets, borders, rows)
+        row = np.repeat(np.arange(len(rows)), np.diff(ends))
+        cell = (own >> np.uint64(20)).astype(np.int64) % cells
+        counts = np.minimum(np.bincount(row * cells + cell, minlength=len(rows) * cells), 255).astype(np.uint8).reshape(-1, cells)
+        for i, count in zip(rows.tolist(), counts):
+            out[i] = count.tobytes()
+        least, cells = cells * PER_CELL, cells * 4
+    return out
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """Sum of the differences of two sketches; the finer one is folded to the cells of the other."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int32), np.frombuffer(b, np.uint8).astype(np.int32)
+    n = min(len(x), len(y))
+    if len(x) != len(y):
+        # Cells are residues, so a residue's finer ones add up to it; a capped count only brings them closer if both are capped.
+        x, y = (np.minimum(z.reshape(-1, n).sum(0), 255) for z in (x, y))
+    return int(np.abs(x - y).sum())
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """kind 0: (doc_id, text_hash, node, n) of every row; kind 1: (shingle as node, copies in a batch as n) of the repeated."""
+    """kind 0: (doc_id, id_hash, text_hash, node, n, sketch) of every row; kind 1: (shingle as node, copies as n) of those that a task repeats."""
     def run(batches):
         seen: set[int] = set()
-        names = ["kind", "doc_id", "text_hash", "node", "n"]
+        names = ["kind", "doc_id", "id_hash", "text_hash", "node", "n", "sketch"]
+        counted: list[np.ndarray] = []
+
+        def repeated():
+            values, n = np.unique(np.concatenate(counted) if counted else np.empty(0, np.uint64), return_counts=True)
+            values, n = values[n > 1].view(np.int64), n[n > 1]
+            counted.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.ones(len(n), np.int32)), *[pa.nulls(len(n), pa.int64())] * 3, pa.array(values), pa.array(n),
+                 pa.nulls(len(n), pa.binary())], names=names)
+
         for batch in batches:
-            counted = []
-            for part in slices(batch):
+            for part in slices(batch, most=STEP):
                 sets, borders = shingle_sets(plain_text(part))
                 nodes, sizes = _digests(sets, borders), np.diff(borders)
                 counted.append(_subset(sets, borders, _fresh(nodes, sizes, seen))[0])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(len(nodes), np.int32)), part.column("doc_id"), part.column("text_hash"), pa.array(nodes),
-                     pa.array(sizes)], names=names)
-            values, n = np.unique(np.concatenate(counted) if counted else np.empty(0, np.uint64), return_counts=True)
-            values, n = values[n > 1].view(np.int64), n[n > 1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(n), np.int32)), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64()),
-                 pa.array(values), pa.array(n)], names=names)
+                    [pa.array(np.zeros(len(nodes), np.int32)), part.column("doc_id"), part.column("id_hash"), part.column("text_hash"),
+                     pa.array(nodes), pa.array(sizes), pa.array(_sketches(sets, borders), pa.binary())], names=names)
+                if sum(map(len, counted)) > COUNTED:
+                    yield repeated()
+        yield repeated()
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return stage(rows.mapInArrow(run, "kind int, doc_id long, text_hash long, node long, n long"), "near_nodes")
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"))
+    return stage(rows.mapInArrow(run, "kind int, doc_id long, id_hash long, text_hash long, node long, n long, sketch binary"),
+                 "near_nodes")
 
 
 def hot_shingles(described: DataFrame) -> np.ndarray:
@@ -113,7 +158,7 @@ def shown(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=STEP):
                 sets, borders = shingle_sets(plain_text(part))
                 nodes = _digests(sets, borders)
                 rows = _fresh(nodes, np.diff(borders), seen)
@@ -125,7 +170,10 @@ def shown(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
 
 def buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, node, n, first, first_n): runs of one signature and neighbouring sizes with two nodes or more."""
+    """(bucket, node, n, first, first_n, pair): runs of one signature and neighbouring sizes with two nodes or more.
+
+    ``pair`` marks what is known to be a bucket of two, which its one comparison decides.
+    """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(parts, "sig").sortWithinPartitions("sig", "n", "node")
 
@@ -154,47 +202,75 @@ def buckets(rows: DataFrame) -> DataFrame:
             out = keep & ((distinct[of] > 1) | told[of])
             if last and last[5]:
                 out[0] = False
+            pair = distinct[of] == 2
+            pair &= (of > 0) & (of < len(starts) - 1)  # the first and last run of a batch may have more members
             if out.any():
                 # The bucket's name: its signature and where its sizes start.
                 yield pa.RecordBatch.from_arrays([pa.array(sig[out]), pa.array(node[out]), pa.array(n[out]), pa.array(first[out]),
-                                                  pa.array(first_n[out])], names=["sig", "node", "n", "first", "first_n"])
+                                                  pa.array(first_n[out]), pa.array(pair[out])], names=["sig", "node", "n", "first", "first_n", "pair"])
             last = (sig[-1], node[-1], n[-1], first[-1], first_n[-1], bool(told[of[-1]] or distinct[of[-1]] > 1))
 
-    return stage(ordered.mapInArrow(run, "sig long, node long, n long, first long, first_n long")
-                 .select(F.xxhash64("sig", "first", "first_n").alias("bucket"), "node", "n", "first", "first_n"), "near_buckets")
+    return stage(ordered.mapInArrow(run, "sig long, node long, n long, first long, first_n long, pair boolean")
+                 .select(F.xxhash64("sig", "first", "first_n").alias("bucket"), "node", "n", "first", "first_n", "pair"), "near_buckets")
 
 
-def _bits(nodes: DataFrame) -> np.ndarray:
-    """Filter of FILTER_BITS bits in which the bit of every node is set (of fixed size, built by an aggregation)."""
-    rows = (nodes.select(F.expr(f"cast(pmod(node, {FILTER_BITS}) div 32 as int)").alias("word"),
-                         F.expr("shiftleft(1L, cast(pmod(node, 32) as int))").alias("bit"))
+def _bits(numbers: DataFrame, name: str) -> np.ndarray:
+    """Filter of FILTER_BITS bits in which the bit of every number is set (of fixed size, built by an aggregation)."""
+    rows = (numbers.select(F.expr(f"cast(pmod({name}, {FILTER_BITS}) div 32 as int)").alias("word"),
+                           F.expr(f"shiftleft(1L, cast(pmod({name}, 32) as int))").alias("bit"))
             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
     words = np.zeros(FILTER_BITS // 32, np.uint32)
     words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
     return words
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the given nodes, once each: shingles are made again, which is cheaper than keeping all sets."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bits(nodes))
+def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, set) of at least the given nodes.
+
+    Their shingles are made again from one document of each, which is cheaper
+    than keeping all sets; a filter on the ids spares the other documents (but
+    for some that share a bit).  A node may come twice where a doc_id repeats.
+    """
+    ids = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id_hash").alias("id_hash"))
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(ids, "id_hash"))
 
     def run(batches):
         seen: set[int] = set()
         words = shared.value
         for batch in batches:
-            for part in slices(batch):
+            bit = batch.column("id_hash").to_numpy(zero_copy_only=False) % FILTER_BITS
+            batch = batch.filter(pa.array(((words[bit // 32] >> (bit % 32).astype(np.uint32)) & 1).astype(bool)))
+            for part in slices(batch, most=STEP):
                 sets, borders = shingle_sets(plain_text(part))
                 nodes = _digests(sets, borders)
-                bit = nodes % FILTER_BITS
-                wanted = (words[bit // 32] >> (bit % 32).astype(np.uint32)) & 1
-                rows = _fresh(nodes, np.diff(borders) * wanted, seen)
+                rows = _fresh(nodes, np.diff(borders), seen)
                 raw = sets.view(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes[rows]), pa.array([raw[borders[i] * 8 : borders[i + 1] * 8].tobytes() for i in rows], pa.binary())],
                     names=["node", "set"])
 
-    found = docs.select("text").mapInArrow(run, "node long, set binary")
-    return stage(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "near_sets")
+    found = docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, "node long, set binary")
+    return stage(found, "near_sets")
+
+
+def sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches allow to be similar."""
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
+                                         F.col("sketch").alias(f"sketch_{side}")), side)
+
+    def run(batches):
+        for batch in batches:
+            n = sum(batch.column(f"n_{s}").to_numpy(zero_copy_only=False) for s in ("a", "b")).tolist()
+            ok = [7 * _apart(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column("sketch_a"), batch.column("sketch_b"), n)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return stage(both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long"), "near_pairs")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -263,12 +339,15 @@ def block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 def links_of(docs: DataFrame, described: DataFrame) -> DataFrame:
     """Links between nodes, enough to give every connected component."""
     bucket = buckets(shown(docs, hot_shingles(described)))
-    sets = sets_of(docs, bucket.select("node").distinct())
-    star = stage(bucket.filter((F.col("node") != F.col("first")) & (4 * F.col("first_n") >= 3 * F.col("n")))
-                 .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "near_star")
-    links = verify(star, sets)
+    rows = described.filter("kind = 0")
+    met = bucket.select("node").distinct()
+    sketches = stage(rows.select("node", "n", "sketch").join(met, "node", "left_semi").dropDuplicates(["node"]), "near_sketches")
+    star = sketched(bucket.filter((F.col("node") != F.col("first")) & (4 * F.col("first_n") >= 3 * F.col("n")))
+                    .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sketches)
+    links = verify(star, sets_of(docs, rows, ends(star)))
     label = components(links)
-    named = bucket.join(label, "node", "left").select("bucket", "node", "n", "first", F.coalesce("component", "node").alias("component"))
+    named = bucket.filter(~F.col("pair")).select("bucket", "node", "n", "first").join(label, "node", "left").select(
+        "bucket", "node", "n", "first", F.coalesce("component", "node").alias("component"))
     mixed = (named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("k"))
              .filter("lo <> hi").select("bucket", "k"))
     left = stage(named.join(mixed, "bucket"), "near_mixed")
@@ -277,19 +356,19 @@ def links_of(docs: DataFrame, described: DataFrame) -> DataFrame:
     across = (x.join(y, (x["bucket"] == y["bucket"]) & (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
                      & (4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y")))
               .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct())
-    known = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = verify(across.join(known, ["a", "b"], "left_anti"), sets)
+    across = sketched(across, sketches)  # the few star pairs among them that failed are verified again
     large = left.filter(F.col("k") > LARGE)
     group = components(large.select(F.col("first").alias("a"), F.col("node").alias("b")))
-    members = large.select("node", "component").distinct().join(
-        group.select("node", F.col("component").alias("group")), "node").select("group", "node", "component")
-    return links.unionByName(more).unionByName(block_links(members, sets))
+    members = stage(large.select("node", "component").distinct().join(
+        group.select("node", F.col("component").alias("group")), "node").select("group", "node", "component"), "near_members")
+    sets = sets_of(docs, rows, ends(across).unionByName(members.select("node")).distinct())
+    return links.unionByName(verify(across, sets)).unionByName(block_links(members, sets))
 
 
 def labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, text_hash, node, n) and the component of every node."""
     described = describe(docs)
-    rows = described.filter("kind = 0").drop("kind")
+    rows = described.filter("kind = 0").select("doc_id", "text_hash", "node", "n")
     label = components(links_of(docs, described))
     nodes = rows.filter("n > 0").select("node").distinct()
     return rows, stage(nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "near_named")

@@ -123,3 +123,17 @@ def test_components_of_paths_stars_and_rings(spark):
         assert {got[m] for m in members} == {min(members)}
     assert len(got) == 41 + 80 + 9
     assert components(df.limit(0)).count() == 0
+
+
+def test_sketches_never_tell_similar_sets_apart():
+    rng = np.random.default_rng(11)
+    for size in (3, 200, 1500, 1600, 6000, 6300, 30_000):
+        for cut in (0.0, 0.1, 0.2, 0.25):
+            union = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            lone = rng.permutation(len(union))[: int(len(union) * cut)]
+            for split in (0, len(lone) // 2):
+                a, b = np.delete(union, lone[split:]), np.delete(union, lone[:split])
+                if len(a) and len(b):
+                    x, y = jaccard_join._sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+                    assert jaccard_join._apart(x, y) <= len(lone)
+                    assert not jaccard_core.similar(a, b) or 7 * jaccard_join._apart(x, y) <= len(a) + len(b)
