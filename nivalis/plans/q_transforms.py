@@ -510,7 +510,7 @@ def zone_properties(spark, sf_dir):
     return s.select("t", props).select("t", "p.*")
 
 
-SERIES = (199201, 199901)       # first step and the step after the last of the series
+SERIES = (199201, 200301)       # first step and the step after the last: the whole calendar of the tables
 
 
 @register("zonal_series", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, *Z.sql_zone_members()],

@@ -122,10 +122,16 @@ def test_second_upsert_adds_nothing(spark):
 
 def test_stream_equals_batch(spark):
     import __spark_entry__ as e
+    from nivalis.fixtures import Fixtures
+    from nivalis.operators import catalog as C
+    from nivalis.plans.q_records import ROUTE_PREFIX
     q = e.queries()
-    a = sorted(tuple(r) for r in q["notice_stream"](spark, SF_SMALL).collect())
-    b = sorted(tuple(r) for r in q["product_id_join"](spark, SF_SMALL).select("event_id", "filetype", "product_id").collect())
-    assert a == b
+    fx = Fixtures(spark, SF_SMALL)
+    stream = q["notice_stream"](spark, SF_SMALL)
+    batch = C.registrations(fx.notice, fx.acquirable, C.recipes(spark), ROUTE_PREFIX)
+    assert stream.columns == batch.columns
+    a = sorted(tuple(r) for r in stream.collect())
+    assert a == sorted(tuple(r) for r in batch.collect()) and len({r[1] for r in a}) == len(C.RECIPES)
     s = sorted(tuple(r) for r in q["registry_stream"](spark, SF_SMALL).collect())
     u = sorted(tuple(r) for r in q["registry_upsert"](spark, SF_SMALL).collect())
     assert s == u
@@ -209,3 +215,11 @@ def test_registry_batch_reads_its_months_only(spark):
     assert "PartitionFilters: [" in df._jdf.queryExecution().toString() and "month" in df._jdf.queryExecution().toString()
     REG.upsert_batch(path)(rows, 7)
     assert REG.registry_rows(spark, path).count() == 2
+
+
+def test_series_window_is_half_open_and_keeps_empty_zones(spark):
+    from nivalis.fixtures import Fixtures
+    from nivalis.plans.q_transforms import inches_stats, one
+    fx = Fixtures(spark, SF_SMALL)
+    got = inches_stats(fx, one(fx, "swe"), 199601, 199604).collect()
+    assert {r.t for r in got} == {199601, 199602, 199603} and len(got) == 3 * 25
