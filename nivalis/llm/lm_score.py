@@ -35,11 +35,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc32, plain_text, slices, split_words, stage
+from .common import give_back, id_crc32, plain_text, slices, split_words, stage
 
 #: The end of a document as a token: no word is empty.
 END = ""
-OWN, CLASSES, COMMON = 96, 160, 60_000
+OWN, CLASSES, COMMON = 80, 128, 60_000
 #: Training: vector length, noise samples per token, steps, contexts per step, step size.
 DIM, NOISE, STEPS, BATCH, RATE = 24, 16, 1_200, 1_024, 0.02
 
@@ -186,6 +186,7 @@ def trigram_counts(encoded: DataFrame, end: int) -> tuple[np.ndarray, np.ndarray
                 if raw:
                     codes, n = np.unique(contexts(raw, end)[0], return_counts=True)
                     counts[codes] += n
+            give_back()
         seen = np.flatnonzero(counts)
         for at in range(0, len(seen), 1 << 16):
             part = seen[at : at + (1 << 16)]
@@ -267,6 +268,7 @@ def class_scores(encoded: DataFrame, model: Vocabulary, weights: dict[str, np.nd
                     [*[part.column(c) for c in ("row_id", "doc_id", "held_out", "n_tokens", "n_known", "every")],
                      pa.array(gained + without)],
                     names=["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base_part", "score_part"])
+            give_back()
 
     return encoded.select("row_id", "doc_id", "held_out", "n_tokens", "n_known", "every", "without", "classes").mapInArrow(
         run, "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base_part double, score_part double")
