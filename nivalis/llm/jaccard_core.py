@@ -29,10 +29,10 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     own = words.dictionary_encode()
     known = np.array([xxhash.xxh3_64_intdigest(w) for w in own.dictionary.to_pylist()], np.uint64)
     hashes = known[own.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.uint64)
-    n = len(hashes)
-    rolled = np.zeros(max(0, n - WORDS + 1), np.uint64)
+    n = max(0, len(hashes) - WORDS + 1)
+    rolled = np.zeros(n, np.uint64)
     for k in range(WORDS):
-        rolled += hashes[k : n - WORDS + 1 + k] * PLACES[k]
+        rolled += hashes[k : k + n] * PLACES[k]
     rolled = mix(rolled)
     parts, sizes = [], np.zeros(len(offsets) - 1, np.int64)
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):

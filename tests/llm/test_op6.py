@@ -137,3 +137,16 @@ def test_sketches_never_tell_similar_sets_apart():
                     x, y = jaccard_join._sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
                     assert jaccard_join._apart(x, y) <= len(lone)
                     assert not jaccard_core.similar(a, b) or 7 * jaccard_join._apart(x, y) <= len(a) + len(b)
+
+
+@pytest.mark.parametrize("n", range(7))
+def test_slices_of_few_words(n):
+    sets, borders = jaccard_core.shingle_sets(pa.array([" ".join("abcdef"[:n])], pa.large_string()))
+    assert borders.tolist() == [0, len(sets)] and len(sets) == (max(1, n - 4) if n else 0)
+
+
+def test_tables_of_one_row_of_three_words(spark):
+    for n in (3, 6):
+        rows = [(7, " ".join("abcdef"[:n]))]
+        docs = spark.createDataFrame([(*rows[0], "en", 1, 2)], SCHEMA)
+        assert got_of(jaccard_join.report(docs)) == brute(rows)
