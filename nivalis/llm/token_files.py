@@ -17,7 +17,8 @@ The dictionary is fitted on a bounded sample (``DICT_DOCS`` documents, the
 first ``DICT_IDS`` ids of each); it changes sizes only, every id of every document is
 written.  Words are what the tokenizer never joins over (it drops ASCII white
 space), so each distinct word of a task is encoded once by the library and the
-ids of a text are gathered from its words.
+ids of a text are gathered from its words.  Added tokens of the tokenizer that a
+text holds as written have their own ids, as in the library.
 
 Defined cases: null and empty texts have the end id only; rows of a null doc_id
 come first; repeated rows are documents of their own; an empty table gives no
@@ -27,6 +28,7 @@ files and an empty result; other columns play no part.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 
@@ -99,6 +101,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word or not t.special for t in added.values()):
+            raise ValueError("added tokens can only be special ones that are matched as they are written")
+        self.added = {t.content: i for i, t in added.items()}
+        self.cuts = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
+        # Texts are cut at the added tokens first; a piece that only looks like one (in lower case) is plain text.
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
@@ -144,18 +152,32 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's with the end id, and the number of ids of each text."""
+        texts, ends, last = self._parts(texts, end_id)
         words, offsets = pieces(texts)
         words = words.dictionary_encode()
         known = self._learn(words.dictionary.to_pylist())
         places = known[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.int64)
-        # One end id for each text goes behind its words: a word of its own.
-        starts = np.append(np.cumsum(self.sizes) - self.sizes, len(self.ids))
-        per_word, at = np.append(self.sizes, 1), len(self.sizes)
-        places = np.insert(places, offsets[1:], at)
+        # One id for each part, that of its added token or the end id, goes behind its words: a word of its own.
+        own, which = np.unique(ends, return_inverse=True)
+        starts = np.append(np.cumsum(self.sizes) - self.sizes, len(self.ids) + np.arange(len(own)))
+        per_word, at = np.append(self.sizes, np.ones(len(own), np.int64)), len(self.sizes)
+        places = np.insert(places, offsets[1:], at + which)
         sizes = per_word[places]
-        after = np.cumsum(sizes)[offsets[1:] + np.arange(len(texts))]
-        return (ragged_take(np.append(self.ids, np.uint32(end_id)), starts[places], sizes),
-                np.diff(after, prepend=0))
+        after = np.cumsum(sizes)[offsets[1:] + np.arange(len(texts))][last]
+        return ragged_take(np.append(self.ids, own), starts[places], sizes), np.diff(after, prepend=0)
+
+    def _parts(self, texts: pa.Array, end_id: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Texts cut at their added tokens, the id behind each part, and the place of each text's last part."""
+        found = pc.match_substring_regex(texts, self.cuts) if self.cuts else None
+        if found is None or not pc.any(found).as_py():
+            return texts, np.full(len(texts), end_id, np.uint32), np.arange(len(texts))
+        parts, ends, last = [], [], []
+        for text, has in zip(texts.to_pylist(), found.to_pylist()):
+            split = re.split(f"({self.cuts})", text) if has else [text]
+            parts += split[::2]
+            ends += [*(self.added[token] for token in split[1::2]), end_id]
+            last.append(len(parts) - 1)
+        return pa.array(parts, pa.large_string()), np.array(ends, np.uint32), np.array(last)
 
 
 def encode_rows(docs: DataFrame, tokenizer_json: str, end_id: int, pack) -> DataFrame:

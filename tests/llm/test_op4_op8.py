@@ -96,3 +96,28 @@ def test_token_files_edge_cases(spark):
     path = scratch_path(spark, "t-files")
     empty = token_files.write(df.limit(0), path, json, 2, 49_408)
     assert token_files.read_back(spark, path, empty, "ids_crc32 long", token_files.crc32_of).count() == 0
+
+
+ADDED = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|end", "oftext|>"]
+PLAIN = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*ADDED, "a", " ", "'", "s", "1", "<", "|", ">", "\n", "é", "\u0301", "don", "'t"]), max_size=12), max_size=4))
+def test_added_tokens_in_texts_have_their_ids(texts):
+    import pyarrow as pa
+    texts = ["".join(t) for t in texts] + ["a <|endoftext|> b"]
+    ids, sizes = ENCODER.encode(pa.array(texts, pa.large_string()), 2)
+    want = [[*PLAIN.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert want[-1] == [320, 49407, 321, 2]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
+def test_token_files_of_texts_with_added_tokens(spark):
+    texts = ["x<|startoftext|>A <|endoftext|><|endoftext|> b", "plain", "<|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = scratch_path(spark, "t-files")
+    manifest = token_files.write(df, path, queries.vocabulary("word_bpe_49k.json").decode(), 2, 49_408)
+    got = sorted(token_files.read_back(spark, path, manifest, "ids array<int>", lambda ids: (ids.tolist(),)).collect())
+    want = [[*PLAIN.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [r.ids for r in got] == want and [r.start for r in got] == [0, len(want[0]), len(want[0]) + len(want[1])]
