@@ -211,6 +211,7 @@ def write_grid_files(cells: DataFrame, base: str, n_rows: int, n_cols: int, head
     tasks, so a task holds a batch of cells and never a grid.  The header text
     of a step is one more row ahead of its cells.  Files are written under a
     name of their own and moved, so a task that runs again replaces them.
+    A value that does not fit the 16 bits of a cell is an error.
     Returns (t, n_files) rows.  Layout: raw/grid_<t>.bil, gz/grid_<t>.bil.gz,
     zip/grid_<t>_bil.zip with member grid_<t>.bil, tar/archive_<t>.tar with
     grid_<t>.dat.gz and, where there is a header, grid_<t>.txt.gz.
@@ -221,7 +222,7 @@ def write_grid_files(cells: DataFrame, base: str, n_rows: int, n_cols: int, head
         steps = headers.join(cells.select("t").distinct(), "t", "left_semi")
         src = src.unionByName(steps.select(F.col("t").cast("int").alias("t"), F.lit(-1).alias("r"), F.lit(-1).alias("c"),
                                            F.lit(None).cast("double").alias("v"), F.col("content").alias("header")))
-    nodata, dtype = RAW_NODATA, RAW_DTYPE
+    nodata, dtype, limits = RAW_NODATA, RAW_DTYPE, np.iinfo(RAW_DTYPE)
 
     def run(batches):
         open_t, writer, header, row, line = None, None, None, 0, np.full(n_cols, nodata, dtype)
@@ -240,7 +241,11 @@ def write_grid_files(cells: DataFrame, base: str, n_rows: int, n_cols: int, head
         for batch in batches:
             t, r, c = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("t", "r", "c"))
             v = batch.column("v").to_numpy(zero_copy_only=False).astype(np.float64)
-            v = np.where(np.isnan(v), nodata, np.rint(v)).astype(dtype)
+            v = np.where(np.isnan(v), nodata, np.rint(v))
+            wide = (v < limits.min) | (v > limits.max)
+            if wide.any():
+                raise ValueError(f"grid {t[wide][0]}: cell value {v[wide][0]:.0f} at row {r[wide][0]}, column {c[wide][0]} does not fit 16 bits")
+            v = v.astype(dtype)
             cuts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (r[1:] != r[:-1])]) if len(t) else []
             for a, b in zip(cuts, [*cuts[1:], len(t)]):
                 if t[a] != open_t:

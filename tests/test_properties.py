@@ -182,6 +182,18 @@ def test_truncated_grid_is_an_error(spark):
     assert R.decode_grids(R.read_binary(spark, d, "odd.bil"), 10, "raw", n_rows=6).count() == 1
 
 
+def test_values_that_do_not_fit_a_cell_are_errors(spark):
+    for v in (88000.0, 32768.0, -32769.0, float("inf")):
+        cells = spark.createDataFrame([(1, 0, 0, 5.0), (1, 0, 1, v)], "t int, r int, c int, v double")
+        with pytest.raises(Exception, match="does not fit 16 bits"):
+            R.write_grid_files(cells, tempfile.mkdtemp(prefix="nivalis-wide-"), 1, 2, kinds=("raw",)).collect()
+    base = tempfile.mkdtemp(prefix="nivalis-wide-")
+    cells = spark.createDataFrame([(1, 0, 0, 32767.4), (1, 0, 1, -32768.0), (1, 0, 2, None)], "t int, r int, c int, v double")
+    R.write_grid_files(cells, base, 1, 3, kinds=("raw",)).collect()
+    with open(os.path.join(base, "raw/grid_1.bil"), "rb") as f:
+        assert np.frombuffer(f.read(), ">i2").tolist() == [32767, -32768, -9999]
+
+
 def test_grid_files_on_a_uri_with_gaps_and_headers(spark):
     base = "file://" + tempfile.mkdtemp(prefix="nivalis-uri-")
     rows = [(t, r, c, None if c == 1 else float(r * 10 + c)) for t in (1, 2) for r in range(1, 4) for c in range(3)]
