@@ -70,3 +70,9 @@ def test_edge_cases(spark, monkeypatch):
     none = spark.createDataFrame([(only_out, "a b")], "doc_id long, text string")
     r = lm_score.score(none).first()
     assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0) and r.score < 0
+
+
+def test_classes_of_the_model(spark, duck):
+    docs = spark.createDataFrame(duck.sql("select doc_id, text from documents").fetchall(), "doc_id long, text string")
+    model = lm_score.vocabulary(lm_score.word_counts(docs))
+    assert lm_score.CLASSES >= 160 and model.first_rest >= 96
