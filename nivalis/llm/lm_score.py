@@ -128,6 +128,7 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     common = [(r.word, r.c) for r in counts.orderBy(F.desc("c"), "word").limit(COMMON).collect()]
+    least = common[-1][1] if common else 0  # of the ranked words, before the end takes a place
     if common and all(w != END for w, _ in common):
         common[-1] = (END, counts.filter(F.col("word") == END).first().c)
     total = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -135,7 +136,9 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     last = F.conv(F.hex(F.substring(F.col("word").cast("binary"), -1, 1)), 16, 10).cast("int")
     by_byte = (counts.filter(~F.col("word").isin(own)).groupBy(last.alias("b"))
                .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect())
-    return Vocabulary(common, [(r.b, r.c, r.v) for r in by_byte], total[0] or 0, total[1])
+    model = Vocabulary(common, [(r.b, r.c, r.v) for r in by_byte], total[0] or 0, total[1])
+    model.least = least
+    return model
 
 
 ENCODED = ("row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, classes binary, every double, "
@@ -281,9 +284,8 @@ def score(docs: DataFrame) -> DataFrame:
     encoded = encode(docs, model)
     weights = train(*trigram_counts(encoded, model.end))
     parts = class_scores(encoded, model, weights)
-    least = float(model.counts.min()) if len(model.counts) else 0.0
-    # Words that are not common are no more frequent than the least common one.
-    rare = counts.filter(F.col("c") <= least)
+    # Words that are not common are no more frequent than the last ranked one.
+    rare = counts.filter(F.col("c") <= model.least)
     others = encoded.select("row_id", F.explode("others").alias("word")).join(rare, "word")
     sums = others.groupBy("row_id").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count(F.lit(1)).alias("found"))
     more = F.coalesce("more", F.lit(0.0))

@@ -76,3 +76,12 @@ def test_classes_of_the_model(spark, duck):
     docs = spark.createDataFrame(duck.sql("select doc_id, text from documents").fetchall(), "doc_id long, text string")
     model = lm_score.vocabulary(lm_score.word_counts(docs))
     assert lm_score.CLASSES >= 160 and model.first_rest >= 96
+
+
+def test_end_token_less_frequent_than_the_common_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "STEPS", 20)
+    monkeypatch.setattr(lm_score, "COMMON", 3)
+    first, second = [i for i in range(100) if not is_held_out(i)][:2]
+    texts = [(first, "a " * 50 + "b " * 40 + "c " * 30 + "d " * 20 + "e " * 10 + "f"), (second, "d e c f g")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    check_base(lm_score.score(docs).collect(), texts)
