@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, lm_score, sharding, token_files, toxicity
+from . import (byte_bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, lm_score, merkle, mixing, sharding,
+               source_audit, token_files, toxicity)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +154,121 @@ FROM d JOIN g USING (text_sha256)
 def op10_exact_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return exact_dedup.decide(docs, exact_dedup.new_index(spark))
+
+
+@register("op11_source_audit", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n_lang FROM t GROUP BY 1, 2 HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n_lang) AS nl FROM kept GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, sum(n) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+ng AS (SELECT lang, source, sum(n) AS ng FROM c GROUP BY 1, 2),
+tot AS (SELECT g.lang, g.source, v, nl, coalesce(ng, 0) AS ng FROM g JOIN v USING (lang) LEFT JOIN ng USING (lang, source)),
+p AS (SELECT tot.lang, tot.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (ng + 5 * v) AS p,
+             1 + (1000000000::HUGEINT * (n_lang + 5)) // (nl + 5 * v) AS q
+      FROM tot JOIN kept k USING (lang) LEFT JOIN c ON c.lang = tot.lang AND c.source = tot.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op11_source_audit(spark, sf_dir):
+    return source_audit.audit(read(spark, sf_dir, "documents"))
+
+
+@register("op12_mixing", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) FILTER (size > 0) AS n_full,
+             [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+r AS (SELECT *, 3 * source_size AS cap, row_number() OVER o AS pos, (sum(source_size) OVER ())::BIGINT
+             - (sum(3 * source_size) OVER o)::BIGINT + 3 * source_size AS left_words,
+             (sum(w) OVER ())::BIGINT - (sum(w) OVER o)::BIGINT + w AS left_weight
+      FROM s WINDOW o AS (ORDER BY 3 * source_size * (10 // w), source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT *, left_words::HUGEINT * w >= cap::HUGEINT * left_weight AS bound FROM r),
+l AS (SELECT first(left_words ORDER BY pos) AS lw, first(left_weight ORDER BY pos) AS lg FROM b WHERE NOT bound),
+t AS (SELECT source, source_size, n_full, CASE WHEN bound THEN cap::DOUBLE ELSE (w * lw)::DOUBLE / lg::DOUBLE END AS target FROM b, l),
+x AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate, floor(rate)::BIGINT AS copies,
+             floor(target - copies * source_size)::BIGINT AS draw FROM t),
+q AS (SELECT d.doc_id, d.size, x.source, x.target, row_number() OVER (PARTITION BY x.source ORDER BY
+        (u / (1 - u)) / ((rate - copies) / (1 - (rate - copies)) * sqrt(source_size::DOUBLE / n_full / d.size)),
+        doc_id NULLS FIRST, d.size) AS pos
+      FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source WHERE d.size > 0 AND x.draw > 0 AND rate > copies),
+walk AS (
+  SELECT source, 0::BIGINT AS pos, 4611686018427387904::BIGINT AS most, draw AS room, false AS stopped, false AS took FROM x WHERE draw > 0
+  UNION ALL
+  SELECT w.source, q.pos,
+         CASE WHEN NOT stopped AND size > room AND size <= most AND room * 1000 > target THEN room ELSE most END,
+         CASE WHEN NOT stopped AND size <= room THEN room - size ELSE room END,
+         stopped OR (size > room AND size <= most AND NOT room * 1000 > target), NOT stopped AND size <= room
+  FROM walk w JOIN q ON q.source IS NOT DISTINCT FROM w.source AND q.pos = w.pos + 1),
+ends AS (SELECT source, first(room ORDER BY pos DESC) AS room FROM walk GROUP BY source),
+closing AS (SELECT q.source, first(q.pos ORDER BY q.size, q.pos) AS pos FROM q JOIN walk w ON w.source IS NOT DISTINCT FROM q.source AND w.pos = q.pos
+            JOIN ends e ON e.source IS NOT DISTINCT FROM q.source
+            WHERE NOT w.took AND e.room * 1000 > q.target AND q.size < 2 * e.room GROUP BY q.source),
+picked AS (SELECT q.source, q.doc_id, q.size, q.pos, took OR c.pos IS NOT NULL AS took
+           FROM q JOIN walk w ON w.source IS NOT DISTINCT FROM q.source AND w.pos = q.pos
+           LEFT JOIN closing c ON c.source IS NOT DISTINCT FROM q.source AND c.pos = q.pos),
+nth AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, size ORDER BY pos) AS k FROM picked),
+every AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, size) AS k FROM d)
+SELECT e.doc_id, e.size, x.source_size, x.target,
+       CASE WHEN e.size > 0 THEN (x.copies + coalesce(n.took, false)::INT)::INT ELSE 0 END AS copies,
+       (e.size * (x.copies + coalesce(n.took, false)::INT))::BIGINT AS taken
+FROM every e JOIN x ON e.source IS NOT DISTINCT FROM x.source
+LEFT JOIN nth n ON n.source IS NOT DISTINCT FROM e.source AND n.doc_id IS NOT DISTINCT FROM e.doc_id AND n.size = e.size AND n.k = e.k
+""")
+def op12_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+@register("op13_merkle", r"""
+WITH RECURSIVE piece AS (
+  SELECT doc_id, lang, coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-')
+                || coalesce(strlen(source)::VARCHAR || ':' || source, '-') || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-') AS head,
+         n_chars::HUGEINT AS n_chars, coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS tail,
+         list_reduce(list_prepend(4294967295::BIGINT, range(8 * strlen(doc_id::VARCHAR))),
+           lambda c, i: (xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (i // 8 + 1)::BIGINT, 1)) ELSE 0 END) >> 1)
+             .xor(CASE WHEN xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (i // 8 + 1)::BIGINT, 1)) ELSE 0 END) % 2 = 1
+                  THEN 3988292384 ELSE 0 END)).xor(4294967295) AS crc
+  FROM documents),
+d AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') || tail) AS leaf,
+             CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR)::VARCHAR || ':' || (n_chars + 1)::VARCHAR, '-')
+                  || tail) END AS altered FROM piece),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+levels AS (SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))
+  FROM levels WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM levels WHERE len(nodes) = 1),
+tops AS (SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))
+  FROM tops WHERE len(nodes) > 1),
+steps AS (
+  SELECT p.lang, p.pos, 0 AS floor, l.level, (p.pos >> l.level) % 2 AS side, l.nodes[xor(p.pos >> l.level, 1) + 1] AS sibling
+  FROM placed p JOIN levels l ON p.lang IS NOT DISTINCT FROM l.lang WHERE len(l.nodes) > 1
+  UNION ALL
+  SELECT p.lang, p.pos, 1, t.level, (s.pos >> t.level) % 2, t.nodes[xor(s.pos >> t.level, 1) + 1]
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang JOIN tops t ON len(t.nodes) > 1),
+proofs AS (SELECT lang, pos, string_agg(coalesce(sibling, ''), '' ORDER BY floor, level) AS proof,
+                  list(CASE WHEN sibling IS NULL THEN '-' WHEN side = 1 THEN 'L' || sibling ELSE 'R' || sibling END ORDER BY floor, level) AS marks
+           FROM steps GROUP BY 1, 2),
+whole AS (SELECT p.doc_id, p.leaf, s.subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root, sha256(coalesce(f.proof, '')) AS proof_sha256,
+    list_reduce(list_prepend(coalesce(p.altered, p.leaf), coalesce(f.marks, [])), lambda a, m:
+      CASE m[1] WHEN 'L' THEN sha256(m[2:] || a) WHEN 'R' THEN sha256(a || m[2:]) ELSE sha256(a) END) AS folded_root
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN proofs f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM whole
+""")
+def op13_merkle(spark, sf_dir):
+    return merkle.report(read(spark, sf_dir, "documents"))
