@@ -1,13 +1,15 @@
 """Source divergence audit by in-mapper stripes.
 
 Tasks fold whole documents into one hash of stripes: (language, term) to the
-number of documents that have the term and, per source, its occurrences.  A
-stripe leaves the task when the hash holds ``ENTRIES`` source counts (a spill)
+number of documents that have the term and, per source, its occurrences.  The
+stripes leave the task when the hash holds ``ENTRIES`` source counts (a spill)
 or the partition ends; so a frequent term travels once per spill, not once per
-occurrence.  Stripes of a key are merged after one shuffle, those of terms in
-at least ``least`` documents of their language are kept, and every merged
-stripe directly gives its part of the divergences: |p - p'| for the pairs of
-sources, p - q for the sources that use the term more than their language.
+occurrence.  One shuffle brings the stripes of a key together; those of terms in
+at least ``least`` documents of their language are merged and kept, and every
+merged stripe directly gives its part of the divergences: |p - p'| for the
+pairs of sources, p - q for the sources that use the term more than their
+language.  A task of this last step gets a range of about ``KEPT`` counts, so
+partial sums of pairs are few beside the counts they come from.
 
 A share p is 1 + floor(10^9 (count + 5) / (N + 5 V)), as a long division in
 whole numbers.  Sources of a language are compared in blocks of ``BLOCK``, so a
@@ -33,12 +35,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _words, plain_text, raw_text, slices, stage
+from .common import _words, give_back, plain_text, raw_text, slices, stage
 
 #: Byte map of the terms: A-Z to lower case, every other ASCII byte but a-z to a space.
 LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-#: Source counts in a task's hash before it spills (about 100 bytes each).
-ENTRIES = 400_000
+#: Source counts in a task's hash before it spills (about 100 bytes each), and in one task over the merged stripes.
+ENTRIES = 800_000
+KEPT = 100_000
 #: Rows of the source table in one slice, and sources in one block of the pair matrix.
 SOURCES = 500_000
 BLOCK = 256
@@ -72,88 +75,101 @@ def stripe_batch(stripes: dict) -> pa.RecordBatch:
         names=["lang", "term", "df", "sources", "counts"])
 
 
-def codes(column: pa.Array) -> tuple[np.ndarray, list[str]]:
-    """Numbers of a text column's values and the values."""
+def numbered(column: pa.Array, known: dict[str, int]) -> np.ndarray:
+    """Numbers of a text column's values (null as the empty text); new values are added to ``known``."""
     coded = pc.dictionary_encode(pc.fill_null(column.cast(pa.string()), ""))
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    own = np.array([known.setdefault(v, len(known)) for v in coded.dictionary.to_pylist()], np.int64)
+    return own[coded.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(len(column), np.int64)
 
 
-def counted(part: pa.RecordBatch):
+def counted(part: pa.RecordBatch, langs: dict[str, int], sources: dict[str, int]) -> pa.Table | None:
     """Distinct (language, term, source) of a slice with their documents and occurrences."""
     words, offsets = split_letters(plain_text(part))
     if not len(words):
-        return
+        return None
     coded = pc.dictionary_encode(words)
-    term, terms = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    lang, langs = codes(part.column("lang"))
-    source, sources = codes(part.column("source"))
+    term, n_terms = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    own = numbered(part.column("lang"), langs) * (1 << 31) + numbered(part.column("source"), sources)
+    places, group = np.unique(own, return_inverse=True)
     doc = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-    # One row per (document, term) first, then one per (language, source, term).
-    once, times = np.unique(doc * len(terms) + term, return_counts=True)
-    group = (lang * len(sources) + source)[once // len(terms)] * len(terms) + once % len(terms)
-    by = np.argsort(group, kind="stable")
-    starts = np.flatnonzero(np.diff(group[by], prepend=-1))
-    df = np.diff(starts, append=len(by))
-    n = np.add.reduceat(times[by], starts)
-    group = group[by][starts]
-    where, what = np.divmod(group, len(terms))
-    for g, t, d, c in zip(where.tolist(), what.tolist(), df.tolist(), n.tolist()):
-        yield langs[g // len(sources)], terms[t], sources[g % len(sources)], d, c
+    # One row per (document, term) first, then one per (language and source, term).
+    once, times = np.unique(doc * n_terms + term, return_counts=True)
+    key = group[once // n_terms] * n_terms + once % n_terms
+    by = np.argsort(key, kind="stable")
+    starts = np.flatnonzero(np.diff(key[by], prepend=-1))
+    where, what = np.divmod(key[by][starts], n_terms)
+    return pa.table({"lang": (places >> 31)[where], "term": coded.dictionary.take(pa.array(what)),
+                     "source": (places & ((1 << 31) - 1))[where], "df": np.diff(starts, append=len(by)),
+                     "n": np.add.reduceat(times[by], starts)})
+
+
+def combined(tables: list[pa.Table]) -> pa.Table:
+    sums = (pa.concat_tables(tables).group_by(["lang", "term", "source"], use_threads=False)
+            .aggregate([("df", "sum"), ("n", "sum")]))
+    return sums.rename_columns(["lang", "term", "source", "df", "n"])
 
 
 def fold_documents(batches):
     """In-mapper combining: stripes of all documents of a partition, spilled when the hash is full."""
-    stripes: dict = {}
-    held = 0
+    langs: dict[str, int] = {}
+    sources: dict[str, int] = {}
+    held: list[pa.Table] = []
+
+    def spill(table):
+        rows = table.group_by(["lang", "term"], use_threads=False).aggregate([("df", "sum"), ("source", "list"), ("n", "list")])
+        rows = rows.rename_columns(["lang", "term", "df", "sources", "counts"]).combine_chunks()
+        names = [pa.array(list(x), pa.string()) for x in (langs, sources)]
+        for batch in rows.to_batches(max_chunksize=50_000):
+            lists, counts = batch.column("sources"), batch.column("counts")
+            at = pa.array(lists.offsets.to_numpy() - lists.offsets[0].as_py(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [names[0].take(batch.column("lang")), batch.column("term").cast(pa.string()), batch.column("df"),
+                 pa.ListArray.from_arrays(at, names[1].take(lists.flatten())), pa.ListArray.from_arrays(at, counts.flatten())],
+                names=["lang", "term", "df", "sources", "counts"])
+
     for batch in batches:
         for part in slices(batch):
-            for lang, term, source, df, n in counted(part):
-                stripe = stripes.get((lang, term))
-                if stripe is None:
-                    stripe = stripes[(lang, term)] = [0, {}]
-                stripe[0] += df
-                if source not in stripe[1]:
-                    held += 1
-                stripe[1][source] = stripe[1].get(source, 0) + n
-            if held >= ENTRIES:
-                yield stripe_batch(stripes)
-                stripes, held = {}, 0
-    if stripes:
-        yield stripe_batch(stripes)
-
-
-def merge_sorted(least: int):
-    """Merge neighbouring stripes of equal key (rows come sorted) and keep those of ``least`` documents."""
-    def merge(batches):
-        key, df, counts, ready, held = None, 0, {}, {}, 0
-        for batch in batches:
-            langs, terms = batch.column("lang").to_pylist(), batch.column("term").to_pylist()
-            dfs = batch.column("df").to_pylist()
-            sources, ns = batch.column("sources").to_pylist(), batch.column("counts").to_pylist()
-            for lang, term, d, ss, cs in zip(langs, terms, dfs, sources, ns):
-                if key != (lang, term):
-                    if df >= least:
-                        ready[key] = (df, counts)
-                        held += len(counts)
-                    key, df, counts = (lang, term), 0, {}
-                    if held >= ENTRIES:
-                        yield stripe_batch(ready)
-                        ready, held = {}, 0
-                df += d
-                for s, c in zip(ss, cs):
-                    counts[s] = counts.get(s, 0) + c
-        if df >= least and key is not None:
-            ready[key] = (df, counts)
-        if ready:
-            yield stripe_batch(ready)
-    return merge
+            table = counted(part, langs, sources)
+            if table is None:
+                continue
+            held.append(table)
+            if sum(t.num_rows for t in held) >= ENTRIES:
+                held = [combined(held)]
+                if held[0].num_rows >= ENTRIES // 2:  # combining no longer frees much
+                    yield from spill(held.pop())
+                    give_back()
+    if held:
+        yield from spill(combined(held))
+
+
+def merge_sorted(batches):
+    """Merge neighbouring stripes of equal key (rows come sorted)."""
+    key, df, counts, ready, held = None, 0, {}, {}, 0
+    for batch in batches:
+        for lang, term, d, sources, ns in zip(*[c.to_pylist() for c in batch.columns]):
+            if key != (lang, term):
+                if key is not None:
+                    ready[key] = (df, counts)
+                    held += len(counts)
+                key, df, counts = (lang, term), 0, {}
+                if held >= KEPT:
+                    yield stripe_batch(ready)
+                    ready, held = {}, 0
+            df += d
+            for source, n in zip(sources, ns):
+                counts[source] = counts.get(source, 0) + n
+    if key is not None:
+        ready[key] = (df, counts)
+        yield stripe_batch(ready)
 
 
 def stripes(docs: DataFrame, least: int) -> DataFrame:
     """Merged stripes of the terms that at least ``least`` documents of their language have."""
     folded = stage(docs.select("text", "lang", "source").mapInArrow(fold_documents, STRIPE), "audit_stripes")
-    merged = (folded.repartition("lang", "term").sortWithinPartitions("lang", "term")
-              .mapInArrow(merge_sorted(least), STRIPE))
+    # The window sorts each partition by key, so equal keys come to the merge as neighbours.
+    whole = F.sum("df").over(Window.partitionBy("lang", "term"))
+    merged = (folded.withColumn("all_df", whole).filter(F.col("all_df") >= least).drop("all_df")
+              .sortWithinPartitions("lang", "term").mapInArrow(merge_sorted, STRIPE))
     return stage(merged, "audit_merged")
 
 
@@ -251,7 +267,7 @@ def diverge(groups: dict, top: int):
             for batch in batches:
                 columns = [batch.column(c).to_pylist() for c in ("lang", "term", "sources", "counts")]
                 for name, term, ss, cs in zip(*columns):
-                    if name != lang or size >= ENTRIES:
+                    if name != lang or size >= KEPT:
                         if rows:
                             yield from of_language(lang, terms, rows)
                         lang, terms, rows, size = name, [], [], 0
@@ -278,6 +294,12 @@ def source_table(docs: DataFrame, kept: DataFrame) -> DataFrame:
         (F.coalesce("n_lang", F.lit(0)) + PRIOR * v).alias("lang_total"), v.alias("n_terms")), "audit_sources")
 
 
+def dealt(kept: DataFrame) -> DataFrame:
+    """Merged stripes in ranges of (language, term) of about ``KEPT`` counts."""
+    n = kept.agg(F.coalesce(F.sum(F.size("counts")), F.lit(0))).first()[0]
+    return kept.repartitionByRange(1 + n // KEPT, "lang", "term")
+
+
 def audit(docs: DataFrame, least: int = 30, top: int = 50) -> DataFrame:
     """lang, source, part (``pair`` or ``term``), item, value and rank of every divergence."""
     kept = stripes(docs, least)
@@ -291,7 +313,7 @@ def audit(docs: DataFrame, least: int = 30, top: int = 50) -> DataFrame:
         for r in mine(sources.filter("n_terms > 0")).toLocalIterator():
             groups.setdefault(r.lang, []).append((r.source, r.total, r.lang_total))
         groups = {g: ([s for s, _, _ in sorted(x)], [t for _, t, _ in sorted(x)], x[0][2]) for g, x in groups.items()}
-        rows = mine(kept).mapInArrow(diverge(groups, top), FOUND)
+        rows = dealt(mine(kept)).mapInArrow(diverge(groups, top), FOUND)
         found = rows if found is None else found.unionByName(rows)
     summed = (found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")))
     bare = sources.filter("n_terms = 0").select("lang", "source")

@@ -63,7 +63,7 @@ def audit_rows():
 @pytest.mark.parametrize("entries, block, sources", [(None, None, None), (7, 2, 4)])
 def test_audit_against_brute_force(spark, monkeypatch, entries, block, sources):
     if entries:  # spills after a few counts, several blocks of sources, several slices of languages
-        for name, value in (("ENTRIES", entries), ("BLOCK", block), ("SOURCES", sources), ("SLAB", 4)):
+        for name, value in (("ENTRIES", entries), ("KEPT", entries), ("BLOCK", block), ("SOURCES", sources), ("SLAB", 4)):
             monkeypatch.setattr(source_audit, name, value)
     rows = audit_rows()
     got = source_audit.audit(docs_of(spark, rows).repartition(3), least=3, top=4).collect()
