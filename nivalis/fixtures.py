@@ -8,8 +8,8 @@ oracle queries inline as CTEs.  The two are written independently.
 Scale notes: ``v_cells`` is an aggregation of ``lineitem`` onto a 64 x 64
 lattice per ship month, so it is bounded by months x 4096 whatever the size
 of ``lineitem``.  The dense lattice is generated per month from the (bounded,
-at most 64-entry) row and column sets of the grid definition with
-``explode``; no join with a constant key is used to build it.
+at most 64-entry) row and column sets of the grid definition, which are read
+once and stand in the plans as literals.
 """
 
 from __future__ import annotations
@@ -70,23 +70,33 @@ class Fixtures:
         )
 
     @cached_property
-    def grid_def(self) -> DataFrame:
-        """One row: sorted row set and column set of the lattice (each <= 64 entries)."""
+    def grid_def(self):
+        """Sorted row set and column set of the lattice (at most 64 entries each) and the months with cells.
+
+        Read from the tables once and small by definition, so plans hold them
+        as literals instead of scanning the lines again for each use.
+        """
         li = self.t("lineitem")
         return li.agg(
             F.sort_array(F.collect_set((F.col("l_orderkey") % LATTICE).cast("int"))).alias("rows"),
             F.sort_array(F.collect_set((F.col("l_partkey") % LATTICE).cast("int"))).alias("cols"),
-        )
+            F.sort_array(F.collect_set((F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int"))).alias("months"),
+        ).first()
+
+    @staticmethod
+    def _literal(values):
+        return F.array(*[F.lit(int(v)) for v in values]).cast("array<int>")
 
     def _rows(self):
-        return self.grid_def.select("rows").scalar()
+        return self._literal(self.grid_def.rows)
 
     def _cols(self):
-        return self.grid_def.select("cols").scalar()
+        return self._literal(self.grid_def.cols)
 
     @cached_property
     def times(self) -> DataFrame:
-        return self.cells.select("t").distinct()
+        months = ", ".join(f"({int(t)})" for t in self.grid_def.months)
+        return self.spark.sql(f"select t from values {months or '(0)'} as v(t)" + ("" if months else " where false"))
 
     @cached_property
     def lattice(self) -> DataFrame:

@@ -16,6 +16,12 @@ offset only that cell can be the nearest, each hole looks at 2(2D + 1)
 candidates, one column offset at a time for all holes of the tile.  Work is
 linear in the cells, whatever the shape of the grid, and a task
 holds one tile, never a grid.
+
+Where only windows of the grid are wanted (``windows``: boxes of rows r0..r1
+and columns c0..c1), they go through the fill as window plus D: the cells are
+first cut to the windows' envelope, then to the windows, empty cells to the
+windows themselves and valid ones to D around them, by a semi-join on tiles.
+What is shuffled and filled grows with the windows, not with the grid.
 """
 
 from __future__ import annotations
@@ -84,6 +90,30 @@ def _tiles(cells: DataFrame, D: int, value_col: str, keys) -> DataFrame:
     return tiled.where(own | F.col("v").isNotNull())
 
 
+WINDOW_TILE = 128       # cells per side of the tiles on which cells and windows meet
+
+
+def window_cells(cells: DataFrame, windows: DataFrame, D: int, value_col: str = "v") -> DataFrame:
+    """The cells that filling the windows needs: those inside one, and valid ones within D of one."""
+    wide = windows.select("r0", "r1", "c0", "c1", (F.col("r0") - D).alias("_r0"), (F.col("r1") + D).alias("_r1"),
+                          (F.col("c0") - D).alias("_c0"), (F.col("c1") + D).alias("_c1"))
+
+    def tiles(lo: str, hi: str):
+        return F.explode(F.sequence(F.floor(F.greatest(F.col(lo), F.lit(0)) / WINDOW_TILE).cast("int"),
+                                    F.floor(F.greatest(F.col(hi), F.lit(0)) / WINDOW_TILE).cast("int")))
+
+    boxes = wide.where("r0 <= r1 and c0 <= c1").select("*", tiles("_r0", "_r1").alias("_tr")).select("*", tiles("_c0", "_c1").alias("_tc"))
+    env = wide.agg(F.struct(*[f(c).alias(c) for f, c in ((F.min, "_r0"), (F.max, "_r1"), (F.min, "_c0"), (F.max, "_c1"))])).scalar()
+    r, c = F.col("r"), F.col("c")
+    near = r.between(env["_r0"], env["_r1"]) & c.between(env["_c0"], env["_c1"])
+    tiled = cells.where(near).select("*", F.floor(r / WINDOW_TILE).cast("int").alias("_tr"), F.floor(c / WINDOW_TILE).cast("int").alias("_tc"))
+    a, b = tiled.alias("a"), boxes.alias("b")
+    inside = F.col("a.r").between(F.col("b.r0"), F.col("b.r1")) & F.col("a.c").between(F.col("b.c0"), F.col("b.c1"))
+    source = (F.col(f"a.{value_col}").isNotNull() & F.col("a.r").between(F.col("b._r0"), F.col("b._r1"))
+              & F.col("a.c").between(F.col("b._c0"), F.col("b._c1")))
+    return a.join(b, (F.col("a._tr") == F.col("b._tr")) & (F.col("a._tc") == F.col("b._tc")) & (inside | source), "left_semi").drop("_tr", "_tc")
+
+
 def _per_tile(cells: DataFrame, D: int, value_col: str, keys, schema: T.StructType, make) -> DataFrame:
     """Run ``make(own table, own cells' holes mask, d2, values)`` on every tile."""
     tile = TILE
@@ -123,9 +153,13 @@ def nearest_valid(cells: DataFrame, max_distance: int, value_col: str = "v", key
 
 
 def fill_nodata(cells: DataFrame, max_distance: int = 35, value_col: str = "v",
-                keys=("t",), power: float = 1.0, flag: str | None = None) -> DataFrame:
+                keys=("t",), power: float = 1.0, flag: str | None = None, windows: DataFrame | None = None) -> DataFrame:
     """Whole grid with NULL cells filled where a source lies within ``max_distance``.
 
+    With ``windows`` (r0, r1, c0, c1) only what they need is read and filled:
+    every cell inside a window is as in the whole grid's fill, and of the
+    others some valid ones, within ``max_distance`` of a window, come along.
+
     With ``flag`` a boolean column of that name tells which cells were NULL
     before the fill.  ``keys`` may hold several grids at once (e.g. product
     and t): they are filled by the same plan, each within its own tiles.
@@ -138,6 +172,8 @@ def fill_nodata(cells: DataFrame, max_distance: int = 35, value_col: str = "v",
         cols = [*own.select(names).columns, pa.array(out, mask=np.isnan(out))]
         return pa.Table.from_arrays([*cols, pa.array(hole)] if flag else cols, names=[*names, value_col, *([flag] if flag else [])])
 
+    if windows is not None:
+        cells = window_cells(cells, windows, int(max_distance), value_col)
     extra = [T.StructField(value_col, T.DoubleType())] + ([T.StructField(flag, T.BooleanType())] if flag else [])
     return _per_tile(cells, int(max_distance), value_col, keys, _schema(cells, keys, extra), make)
 
@@ -149,32 +185,38 @@ def idw_average(cells: DataFrame, max_distance: int, value_col: str = "v", keys=
 
 
 # --------------------------------------------------------------------- oracle
-def sql_fill(src: str, D: int, name: str = "filled", power: float = 1.0) -> list[tuple[str, str]]:
-    """DuckDB CTEs over a (t, r, c, v) relation ``src``: column neighbours by windows, one join per column offset."""
-    sides = [(q, side, cond) for q, (side, cond) in enumerate((("u", "k <= 0"), ("d", "k <= 0"), ("u", "k > 0"), ("d", "k > 0")))]
-    d2 = {s: f"({s}r - r) * ({s}r - r) + k * k" for s in "ud"}
-    key = {s: f"({d2[s]}) * 1048576 + abs(k)" for s in "ud"}
-    picks = ",\n       ".join(
-        f"min({key[s]}) filter ({cond} and {d2[s]} <= {D * D}) as k{q}, "
-        f"arg_min({s}v, {key[s]}) filter ({cond} and {d2[s]} <= {D * D}) as v{q}" for q, s, cond in sides)
+def sql_fill(src: str, D: int, name: str = "filled", power: float = 1.0, width: int = 64) -> list[tuple[str, str]]:
+    """DuckDB CTEs over a (t, r, c, v) relation ``src``: column neighbours by windows, gathered as one list per row of cells,
+    in which every hole looks at its column offsets."""
+    def best(side: str, first: str, last: str) -> str:
+        d2 = f"(r - {side}r[c + k + 1]) * (r - {side}r[c + k + 1]) + k * k"
+        return (f"list_min(list_transform(range({first}, {last}), lambda k: case when {d2} <= {D * D} "
+                f"then ({d2}) * 1048576 + abs(k) end))")
+    left, right = (f"greatest(-c, {-D})", "1"), ("1", f"least({width - 1} - c, {D}) + 1")
+    picks = ",\n       ".join(f"{best(side, *span)} as k{q}" for q, (side, span) in enumerate(
+        (("u", left), ("d", left), ("u", right), ("d", right))))
+    values = ", ".join(f"{side}v[c + 1 {sign} k{q} % 1048576] as v{q}" for q, (side, sign) in enumerate(
+        (("u", "-"), ("d", "-"), ("u", "+"), ("d", "+"))))
     w = {q: f"pow(sqrt(k{q} // 1048576), {-power})" for q in range(4)}
     num = " + ".join(f"coalesce(v{q} * {w[q]}, 0)" for q in range(4))
     den = " + ".join(f"coalesce({w[q]}, 0)" for q in range(4))
     return [
         (f"{name}_nb", f"""
-select t, r, c, v,
-       last_value(case when v is not null then r end ignore nulls) over up as ur, last_value(v ignore nulls) over up as uv,
-       last_value(case when v is not null then r end ignore nulls) over dn as dr, last_value(v ignore nulls) over dn as dv
-from {src}
-window up as (partition by t, c order by r rows between unbounded preceding and current row),
-       dn as (partition by t, c order by r desc rows between unbounded preceding and 1 preceding)"""),
+select l.t, l.r, l.c,
+       last_value(case when v is not null then l.r end ignore nulls) over up as ur, last_value(v ignore nulls) over up as uv,
+       last_value(case when v is not null then l.r end ignore nulls) over dn as dr, last_value(v ignore nulls) over dn as dv
+from (select t, r, unnest(range({width})) as c from (select distinct t, r from {src}) x) l
+left join {src} s on s.t = l.t and s.r = l.r and s.c = l.c
+window up as (partition by l.t, l.c order by l.r rows between unbounded preceding and current row),
+       dn as (partition by l.t, l.c order by l.r desc rows between unbounded preceding and 1 preceding)"""),
+        (f"{name}_rows", f"""
+select t, r, list(cast(ur as bigint) order by c) as ur, list(uv order by c) as uv,
+       list(cast(dr as bigint) order by c) as dr, list(dv order by c) as dv from {name}_nb group by t, r"""),
         (f"{name}_quad", f"""
-select t, r, c,
-       {picks}
-from (select n.t, n.r, n.c, cast(n.k as bigint) as k, cast(b.ur as bigint) as ur, b.uv, cast(b.dr as bigint) as dr, b.dv
-      from (select t, cast(r as bigint) as r, c, unnest(range({-D}, {D + 1})) as k from {src} where v is null) n
-      join {name}_nb b on b.t = n.t and b.r = n.r and b.c = n.c + n.k) x
-group by t, r, c"""),
+select t, r, c, k0, k1, k2, k3, {values}
+from (select t, r, c, uv, dv, {picks}
+      from (select n.t, cast(n.r as bigint) as r, cast(n.c as bigint) as c, b.ur, b.uv, b.dr, b.dv
+            from {src} n join {name}_rows b on b.t = n.t and b.r = n.r where n.v is null) h) x"""),
         (f"{name}_idw", f"""
 select t, r, c, ({num}) / ({den}) as v_fill from {name}_quad where coalesce(k0, k1, k2, k3) is not null"""),
         (name, f"""
@@ -185,5 +227,5 @@ select s.t, s.r, s.c, coalesce(s.v, f.v_fill) as v from {src} s left join {name}
 
 def sql_nearest(name: str) -> str:
     """DuckDB text: one row per hole and quadrant from the CTEs of :func:`sql_fill`."""
-    return "\nunion all ".join(f"select t, cast(r as int) as r, c, {q} as q, v{q} as v, cast(k{q} // 1048576 as int) as d2 "
+    return "\nunion all ".join(f"select t, cast(r as int) as r, cast(c as int) as c, {q} as q, v{q} as v, cast(k{q} // 1048576 as int) as d2 "
                                f"from {name}_quad where k{q} is not null" for q in range(4))

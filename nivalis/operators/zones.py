@@ -67,7 +67,12 @@ def zone_spans(edges: DataFrame, n_rows: int, keys=("z",)) -> DataFrame:
 
 def zone_members(vertices: DataFrame, n_rows: int, n_cols: int, keys=("z",)) -> DataFrame:
     """Membership (zone keys, r, ct, lo, hi): columns lo..hi of row r, within column tile ct, lie inside the zone."""
-    spans = zone_spans(zone_edges(vertices, keys), n_rows, keys)
+    return edge_members(zone_edges(vertices, keys), n_rows, n_cols, keys)
+
+
+def edge_members(edges: DataFrame, n_rows: int, n_cols: int, keys=("z",)) -> DataFrame:
+    """:func:`zone_members` of the edges (zone keys, x1, y1, x2, y2) of closed rings in lattice units."""
+    spans = zone_spans(edges, n_rows, keys)
     # Cell c is inside when xa <= c + 0.5 < xb.
     cells = spans.select(*keys, "r", F.greatest(F.ceil(F.col("xa") - 0.5), F.lit(0)).cast("int").alias("c0"),
                          F.least(F.ceil(F.col("xb") - 0.5) - 1, F.lit(n_cols - 1)).cast("int").alias("c1"))
@@ -135,8 +140,12 @@ def zone_envelope(vertices: DataFrame, keys=("z",)) -> DataFrame:
 
 
 # --------------------------------------------------------------------- oracle
-def sql_zone_members(zone_view="v_zone", lattice_sql="select distinct r, c from v_lattice", ring="z") -> list[tuple[str, str]]:
-    """DuckDB CTEs ``z_edges`` and ``z_inside`` by ray casting (crossing count parity over all rings)."""
+def sql_zone_members(zone_view="v_zone", lattice_sql="select r, c, c + 0.5 as px, r + 0.5 as py from (select distinct r, c from v_lattice) x",
+                     ring="z") -> list[tuple[str, str]]:
+    """DuckDB CTEs ``z_edges`` and ``z_inside`` by ray casting (crossing count parity over all rings).
+
+    ``lattice_sql`` gives the cells and their centres (px, py) in the units of the zones.
+    """
     return [
         ("z_edges", f"""
 select z, x as x1, y as y1,
@@ -146,8 +155,8 @@ from {zone_view}"""),
         ("z_inside", f"""
 select e.z, p.r, p.c
 from ({lattice_sql}) p join z_edges e
-  on (e.y1 <= p.r + 0.5) <> (e.y2 <= p.r + 0.5)
- and p.c + 0.5 < e.x1 + (p.r + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+  on (e.y1 <= p.py) <> (e.y2 <= p.py)
+ and p.px < e.x1 + (p.py - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
 group by e.z, p.r, p.c
 having count(*) % 2 = 1"""),
     ]

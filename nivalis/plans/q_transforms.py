@@ -163,7 +163,7 @@ def nearest_valid_join(spark, sf_dir):
 
 
 @register("idw_average", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *FL.sql_fill("swe_raw", FILL_DISTANCE, "f")],
-                                  "select t, cast(r as int) as r, c, round(v_fill, 6) as v_fill from f_idw"))
+                                  "select t, cast(r as int) as r, cast(c as int) as c, round(v_fill, 6) as v_fill from f_idw"))
 def idw_average(spark, sf_dir):
     return rounded(FL.idw_average(one(Fixtures(spark, sf_dir), "swe"), FILL_DISTANCE), "v_fill")
 
@@ -427,25 +427,30 @@ def buffered_extent(spark, sf_dir):
 CLIP_TILE = 32          # rows per tile of the clip's join key
 
 
-def basin_clip(values: DataFrame, zones: DataFrame, pad_cells: int = 2, cell_size: float = 1.0) -> DataFrame:
-    """One clipped grid per basin: cells whose centre is in the buffered envelope.
+def basin_windows(zones: DataFrame, pad_cells: int = 2, cell_size: float = 1.0) -> DataFrame:
+    """Rows r0..r1 and columns c0..c1 of each basin: cells of the lattice whose centre is in its buffered envelope."""
+    env = Z.zone_envelope(zones).withColumn("n", F.lit(pad_cells)).withColumn("s", F.lit(cell_size))
+    return buffered(env, "n", "s").select(
+        "z", F.greatest(F.floor(F.col("bymin") - 0.5) + 1, F.lit(0)).cast("int").alias("r0"),
+        F.least(F.floor(F.col("bymax") - 0.5), F.lit(LATTICE - 1)).cast("int").alias("r1"),
+        F.greatest(F.ceil(F.col("bxmin") - 0.5), F.lit(0)).cast("int").alias("c0"),
+        F.least(F.ceil(F.col("bxmax") - 0.5) - 1, F.lit(LATTICE - 1)).cast("int").alias("c1")).where("r0 <= r1 and c0 <= c1")
+
 
-    An envelope becomes one row per (row tile, column tile) it touches, so the
-    join is an equi join on the tile with the envelope as residual test, and
+def basin_clip(values: DataFrame, windows: DataFrame) -> DataFrame:
+    """One clipped grid per basin: z, the columns of the cells, and the corner r0, c0 of its window.
+
+    A window becomes one row per (row tile, column tile) it touches, so the
+    join is an equi join on the tile with the window as residual test, and
     the basin side grows with basins times tiles, not with cells.
     """
-    env = Z.zone_envelope(zones).withColumn("n", F.lit(pad_cells)).withColumn("s", F.lit(cell_size))
-
     def tiles(lo: str, hi: str):
-        first = F.greatest(F.floor(F.col(lo) / CLIP_TILE), F.lit(0)).cast("int")
-        return F.explode(Z._int_range(first, F.floor(F.col(hi) / CLIP_TILE)))
+        return F.explode(Z._int_range(F.floor(F.col(lo) / CLIP_TILE), F.floor(F.col(hi) / CLIP_TILE)))
 
-    boxes = buffered(env, "n", "s").select("z", "bxmin", "bymin", "bxmax", "bymax")
-    boxes = boxes.select("*", tiles("bymin", "bymax").alias("rt")).select("*", tiles("bxmin", "bxmax").alias("ct"))
+    boxes = windows.select("*", tiles("r0", "r1").alias("rt")).select("*", tiles("c0", "c1").alias("ct"))
     tiled = values.select("*", F.floor(F.col("r") / CLIP_TILE).cast("int").alias("rt"), F.floor(F.col("c") / CLIP_TILE).cast("int").alias("ct"))
-    xc, yc = F.col("c") + 0.5, F.col("r") + 0.5
-    inside = (xc >= F.col("bxmin")) & (xc < F.col("bxmax")) & (yc > F.col("bymin")) & (yc <= F.col("bymax"))
-    return tiled.join(boxes, ["rt", "ct"]).where(inside).select("z", *values.columns)
+    inside = F.col("r").between(F.col("r0"), F.col("r1")) & F.col("c").between(F.col("c0"), F.col("c1"))
+    return tiled.join(boxes, ["rt", "ct"]).where(inside).select("z", *values.columns, "r0", "c0")
 
 
 _SQL_CLIP = ("clip", """
@@ -458,26 +463,70 @@ select b.z, g.t, g.r, g.c, g.swe as v from g join clip b
   on g.c + 0.5 >= b.bxmin and g.c + 0.5 < b.bxmax and g.r + 0.5 > b.bymin and g.r + 0.5 <= b.bymax"""))
 def basin_clip_join(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return basin_clip(one(fx, "swe"), fx.zones).select("z", "t", "r", "c", "v")
+    return basin_clip(one(fx, "swe"), basin_windows(fx.zones)).select("z", "t", "r", "c", "v")
+
+
+SERIES = (199201, 200301)       # first step and the step after the last: the whole calendar of the tables
+
+
+def in_series(col: str = "t") -> "F.Column":
+    return (F.col(col) >= SERIES[0]) & (F.col(col) < SERIES[1])
+
+
+def basin_series(fx: Fixtures) -> DataFrame:
+    """Filled SWE of every basin's window and step of [start, end): z, t, r, c (from the window's corner), v.
+
+    The windows go through the fill: only they and their surroundings are read and filled.
+    """
+    windows = basin_windows(fx.zones)
+    swe = FL.fill_nodata(lakefixed(fx, "swe").where(in_series()), FILL_DISTANCE, windows=windows)
+    return basin_clip(swe, windows).select("z", "t", (F.col("r") - F.col("r0")).alias("r"), (F.col("c") - F.col("c0")).alias("c"), "v")
+
 
+_SQL_BASIN = [_SQL_CLIP, ("bs", f"""
+select b.z, s.t, cast(s.r - greatest(floor(b.bymin - 0.5) + 1, 0) as int) as r, cast(s.c - greatest(ceil(b.bxmin - 0.5), 0) as int) as c, s.v
+from swe_f s join clip b
+  on s.c + 0.5 >= b.bxmin and s.c + 0.5 < b.bxmax and s.r + 0.5 > b.bymin and s.r + 0.5 <= b.bymax
+where s.t >= {SERIES[0]} and s.t < {SERIES[1]}""")]
 
-@register("basin_series_interpolated", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, _SQL_CLIP], """
-select b.z, s.t, s.r, s.c, round(s.v, 6) as v from swe_f s join clip b
-  on s.c + 0.5 >= b.bxmin and s.c + 0.5 < b.bxmax and s.r + 0.5 > b.bymin and s.r + 0.5 <= b.bymax"""))
+
+@register("basin_series_interpolated", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, *_SQL_BASIN], sql_pyramid("bs", "z, t")))
 def basin_series_interpolated(spark, sf_dir):
-    """Filled SWE per basin (buffered envelope) for every time step of the range."""
-    fx = Fixtures(spark, sf_dir)
-    return rounded(basin_clip(interpolated_swe_df(fx), fx.zones).select("z", "t", "r", "c", "v"))
+    """Filled SWE per basin (buffered envelope) for every time step of the range, each grid with its overviews."""
+    return rounded(with_pyramid(basin_series(Fixtures(spark, sf_dir)), keys=("z", "t")))
+
+
+_SQL_BASIN_ID = dict(C.PUBLISH_IDS)["nohrsc_snodas_swe_interpolated"]
 
 
-def inches_stats(fx: Fixtures, swe: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+@register("basin_series_manifest", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, *_SQL_BASIN], f"""
+select bs.z, bs.t, '{_SQL_BASIN_ID}' as product,
+       concat(lower(replace(n, ' ', '')), '_swe_interpolated_', strftime({SQL_SHIFT.replace(' t ', ' bs.t ')}, '%Y%m%d'), '_cog.tif') as file,
+       strftime(cast({SQL_SHIFT} as timestamp), '%Y-%m-%dT%H:%M:%S') as datetime,
+       max(r) + 1 as n_rows, max(c) + 1 as n_cols, count(v) as n_valid, round(min(v), 6) as v_min, round(max(v), 6) as v_max
+from bs join (select distinct z, n from v_zone) q on q.z = bs.z group by bs.z, bs.t, n"""))
+def basin_series_manifest(spark, sf_dir):
+    """The publish call of every grid of the basin series: product id, file, datetime, and what the grid holds."""
+    fx = Fixtures(spark, sf_dir)
+    grids = basin_series(fx).groupBy("z", "t").agg(
+        (F.max("r") + 1).alias("n_rows"), (F.max("c") + 1).alias("n_cols"), F.count("v").alias("n_valid"),
+        F.round(F.min("v"), 6).alias("v_min"), F.round(F.max("v"), 6).alias("v_max"))
+    when = shifted_date("t")
+    return grids.join(zone_names(fx), "z").select(
+        "z", "t", F.lit(_SQL_BASIN_ID).alias("product"),
+        F.concat(F.lower(F.replace("n", F.lit(" "), F.lit(""))), F.lit("_swe_interpolated_"), F.date_format(when, "yyyyMMdd"),
+                 F.lit("_cog.tif")).alias("file"),
+        N.iso_text(when.cast("timestamp_ntz")).alias("datetime"), "n_rows", "n_cols", "n_valid", "v_min", "v_max")
+
+
+def inches_stats(fx: Fixtures, swe: DataFrame, start: int | None = None, end: int | None = None, members=None) -> DataFrame:
     """Statistics in inches per step of [start, end) and zone; a zone without valid cells has count 0 and no values."""
     inside = F.lit(True)
     if start is not None:
         inside = inside & (F.col("t") >= start)
     if end is not None:
         inside = inside & (F.col("t") < end)
-    members = Z.zone_members(fx.zones, LATTICE, LATTICE)
+    members = Z.zone_members(fx.zones, LATTICE, LATTICE) if members is None else members
     g = Z.zonal_stats(swe.where(inside), members, zone_names(fx), times=fx.times.where(inside))
     return g.select("t", "z", "n", N.mm_to_inches("min").alias("min_inches"), N.mm_to_inches("max").alias("max_inches"),
                     N.mm_to_inches("mean").alias("mean_inches"), "count")
@@ -510,22 +559,6 @@ def zone_properties(spark, sf_dir):
     return s.select("t", props).select("t", "p.*")
 
 
-SERIES = (199201, 200301)       # first step and the step after the last: the whole calendar of the tables
-
-
-@register("zonal_series", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, *Z.sql_zone_members()],
-                                   f"select t, max_by(n, z) as zone_name, max_by(min_inches, z) as min_inches, max_by(max_inches, z) as max_inches, "
-                                   "max_by(mean_inches, z) as mean_inches, max_by(count, z) as count from ("
-                                   + _SQL_INCH.format(src="swe_f") + f") q where t >= {SERIES[0]} and t < {SERIES[1]} group by t, n"))
-def zonal_series(spark, sf_dir):
-    """Per time step of [start, end) and zone name: statistics of filled SWE in inches; of equal names the last zone's."""
-    fx = Fixtures(spark, sf_dir)
-    start, end = SERIES
-    swe = FL.fill_nodata(lakefixed(fx, "swe").where((F.col("t") >= start) & (F.col("t") < end)), FILL_DISTANCE)
-    s = C.last_per_key(inches_stats(fx, swe, start, end), ["t", "n"], "z")
-    return s.select("t", F.col("n").alias("zone_name"), "min_inches", "max_inches", "mean_inches", "count")
-
-
 # ------------------------------------------------------- georeference, projection
 _SQL_RULES = ("rules", """
 select dataset, valid_from, cast(ulx as double) as ulx, cast(uly as double) as uly,
@@ -541,7 +574,7 @@ _SQL_ASOF = """join rules u on u.dataset = {ds} and ({d} >= u.valid_from or u.va
 def georef_times(fx: Fixtures) -> DataFrame:
     """Each grid step with its fixture date and the unmasked-dataset corners in force."""
     ts = fx.times.select("t", shifted_date("t").alias("d"), F.lit("unmasked").alias("dataset"))
-    return P.georef_asof(ts, P.georef_rules(fx.spark))
+    return P.georef_asof(ts, P.georef_table(fx.spark))
 
 
 @register("georef_asof_join", sql_ctes((), [("dates", "select distinct cast(o_orderdate + interval 14 year as date) as d from orders"),
@@ -552,7 +585,7 @@ from (select d, unnest(['unmasked', 'masked']) as dataset from dates) x
 def georef_asof_join(spark, sf_dir):
     d = Fixtures(spark, sf_dir).shifted_dates
     x = d.select("d", F.explode(F.array(F.lit("unmasked"), F.lit("masked"))).alias("dataset"))
-    return P.georef_asof(x, P.georef_rules(spark)).select("d", "dataset", "valid_from", "ulx", "uly", "lrx", "lry")
+    return P.georef_asof(x, P.georef_table(spark)).select("d", "dataset", "valid_from", "ulx", "uly", "lrx", "lry")
 
 
 def georeferenced(fx: Fixtures) -> DataFrame:
@@ -665,25 +698,98 @@ def bilinear_join(spark, sf_dir):
     return w.select("rule_from", "tr", "tc", "r", "c", F.round("w", 6).alias("w"))
 
 
-@register("reproject_grid", sql_ctes(("v_grid",), [_SQL_G, _SQL_RULES, *_SQL_TW, ("vals", f"""
-select g.t, u.valid_from as rule_from, g.r, g.c, g.swe as v
-from g, (select distinct t, {SQL_SHIFT} as d from v_grid) tt
+def warp_steps(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """Each step with its georeference rule (named by its first day), and the corners of the rules."""
+    steps = georef_times(fx).select("t", F.col("valid_from").alias("rule"))
+    rules = P.georef_table(fx.spark).where("dataset = 'unmasked'").select(F.col("valid_from").alias("rule"), "ulx", "uly", "lrx", "lry")
+    return steps, rules
+
+
+def _sql_warped(src: str, name: str) -> list[tuple[str, str]]:
+    """DuckDB CTE ``name``: a (t, r, c, v) relation warped to the target lattice (cells with a value)."""
+    return [_SQL_RULES, *_SQL_TW, (f"{name}_vals", f"""
+select g.t, u.valid_from as rule_from, g.r, g.c, g.v
+from {src} g, (select distinct t, {SQL_SHIFT} as d from v_grid) tt
 {_SQL_ASOF.format(ds="'unmasked'", d='tt.d')}
-where tt.t = g.t""")], """
-select f.t, f.tr, f.tc, x.v
-from (select t, tr, tc from (select distinct t from v_grid) a, tl) f left join (
-  select v.t, n.tr, n.tc, round(sum(n.w * v.v) / sum(n.w), 6) as v
-  from vals v join nb n on n.rule_from = v.rule_from and n.r = v.r and n.c = v.c
-  where v.v is not null group by v.t, n.tr, n.tc) x on x.t = f.t and x.tr = f.tr and x.tc = f.tc"""))
+where tt.t = g.t"""), (name, f"""
+select v.t, n.tr as r, n.tc as c, sum(n.w * v.v) / sum(n.w) as v
+from {name}_vals v join nb n on n.rule_from = v.rule_from and n.r = v.r and n.c = v.c
+where v.v is not null group by v.t, n.tr, n.tc""")]
+
+
+@register("reproject_grid", sql_ctes(("v_grid",), [_SQL_G, SQL_SWE, *_sql_warped("swe_raw", "warped")], """
+select f.t, f.tr, f.tc, round(x.v, 6) as v
+from (select t, tr, tc from (select distinct t from v_grid) a, tl) f
+left join warped x on x.t = f.t and x.r = f.tr and x.c = f.tc"""))
 def reproject_grid(spark, sf_dir):
     """SWE warped to 50 km equal-area cells by bilinear weights (valid neighbours only); every target cell has a row."""
     fx = Fixtures(spark, sf_dir)
-    times = georef_times(fx).select("t", F.col("valid_from").alias("rule_from"))
-    vals = one(fx, "swe").join(times, "t")
-    cols = F.sequence(F.lit(0), F.lit(TARGET["n_cols"] - 1))
-    frame = (times.select("t", F.explode(F.sequence(F.lit(0), F.lit(TARGET["n_rows"] - 1))).alias("tr"))
-             .select("t", "tr", F.explode(cols).alias("tc")))
-    return rounded(P.bilinear_resample(vals, target_weights(spark), frame, join_keys=("rule_from", "r", "c")))
+    return rounded(P.warp(one(fx, "swe"), *warp_steps(fx), TARGET, LATTICE, LATTICE))
+
+
+# ------------------------------------------------- statistics over projected zones
+#: Corners that place the stand-in zones (in lattice units) on the globe.
+ZONE_CORNERS = UNMASKED_RULES[-1][2:]
+_LON = f"({ZONE_CORNERS[0]!r} + x * ({ZONE_CORNERS[2] - ZONE_CORNERS[0]!r}) / {LATTICE})"
+_LAT = f"({ZONE_CORNERS[1]!r} + y * ({ZONE_CORNERS[3] - ZONE_CORNERS[1]!r}) / {LATTICE})"
+
+
+def degree_zones(fx: Fixtures) -> DataFrame:
+    """The stand-in zones with holes, their vertices in degrees."""
+    return holed_zones(fx).select("z", "ring", "i", F.expr(_LON).alias("x"), F.expr(_LAT).alias("y"))
+
+
+def degree_windows(zones: DataFrame, rules: DataFrame) -> DataFrame:
+    """Source cells (r0..r1, c0..c1) around each zone in degrees that warping its cells may look at, under any of the rules."""
+    at = Z.zone_envelope(zones).select("*", F.explode(P.corner_array(P.rule_corners(rules))).alias("u"))
+
+    def place(value: str, first: str, last: str):
+        return F.floor((F.col(value) - F.col(f"u.{first}")) / ((F.col(f"u.{last}") - F.col(f"u.{first}")) / LATTICE) - 0.5)
+
+    return at.groupBy("z").agg(
+        F.greatest(F.min(place("ymax", "uly", "lry")), F.lit(0)).cast("int").alias("r0"),
+        F.least(F.max(place("ymin", "uly", "lry")) + 1, F.lit(LATTICE - 1)).cast("int").alias("r1"),
+        F.greatest(F.min(place("xmin", "ulx", "lrx")), F.lit(0)).cast("int").alias("c0"),
+        F.least(F.max(place("xmax", "ulx", "lrx")) + 1, F.lit(LATTICE - 1)).cast("int").alias("c1")).where("r0 <= r1 and c0 <= c1")
+
+
+def projected_members(zones: DataFrame) -> DataFrame:
+    """Cells of the target lattice inside zones in degrees."""
+    return Z.edge_members(P.project_edges(Z.zone_edges(zones), TARGET), TARGET["n_rows"], TARGET["n_cols"])
+
+
+_SQL_DEGREE_ZONES = [SQL_HOLED, ("zd", f"select z, ring, i, {_LON} as x, {_LAT} as y from hz"),
+                     *Z.sql_zone_members("zd", "select tr as r, tc as c, lon as px, lat as py from tll", ring="ring")]
+
+
+@register("zone_projected_cells", sql_ctes(("v_zone", "v_lattice"), [_SQL_RULES, *_SQL_TW[:2], *_SQL_DEGREE_ZONES], "select z, r, c from z_inside"))
+def zone_projected_cells(spark, sf_dir):
+    """Equal-area cells whose centre lies inside a zone given in degrees (with holes)."""
+    members = projected_members(degree_zones(Fixtures(spark, sf_dir)))
+    return members.select("z", "r", F.explode(F.sequence("lo", "hi")).alias("c"))
+
+
+@register("zonal_series", sql_ctes(("v_grid", "v_zone", "v_mask"), [*_SQL_SWE_F, *_sql_warped("swe_f", "warped"), *_SQL_DEGREE_ZONES],
+                                   f"select t, max_by(n, z) as zone_name, max_by(min_inches, z) as min_inches, max_by(max_inches, z) as max_inches, "
+                                   "max_by(mean_inches, z) as mean_inches, max_by(count, z) as count from ("
+                                   + _SQL_INCH.format(src="warped") + f") q where t >= {SERIES[0]} and t < {SERIES[1]} group by t, n"))
+def zonal_series(spark, sf_dir):
+    """Per time step of [start, end) and zone name: statistics of filled SWE, warped to equal-area cells, in inches.
+
+    The zones come in degrees.  Only the source windows around them are filled
+    and only the target tiles that hold cells of theirs are warped.  Of equal
+    names the last zone's row stays.
+    """
+    fx = Fixtures(spark, sf_dir)
+    zones = degree_zones(fx)
+    steps, rules = warp_steps(fx)
+    members = materialize(projected_members(zones), "members")
+    tiles = members.select(F.floor(F.col("r") / P.TARGET_TILE).cast("int").alias("wr"), F.explode(F.sequence(
+        F.floor(F.col("lo") / P.TARGET_TILE).cast("int"), F.floor(F.col("hi") / P.TARGET_TILE).cast("int"))).alias("wc")).distinct()
+    swe = FL.fill_nodata(lakefixed(fx, "swe").where(in_series()), FILL_DISTANCE, windows=degree_windows(zones, rules))
+    warped = P.warp(swe, steps.where(in_series()), rules, TARGET, LATTICE, LATTICE, tiles=tiles)
+    s = inches_stats(fx, warped.select("t", F.col("tr").alias("r"), F.col("tc").alias("c"), "v"), *SERIES, members=members)
+    return C.last_per_key(s, ["t", "n"], "z").select("t", F.col("n").alias("zone_name"), "min_inches", "max_inches", "mean_inches", "count")
 
 
 # --------------------------------------------------------- daily products
