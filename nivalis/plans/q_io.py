@@ -24,7 +24,7 @@ from ..sources import rasters as R
 from .q_grid import _SQL_G, raw_grid
 from .q_records import SQL_KP, SQL_PRODUCTS, SQL_RECIPES, SQL_REGISTRATIONS, _sql_hv
 from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, product_table
-from .q_transforms import SQL_HOLED, SQL_SHIFT, holed_zones
+from .q_transforms import _SQL_GEO, _SQL_RULES, CROP, SQL_HOLED, SQL_SHIFT, georef_times, holed_zones, zone_names
 from .registry import register
 
 _SQL_RAW_SWE = f"""
@@ -68,11 +68,10 @@ def zipped_grid_scan(spark, sf_dir):
     return _scan(Fixtures(spark, sf_dir), "zip", "*_bil.zip", "zip", member)
 
 
-def _members(fx: Fixtures) -> DataFrame:
-    base = _grid_files(fx, "tar")
-    files = R.read_binary(fx.spark, os.path.join(base, "tar"), "*.tar")
-    m = R.archive_members(files)
-    return m.select(_t_from_path(r"archive_(\d+)\.tar").alias("t"), "member", "content")
+def _index(fx: Fixtures) -> DataFrame:
+    """Index of the members of the daily archives, with the step of the archive."""
+    index = R.archive_index(fx.spark, os.path.join(_grid_files(fx, "tar"), "tar"), "*.tar")
+    return index.select(_t_from_path(r"archive_(\d+)\.tar").alias("t"), "path", "member", "offset", "size")
 
 
 _SQL_TAR = ("tars", """
@@ -85,9 +84,9 @@ where h.t in (select t from v_grid)""")
 @register("archive_member_scan", sql_ctes(("v_grid", "v_header"), [_SQL_TAR],
                                           "select cast(t as int) as t, member, cast(n_bytes as int) as n_bytes from tars"))
 def archive_member_scan(spark, sf_dir):
-    """Every member of the daily tar archives, gunzipped in the tasks: (t, member, bytes)."""
-    m = R.gunzip_column(_members(Fixtures(spark, sf_dir)))
-    return m.select("t", "member", F.length("data").alias("n_bytes"))
+    """Every member of the daily tar archives, unpacked one by one in the tasks: (t, member, bytes)."""
+    m = R.archive_members(_index(Fixtures(spark, sf_dir)))
+    return m.select(_t_from_path(r"archive_(\d+)\.tar").alias("t"), "member", F.length("data").alias("n_bytes"))
 
 
 @register("header_text_scan", sql_ctes(("v_grid", "v_header"), [], f"""
@@ -95,9 +94,9 @@ select cast(t as int) as t, {_sql_hv('Number of columns')} as cols, {_sql_hv('Nu
        {_sql_hv('No data value')} as nodata
 from v_header where t in (select t from v_grid)"""))
 def header_text_scan(spark, sf_dir):
-    """Header member of each archive, decoded and parsed by keyword."""
-    m = _members(Fixtures(spark, sf_dir)).where(F.col("member").endswith(".txt.gz"))
-    txt = R.gunzip_column(m).select("t", F.decode("data", "UTF-8").alias("content"))
+    """Header member of each archive, decoded and parsed by keyword; the index is filtered, so no grid is read."""
+    wanted = _index(Fixtures(spark, sf_dir)).where(F.col("member").endswith(".txt.gz"))
+    txt = R.archive_members(wanted).select(_t_from_path(r"archive_(\d+)\.tar").alias("t"), F.decode("data", "UTF-8").alias("content"))
     return txt.select("t", N.header_value("content", "Number of columns").alias("cols"),
                       N.header_value("content", "Number of rows").alias("rows"),
                       N.header_value("content", "No data value").alias("nodata"))
@@ -152,31 +151,37 @@ def catalog_scan(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- sinks
-def _written_cells(fx: Fixtures) -> str:
-    path = scratch_path(fx.spark, "cells")
-    S.write_cells(raw_grid(fx), path, tile=16)
+BANDS = ("swe", "temp_k", "melt")
+
+
+def _written_grid(fx: Fixtures) -> str:
+    path = scratch_path(fx.spark, "grid")
+    S.write_grid(raw_grid(fx), georef_times(fx), path, BANDS, LATTICE, LATTICE, "EPSG:4269", tile=16)
     return path
 
 
-@register("grid_write", sql_ctes(("v_grid",), [_SQL_G], "select t, r, c, swe, temp_k, melt from g"))
+@register("grid_write", sql_ctes(("v_grid",), [_SQL_G, _SQL_RULES, _SQL_GEO], """
+select g.t, g.r, g.c, g.swe, g.temp_k, g.melt, round(lon, 9) as x, round(lat, 9) as y, 'EPSG:4269' as crs
+from g join geo on geo.t = g.t and geo.r = g.r and geo.c = g.c"""))
 def grid_write(spark, sf_dir):
-    """Cells written tiled, sorted and partitioned by step, then read back whole."""
-    fx = Fixtures(spark, sf_dir)
-    df = S.read_cells(spark, _written_cells(fx))
-    return df.select(F.col("t").cast("int").alias("t"), "r", "c", "swe", "temp_k", "melt")
+    """Grids written as georeferenced tiles, then read back whole: values, places and the CRS the table carries."""
+    tiles = S.read_grid(spark, _written_grid(Fixtures(spark, sf_dir)))
+    return S.grid_cells(tiles).select(F.col("t").cast("int").alias("t"), "r", "c", *BANDS, F.round("x", 9).alias("x"), F.round("y", 9).alias("y"),
+                                      F.lit(S.grid_info(tiles)["crs"]).alias("crs"))
 
 
-WINDOW = dict(r0=10, r1=29, c0=20, c1=44, t_from=199701, t_to=199801)
+WINDOW_STEPS = (199701, 199801)
 
 
-@register("grid_window_read", sql_ctes(("v_grid",), [_SQL_G], f"""
-select t, r, c, swe from g where r between {WINDOW['r0']} and {WINDOW['r1']}
-  and c between {WINDOW['c0']} and {WINDOW['c1']} and t >= {WINDOW['t_from']} and t < {WINDOW['t_to']}"""))
+@register("grid_window_read", sql_ctes(("v_grid",), [_SQL_G, _SQL_RULES, _SQL_GEO], f"""
+select t, r, c, swe, round(lon, 9) as x, round(lat, 9) as y from geo
+where lon >= {CROP[0]} and lon < {CROP[2]} and lat > {CROP[1]} and lat <= {CROP[3]}
+  and t >= {WINDOW_STEPS[0]} and t < {WINDOW_STEPS[1]}"""))
 def grid_window_read(spark, sf_dir):
-    """Only the cells inside a window: partition pruning on t, pushed filters on r and c."""
-    fx = Fixtures(spark, sf_dir)
-    df = S.read_window(spark, _written_cells(fx), **WINDOW)
-    return df.select(F.col("t").cast("int").alias("t"), "r", "c", "swe")
+    """The cells of one band inside a window in degrees: steps pruned by folder, tiles by their boxes."""
+    tiles = S.read_area(spark, _written_grid(Fixtures(spark, sf_dir)), *CROP, *WINDOW_STEPS)
+    cells = S.grid_cells(tiles, CROP, bands=["swe"])
+    return cells.select(F.col("t").cast("int").alias("t"), "r", "c", "swe", F.round("x", 9).alias("x"), F.round("y", 9).alias("y"))
 
 
 _SQL_ZI = """
@@ -277,11 +282,45 @@ def registry_stream(spark, sf_dir):
     return run_registry_stream(spark, sf_dir)
 
 
-@register("zone_scan", sql_ctes(("v_zone",), [SQL_HOLED], "select z, cast(ring as int) as ring, cast(i as int) as i, x, y from hz"))
+@register("zone_scan", sql_ctes(("v_zone",), [SQL_HOLED], """
+select z, form, name, cast(ring as int) as ring, cast(i as int) as i, x, y
+from (select 'wkt' as form, z, null as name, ring, i, x, y from hz
+      union all select 'feature', hz.z, q.n, ring, i, x, y from hz join (select distinct z, n from v_zone) q on q.z = hz.z) u"""))
 def zone_scan(spark, sf_dir):
-    """Zones published as WKT text (triangles, some with a hole, some as MULTIPOLYGON in lower case), parsed back."""
-    from ..sources.zones import vertices_to_wkt, wkt_to_vertices
-    wkt = vertices_to_wkt(holed_zones(Fixtures(spark, sf_dir)))
+    """Zones published as WKT text and as JSON features (with holes; some as multipolygons), parsed back to vertices."""
+    from ..sources.zones import features_to_vertices, vertices_to_features, vertices_to_wkt, wkt_to_vertices
+    fx = Fixtures(spark, sf_dir)
+    zones = holed_zones(fx)
+    wkt = vertices_to_wkt(zones)
     multi = F.concat(F.lit("multipolygon(("), F.regexp_extract("wkt", r"^POLYGON\((.*)\)$", 1), F.lit("))"))
     v = wkt_to_vertices(wkt.select("z", F.when(F.col("z") % 3 == 0, multi).otherwise(F.col("wkt")).alias("wkt")))
-    return v.select("z", F.col("ring").cast("int").alias("ring"), F.col("i").cast("int").alias("i"), "x", "y")
+    features = vertices_to_features(zones.join(zone_names(fx), "z"), name_property="HU_10_NAME", multi=F.col("z") % 3 == 0)
+    f = features_to_vertices(features, name_property="HU_10_NAME")
+
+    def shown(df, form, name):
+        return df.select("z", F.lit(form).alias("form"), name.alias("name"), F.col("ring").cast("int").alias("ring"),
+                         F.col("i").cast("int").alias("i"), "x", "y")
+    return shown(v, "wkt", F.lit(None).cast("string")).unionByName(shown(f, "feature", F.col("name")))
+
+
+REJECTED = [  # what becomes of a zone's feature, and the reason it is rejected for
+    ('{"type": "Feature", "properties": {"HU_10_NAME": "a"}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}', "no polygon"),
+    ('{"type": "Feature", "properties": {"HU_10_NAME": "a"}, "geometry": null}', "no geometry"),
+    ('{"type": "Feature", "properties": {"HU_10_NAME": "a"}, "geometry": {"type": "Polygon", "coordinates": [[[1.0], [2.0, 3.0], [4.0, 4.0]]]}}',
+     "broken coordinates"),
+    ('{"type": "Feature", "properties": {"other": "a"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [0, 1], [0, 0]]]}}', "no name"),
+    ("not JSON", "no geometry"),
+]
+
+
+@register("zone_feature_rejects", "select cast(n_nationkey as int) as z, 0 as feature, case n_nationkey % 6 "
+          + " ".join(f"when {i} then '{reason}'" for i, (_, reason) in enumerate(REJECTED))
+          + " end as reason from nation where n_nationkey % 6 < 5")
+def zone_feature_rejects(spark, sf_dir):
+    """Features that are no named polygon, each with its reason; every sixth zone's is good and has no row."""
+    from ..sources.zones import feature_rejects, vertices_to_features
+    fx = Fixtures(spark, sf_dir)
+    good = vertices_to_features(holed_zones(fx).join(zone_names(fx), "z"), name_property="HU_10_NAME")
+    text = F.element_at(F.array(*[F.lit(t) for t, _ in REJECTED], F.col("feature")), (F.col("z") % 6 + 1).cast("int"))
+    return feature_rejects(good.select(F.col("z").cast("int").alias("z"), text.alias("feature")), name_property="HU_10_NAME").select(
+        "z", F.col("feature").cast("int").alias("feature"), "reason")

@@ -24,7 +24,6 @@ RAW_DTYPE = ">i2"          # signed 16-bit, big-endian, row-major (band sequenti
 RAW_NODATA = -9999
 
 TILE_SCHEMA = "path string, tr int, r0 int, n_cols int, vals array<int>"
-MEMBER_SCHEMA = "path string, member string, content binary"
 
 
 def _tiles_from_bytes(path: str, buf: bytes, n_cols: int, tile_rows: int, n_rows: int | None = None):
@@ -94,41 +93,79 @@ def read_binary(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
 
 
-def archive_members(files: DataFrame) -> DataFrame:
-    """Every member of every tar archive: (path, member, content), gz members left compressed."""
+INDEX_SCHEMA = "path string, member string, offset long, size long"
 
+
+def tar_entries(f):
+    """(name, offset, size) of every file in a tar archive, from its header blocks alone.
+
+    ``f`` reads at a place (``read_at(n, offset)``).  Long names (GNU and pax)
+    come from the small blocks ahead of their member; contents are skipped.
+    """
+    at, name, size = 0, None, None
+    while True:
+        block = f.read_at(tarfile.BLOCKSIZE, at)
+        if len(block) < tarfile.BLOCKSIZE or not block.strip(b"\0"):
+            return
+        info = tarfile.TarInfo.frombuf(block, "utf-8", "surrogateescape")
+        at += tarfile.BLOCKSIZE
+        own = info.size if size is None or info.type in (tarfile.XHDTYPE, tarfile.GNUTYPE_LONGNAME) else size
+        if info.type == tarfile.GNUTYPE_LONGNAME:
+            name = bytes(f.read_at(own, at)).rstrip(b"\0").decode("utf-8", "surrogateescape")
+        elif info.type == tarfile.XHDTYPE:
+            for key, value in pax_records(bytes(f.read_at(own, at))):
+                name, size = (value, size) if key == "path" else (name, int(value) if key == "size" else size)
+        elif info.type != tarfile.XGLTYPE:
+            if info.isreg():
+                yield name or info.name, at, own
+            name = size = None
+        at += -(-own // tarfile.BLOCKSIZE) * tarfile.BLOCKSIZE
+
+
+def pax_records(data: bytes):
+    """(key, value) of the ``length key=value`` lines of a pax header."""
+    at = 0
+    while at < len(data):
+        space = data.index(b" ", at)
+        end = at + int(data[at:space])
+        key, _, value = data[space + 1 : end - 1].partition(b"=")
+        yield key.decode(), value.decode("utf-8", "surrogateescape")
+        at = end
+
+
+def archive_index(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Where every member of the tar archives below a folder lies: path, member, offset, size.  Contents are not read."""
     def run(batches):
         for b in batches:
-            rows = {"path": [], "member": [], "content": []}
-            for p, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                with tarfile.open(fileobj=io.BytesIO(c)) as t:
-                    for m in t.getmembers():
-                        if m.isfile():
-                            rows["path"].append(p)
-                            rows["member"].append(m.name)
-                            rows["content"].append(t.extractfile(m).read())
-            yield pa.RecordBatch.from_pydict({
-                "path": pa.array(rows["path"], pa.string()),
-                "member": pa.array(rows["member"], pa.string()),
-                "content": pa.array(rows["content"], pa.binary()),
-            })
-
-    return files.select("path", "content").mapInArrow(run, MEMBER_SCHEMA)
-
-
-def gunzip_column(df: DataFrame, col: str = "content", out: str = "data") -> DataFrame:
-    """Decompress a gzip binary column inside the tasks (Arrow batches)."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name != col)
-    schema = (schema + ", " if schema else "") + f"{out} binary"
+            for p in b.column("path").to_pylist():
+                fs, inner = file_system(p)
+                with fs.open_input_file(inner) as f:
+                    found = list(tar_entries(f))
+                names, offsets, sizes = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array([p] * len(found), pa.string()), pa.array(names, pa.string()),
+                                                  pa.array(offsets, pa.int64()), pa.array(sizes, pa.int64())],
+                                                 names=["path", "member", "offset", "size"])
+
+    return read_binary(spark, path, glob).select("path").mapInArrow(run, INDEX_SCHEMA)
 
+
+def archive_members(index: DataFrame, unpack: bool = True) -> DataFrame:
+    """Contents of the members of an index: path, member, data; ``.gz`` members unpacked.
+
+    Filter the index first: only the bytes of its members are read, and each
+    member is a batch of its own, so a task holds one member.
+    """
     def run(batches):
         for b in batches:
-            data = [gzip.decompress(x) if x is not None else None for x in b.column(col).to_pylist()]
-            cols = {n: b.column(n) for n in b.schema.names if n != col}
-            cols[out] = pa.array(data, pa.binary())
-            yield pa.RecordBatch.from_pydict(cols)
-
-    return df.mapInArrow(run, schema)
+            for p, name, offset, size in zip(*[b.column(c).to_pylist() for c in ("path", "member", "offset", "size")]):
+                fs, inner = file_system(p)
+                with fs.open_input_file(inner) as f:
+                    data = f.read_at(size, offset)
+                data = gzip.decompress(data) if unpack and name.endswith(".gz") else data
+                yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([name]), pa.array([data], pa.binary())],
+                                                 names=["path", "member", "data"])
+
+    return index.select("path", "member", "offset", "size").mapInArrow(run, "path string, member string, data binary")
 
 
 # ------------------------------------------------------------------ writers

@@ -200,7 +200,7 @@ def test_grid_files_on_a_uri_with_gaps_and_headers(spark):
     cells = spark.createDataFrame(rows, "t int, r int, c int, v double").repartition(5)
     headers = spark.createDataFrame([(1, "Number of rows: 5"), (9, "x")], "t int, content string")
     assert sorted(map(tuple, R.write_grid_files(cells, base, 5, 4, headers).collect())) == [(1, 4), (2, 4)]
-    members = [(r.path[-13:], r.member) for r in R.archive_members(R.read_binary(spark, base + "/tar", "*.tar")).collect()]
+    members = [(r.path[-13:], r.member) for r in R.archive_index(spark, base + "/tar", "*.tar").collect()]
     assert sorted(m for _, m in members) == ["grid_1.dat.gz", "grid_1.txt.gz", "grid_2.dat.gz"]
     for sub, kind, member in (("raw", "raw", None), ("gz", "gz", None), ("zip", "zip", lambda p: os.path.basename(p).replace("_bil.zip", ".bil"))):
         got = R.tiles_to_cells(R.decode_grids(R.read_binary(spark, f"{base}/{sub}", "*grid*"), 4, kind, member, n_rows=5)).collect()
