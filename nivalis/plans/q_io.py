@@ -9,6 +9,7 @@ being checked.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..functions import names as N
 from ..operators import catalog as C
 from ..operators import zones as Z
 from ..session import scratch_path
+from ..sinks import documents as D
 from ..sinks import grids as S
 from ..sources import rasters as R
 from .q_grid import _SQL_G, raw_grid
@@ -190,29 +192,57 @@ select zt.t, zt.n as zone_name, round(min(g.swe) * 0.0393701, 3) as min_inches,
 from (select distinct z, n, t from v_zone, (select distinct t from v_grid) tt) zt
 left join z_inside i on i.z = zt.z left join g on g.t = zt.t and g.r = i.r and g.c = i.c
 group by zt.t, zt.n"""
-STATS_DOC = "map<string, struct<HU_10:string, HU_10_NAME:string, min_inches:double, max_inches:double, mean_inches:double, count:bigint>>"
+STATS_PRODUCT = "nohrsc_snodas_swe"
+STATS_RUN = "zones"
+_SQL_DAY = "cast({} as date)".format(SQL_SHIFT)
 
 
-@register("stats_json", sql_ctes(("v_grid", "v_zone"), [_SQL_G, *Z.sql_zone_members()], _SQL_ZI))
-def stats_json(spark, sf_dir):
-    """Per-day statistics document (zone name -> properties) written as compact JSON and read back.
-
-    The document of a day holds one entry per zone, so its size is bounded
-    by the zone catalog, not by the grid.
-    """
-    from .q_transforms import inches_stats, one
+def _documents(spark, sf_dir) -> str:
+    """Write the statistics documents of a run over all steps; the folder."""
+    from .q_transforms import inches_stats, materialize, one, shifted_date
     fx = Fixtures(spark, sf_dir)
-    s = inches_stats(fx, one(fx, "swe"))
-    props = F.struct(F.col("n").alias("HU_10"), F.col("n").alias("HU_10_NAME"), "min_inches", "max_inches",
-                     "mean_inches", "count")
-    s = C.last_per_key(s, ["t", "n"], "z")          # equal names: the last zone's entry stays
-    entries = F.map_from_entries(F.collect_list(F.struct("n", props)))
-    docs = s.groupBy("t").agg(F.to_json(entries, {"ignoreNullFields": "false"}).alias("json"))
-    path = scratch_path(spark, "stats")
-    S.write_json_documents(docs, path, "t")
-    back = spark.read.text(path).select(F.col("t").cast("int").alias("t"), F.from_json("value", STATS_DOC).alias("m"))
-    e = back.select("t", F.explode("m").alias("zone_name", "p"))
-    return e.select("t", "zone_name", "p.min_inches", "p.max_inches", "p.mean_inches", "p.count")
+    began = time.time()
+    s = C.last_per_key(inches_stats(fx, one(fx, "swe")), ["t", "n"], "z")          # equal names: the last zone's entry stays
+    s = materialize(s.withColumn("day", shifted_date("t")), "zone_stats")
+    first, last = (d.strftime("%Y%m%d") for d in s.agg(F.min("day"), F.date_add(F.max("day"), 1)).first())
+    folder = scratch_path(spark, "documents")
+    # Spark fuses warp and statistics, so the run has one time.
+    D.write_documents(D.statistics_pieces(s, STATS_PRODUCT, first, last, 0, round(time.time() - began)), folder, STATS_RUN)
+    return folder
+
+
+def _kind(spark, sf_dir, pattern: str) -> DataFrame:
+    return D.read_documents(spark, _documents(spark, sf_dir), STATS_RUN).where(F.col("name").rlike(pattern))
+
+
+@register("stats_json", sql_ctes(("v_grid", "v_zone"), [_SQL_G, *Z.sql_zone_members(), ("zi", _SQL_ZI)], f"""
+select concat('statistics__{STATS_PRODUCT}__', strftime({_SQL_DAY}, '%Y%m%d'), '.json') as file, zone_name, min_inches, max_inches, mean_inches, count from zi"""))
+def stats_json(spark, sf_dir):
+    """Per-day statistics documents (zone name -> properties, "NA" for missing) in compact JSON, read back by the run's list."""
+    docs = _kind(spark, sf_dir, r"^statistics__\w+__\d{8}\.json$")
+    x = docs.select(F.col("name").alias("file"), F.explode(F.from_json("text", f"struct<{D.TIMES}, result:map<string, {D.ZONE}>>")["result"]).alias("zone_name", "p"))
+    return x.select("file", "zone_name", *D.zone_columns("p"))
+
+
+@register("stats_run_document", sql_ctes(("v_grid", "v_zone"), [_SQL_G, *Z.sql_zone_members(), ("zi", _SQL_ZI), ("days", f"select *, {_SQL_DAY} as d from zi")], f"""
+select concat('statistics__{STATS_PRODUCT}__', strftime((select min(d) from days), '%Y%m%d'), '_to_',
+              strftime((select max(d) + 1 from days), '%Y%m%d'), '.json') as file,
+       strftime(d, '%Y_%m_%d') as day, zone_name, min_inches, max_inches, mean_inches, count from days"""))
+def stats_run_document(spark, sf_dir):
+    """The document of the entire run (day -> the day's document), read back."""
+    docs = _kind(spark, sf_dir, r"_to_\d{8}\.json$")
+    x = docs.select(F.col("name").alias("file"), F.explode(F.from_json("text", f"map<string, struct<{D.TIMES}, result:map<string, {D.ZONE}>>>")).alias("day", "d"))
+    return x.select("file", "day", F.explode("d.result").alias("zone_name", "p")).select("file", "day", "zone_name", *D.zone_columns("p"))
+
+
+@register("stats_basin_documents", sql_ctes(("v_grid", "v_zone"), [_SQL_G, *Z.sql_zone_members(), ("zi", _SQL_ZI)], f"""
+select concat('statistics__', lower(replace(zone_name, ' ', '')), '__{STATS_PRODUCT}__', strftime({_SQL_DAY}, '%Y%m%d'), '-000000.json') as file,
+       zone_name, min_inches, max_inches, mean_inches, count from zi"""))
+def stats_basin_documents(spark, sf_dir):
+    """One document per (basin, product file), read back."""
+    docs = _kind(spark, sf_dir, r"__\d{8}-\d{6}\.json$")
+    x = docs.select(F.col("name").alias("file"), F.explode(F.from_json("text", f"struct<{D.TIMES}, result:array<{D.ZONE}>>")["result"]).alias("p"))
+    return x.select("file", F.col("p.HU_10_NAME").alias("zone_name"), *D.zone_columns("p"))
 
 
 HEADER_CSV = "yyyymmdd string, cols string, rows string, nodata string, xmin string, xmax string, ymin string, ymax string"

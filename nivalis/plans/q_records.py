@@ -537,19 +537,35 @@ def change_runs(rows: DataFrame, parts: list[str]) -> DataFrame:
 
 
 
+def _archive_files(dates: DataFrame, folder: str, content) -> None:
+    """Stand-in archives: a real file per date below the shared folder, holding a short text."""
+    from ..sinks.documents import write_files
+    pieces = dates.select(N.raw_archive_name("d", F.lit("unmasked")).alias("name"), F.lit(0).alias("seq"), content.alias("text"))
+    write_files(pieces, folder).write.format("noop").mode("overwrite").save()
+
+
 @register("raw_file_inventory", sql_ctes((), [SQL_DATES], """
-select s.d, concat('SNODAS_unmasked_', strftime(s.d, '%Y%m%d'), '.tar') as archive, (x.d is null) as missing
+select s.d, concat('SNODAS_unmasked_', strftime(s.d, '%Y%m%d'), '.tar') as archive,
+       case when x.d is null then 'missing' when dayofyear(s.d) % 5 = 0 then 'new' when dayofyear(s.d) % 5 = 1 then 'changed' else 'same' end as state
 from (select cast(unnest(generate_series(min(d), max(d), interval 1 day)) as date) as d from dates) s
 left join dates x on x.d = s.d"""))
 def raw_file_inventory(spark, sf_dir):
-    """Expected daily archives over the covered range, each present or missing."""
+    """Expected daily archives over the covered range against the files that are there: missing, new since the last
+    snapshot of the folder, changed, or the same.  The files are real; between the two listings some arrive and some grow."""
+    from ..session import scratch_path
+    from ..sources import listing as L
     d = Fixtures(spark, sf_dir).shifted_dates
+    folder = scratch_path(spark, "archives")
+    spark.range(0).selectExpr("cast(id as string) as value").write.text(folder)
+    turn = F.dayofyear("d") % 5
+    _archive_files(d.where(turn != 0), folder, F.lit("first"))
+    last = L.write_snapshot(L.list_files(spark, folder, "*.tar"), scratch_path(spark, "snapshot"))
+    _archive_files(d.where(turn <= 1), folder, F.lit("second, longer"))
+    states = L.compare(L.list_files(spark, folder, "*.tar"), last)
     rng = d.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     spine = rng.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("d"))
-    present = d.withColumn("present", F.lit(True))
-    j = spine.join(present, "d", "left")
-    return j.select("d", N.raw_archive_name("d", F.lit("unmasked")).alias("archive"),
-                    F.col("present").isNull().alias("missing"))
+    spine = spine.select("d", N.raw_archive_name("d", F.lit("unmasked")).alias("archive"))
+    return L.against_spine(states, spine).select("d", "archive", "state")
 
 
 @register("date_spine_join", """

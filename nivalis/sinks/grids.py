@@ -1,4 +1,4 @@
-"""Grid and document sinks: tables of georeferenced tiles, JSON statistics, header CSV."""
+"""Grid sinks: tables of georeferenced tiles; header CSV."""
 
 from __future__ import annotations
 
@@ -121,11 +121,5 @@ def grid_cells(tiles: DataFrame, area=None, bands=None) -> DataFrame:
     return out.where((F.col("x") >= xmin) & (F.col("x") < xmax) & (F.col("y") > ymin) & (F.col("y") <= ymax))
 
 
-def write_json_documents(docs: DataFrame, path: str, partition_col: str, json_col: str = "json") -> None:
-    """One compact JSON text per row, directories per ``partition_col`` (e.g. per day)."""
-    docs.select(partition_col, F.col(json_col).alias("value")).write.mode("overwrite") \
-        .partitionBy(partition_col).text(path)
-
-
 def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", "false").csv(path)

@@ -142,3 +142,79 @@ def test_collections_of_features(spark):
     bad = sorted((x.z, x.feature, x.reason) for x in Z.feature_rejects(df).collect())
     assert bad == [(1, 2, "no polygon"), (1, 3, "no name"), (1, 4, "broken coordinates"), (1, 5, "broken coordinates"),
                    (1, 6, "broken coordinates"), (3, 0, "no geometry"), (4, 0, "no geometry"), (5, 0, "no geometry")]
+
+
+def pieces(spark, rows):
+    return spark.createDataFrame(rows, "name string, seq int, text string")
+
+
+def folder_state(folder):
+    return {n: open(f"{folder}/{n}", encoding="utf-8").read() for n in os.listdir(folder) if n.endswith(".json")}
+
+
+def test_documents_of_a_run_again_and_with_fewer_rows(spark):
+    from nivalis.sinks import documents as D
+    folder = scratch_path(spark, "t-docs")
+    os.makedirs(folder)
+    rows = [("b.json", k, f"[{k}] é\n") for k in range(50)] + [("a.json", 0, "{}"), ("old.json", 1, "x")]
+    D.write_documents(pieces(spark, rows).repartition(4), folder, "r")
+    D.write_documents(pieces(spark, [("other.json", 0, "o")]), folder, "s")
+    want = {"a.json": "{}", "b.json": "".join(t for n, _, t in rows if n == "b.json"), "old.json": "x", "other.json": "o"}
+    assert folder_state(folder) == want
+    D.write_documents(pieces(spark, rows), folder, "r")
+    assert folder_state(folder) == want
+    D.write_documents(pieces(spark, [r for r in rows if r[0] != "old.json"]), folder, "r")      # its own file goes, others stay
+    del want["old.json"]
+    assert folder_state(folder) == want
+    assert {r.name: r.text for r in D.read_documents(spark, folder, "r").collect()} == {k: v for k, v in want.items() if k != "other.json"}
+    assert not [n for n in os.listdir(folder) if n.startswith(".") and not n.endswith(".crc")]
+    with open(f"{folder}/unlisted.json", "w", encoding="utf-8") as f:
+        f.write("half a run")
+    assert D.read_documents(spark, folder, "r").count() == 2
+    with open(f"{folder}/a.json", "w", encoding="utf-8") as f:
+        f.write("{ }")
+    with pytest.raises(Exception, match="a.json has changed"):
+        D.read_documents(spark, folder, "r").collect()
+    with pytest.raises(ValueError, match="no list"):
+        D.read_documents(spark, folder, "never")
+
+
+def test_statistics_documents_are_json_with_na_and_times(spark):
+    from nivalis.sinks import documents as D
+    rows = [("2015-02-01", 'A "x"', 1.5, None, 0.001, 3), ("2015-02-01", "B", None, None, None, 0), ("2015-02-03", "B", 2.0, 2.0, 2.0, 1)]
+    stats = spark.createDataFrame(rows, "day string, n string, min_inches double, max_inches double, mean_inches double, count long").withColumn(
+        "day", F.to_date("day"))
+    folder = scratch_path(spark, "t-docs")
+    os.makedirs(folder)
+    D.write_documents(D.statistics_pieces(stats, "p", "20150201", "20150204", 4, 9), folder, "r")
+    docs = {n: json.loads(t) for n, t in folder_state(folder).items()}
+    a = {"HU_10": 'A "x"', "HU_10_NAME": 'A "x"', "min_inches": 1.5, "max_inches": "NA", "mean_inches": 0.001, "count": 3}
+    b = {"HU_10": "B", "HU_10_NAME": "B", "min_inches": "NA", "max_inches": "NA", "mean_inches": "NA", "count": 0}
+    b2 = {**b, "min_inches": 2.0, "max_inches": 2.0, "mean_inches": 2.0, "count": 1}
+    times = {"time_sec_download_warp": 4, "time_sec_stats": 9}
+    first, third = {**times, "result": {'A "x"': a, "B": b}}, {**times, "result": {"B": b2}}
+    assert docs["statistics__p__20150201.json"] == first and docs["statistics__p__20150203.json"] == third
+    assert docs["statistics__p__20150201_to_20150204.json"] == {"2015_02_01": first, "2015_02_03": third}
+    assert docs["statistics__b__p__20150203-000000.json"] == {**times, "result": [b2]}
+    assert len(docs) == 6
+
+
+def test_listings_are_compared_without_contents(spark):
+    from nivalis.sources import listing as L
+    folder = scratch_path(spark, "t-list")
+    os.makedirs(f"{folder}/sub")
+
+    def put(name, text):
+        with open(f"{folder}/{name}", "w", encoding="utf-8") as f:
+            f.write(text)
+    for name in ("a.tar", "b.tar", "c.tar", "note.txt"):
+        put(name, "x")
+    last = L.write_snapshot(L.list_files(spark, folder, "*.tar"), scratch_path(spark, "t-snap"))
+    os.remove(f"{folder}/b.tar")
+    put("c.tar", "longer")
+    put("sub/d.tar", "y")
+    put("empty.tar", "")                                               # not there yet
+    states = L.compare(L.list_files(spark, folder, "*.tar"), last)
+    assert {x.file: x.state for x in states.collect()} == {"a.tar": "same", "b.tar": "gone", "c.tar": "changed", "d.tar": "new"}
+    spine = spark.createDataFrame([("a.tar",), ("d.tar",), ("z.tar",)], "archive string")
+    assert {x.archive: x.state for x in L.against_spine(states, spine).collect()} == {"a.tar": "same", "d.tar": "new", "z.tar": "missing"}
