@@ -132,20 +132,73 @@ def registry_upsert(candidates: DataFrame, existing: DataFrame, order_col: str =
     return with_default_version(existing).unionByName(ins.select(*existing.columns))
 
 
-def registrations(notices: DataFrame, acquirables: DataFrame, recipe_table: DataFrame, route_prefix: str) -> DataFrame:
-    """From notices (event_id, ts, object_key) to registry rows, batch or stream.
-
-    The key's acquirable has to be in the catalog; the recipe then gives the
-    output name, the filetype, by the filetype the product, and the key the
-    output is routed to.  Joins are with the catalog (small, its size known)
-    and the recipe table (fixed), so the notices themselves never shuffle.
+# ------------------------------------------------------- notice to registry
+# Band inventory (JSON) as a metadata call prints it.
+INVENTORY = ("struct<bands: array<struct<band: int, metadata: map<string, map<string, string>>>>>")
+#: Outputs of the daily snow archive: filetype and file name pattern; of the two melt grids the one in millimetres stays.
+DAILY_OUTPUTS = {**{ft: p for ft, p in N.SNOW_PARAMETERS.items() if ft != "nohrsc_snodas_snowmelt"},
+                 "nohrsc_snodas_coldcontent": N.COMPUTED_PRODUCTS["nohrsc_snodas_coldcontent"],
+                 "nohrsc_snodas_snowmelt": N.COMPUTED_PRODUCTS["nohrsc_snodas_snowmeltmm"]}
+
+
+def inventory_bands(info) -> "F.Column":
+    """Bands (band, valid_time, ref_time, comment) of an inventory text, in its order; none where it is unreadable."""
+    bands = F.from_json(info, INVENTORY)["bands"]
+    return F.coalesce(F.transform(bands, lambda b: F.struct(
+        b["band"].alias("band"), b["metadata"][""]["GRIB_VALID_TIME"].alias("valid_time"),
+        b["metadata"][""]["GRIB_REF_TIME"].alias("ref_time"), b["metadata"][""]["GRIB_COMMENT"].alias("comment"))), F.array())
+
+
+def pick_band(bands: str = "bands") -> "F.Column":
+    """The band of a file by the recipe's rule: first, by number, or the first whose comment has the text, else the last."""
+    b = F.col(bands)
+    numbered = F.get(F.filter(b, lambda x: x["band"] == F.col("band_number")), F.lit(0))
+    named = F.get(F.filter(b, lambda x: x["comment"].contains(F.col("band_comment"))), F.lit(0))
+    return (F.when(F.col("band_rule") == "first", F.get(b, F.lit(0))).when(F.col("band_rule") == "number", numbered)
+            .when(F.col("band_rule") == "comment", F.coalesce(named, F.get(b, F.size(b) - 1))))
+
+
+def outputs(valid) -> "F.Column":
+    """Filetype and file name of everything a recipe makes of its file; names with a date need its valid time."""
+    daily = F.array(*[F.struct(F.lit(ft).alias("filetype"), F.concat(N.member_name(p, valid, F.lit("unmasked")), F.lit("_cloud_optimized.tif"))
+                               .alias("out_file")) for ft, p in DAILY_OUTPUTS.items()])
+    single = F.array(F.struct(F.col("filetype").alias("filetype"), N.output_name("name_rule", "filename", valid).alias("out_file")))
+    return F.when(F.col("band_rule") == "members", daily).otherwise(single)
+
+
+def process_files(files: DataFrame, inventories: DataFrame, recipe_table: DataFrame, products: DataFrame) -> DataFrame:
+    """All recipes as one plan: files (file_id, recipe, filename, ...) to a row per output.
+
+    A file's inventory (file_id, info) gives its bands, the recipe the band,
+    the valid time (from the band or the file's name), the version (reference
+    time of the band, or none) and the outputs with their names; the product
+    comes from the filetype.  ``reason`` says why an output cannot be
+    registered, null if it can.  The recipe and product tables are small; the
+    only shuffle is that of files and inventories on the file.
+    """
+    x = dispatch(files, recipe_table).join(inventories.select("file_id", inventory_bands("info").alias("bands")), "file_id", "left")
+    x = x.withColumn("bands", F.coalesce("bands", F.array().cast(x.schema["bands"].dataType)))
+    x = x.withColumn("picked", pick_band())
+    valid = F.when(F.col("time_from") == "grib_valid", N.grib_time("picked.valid_time")).otherwise(N.date_from_name("filename"))
+    x = x.withColumn("valid", valid).withColumn("version", F.when(F.col("version_from") == "grib_ref", N.iso_text(N.grib_time("picked.ref_time"))))
+    made = x.select(*files.columns, "band_rule", F.size("bands").alias("n_bands"), F.col("picked.band").alias("band"), "valid", "version",
+                    F.explode(outputs(F.col("valid"))).alias("o")).select("*", "o.filetype", "o.out_file").drop("o")
+    known = made.join(products.select(F.col("name").alias("filetype"), "product_id"), "filetype", "left")
+    banded = F.col("band_rule").isin("first", "number", "comment")
+    reason = (F.when(banded & (F.col("n_bands") == 0), "no bands").when(banded & F.col("band").isNull(), "no band by the rule of the recipe")
+              .when(F.col("valid").isNull(), "no time").when(F.col("product_id").isNull(), "unknown filetype"))
+    return known.withColumn("reason", reason)
+
+
+def registrations(files: DataFrame, acquirables: DataFrame, inventories: DataFrame, recipe_table: DataFrame, products: DataFrame,
+                  route_prefix: str) -> DataFrame:
+    """From announced files (event_id, file_id, acquirable, recipe, filename) to registry rows, batch or stream.
+
+    The acquirable has to be in the catalog.  Rows with a ``reason`` are
+    reported and have no routed key; the others are ready for the registry.
     """
-    kp = N.key_parts("object_key")
-    parts = notices.select("event_id", "ts", kp["acquirable"].alias("acquirable"), kp["filename"].alias("filename"))
-    known = parts.join(acquirables.select(F.col("name").alias("acquirable")), "acquirable", "left_semi")
-    made = dispatch(known.withColumn("recipe", stand_in_recipe(F.col("event_id"))), recipe_table)
-    out = N.output_name("name_rule", "filename", "ts")
-    return made.select(
-        "event_id", "recipe", "filetype", N.uuid_of("filetype").alias("product_id"),
-        F.concat(F.lit(f"{route_prefix}/"), "filetype", F.lit("/"), out).alias("file"),
-        N.iso_text("ts").alias("datetime"), N.version_default(F.lit(None).cast("string")).alias("version"))
+    known = files.join(acquirables.select(F.col("name").alias("acquirable")), "acquirable", "left_semi")
+    x = process_files(known, inventories, recipe_table, products)
+    routed = F.when(F.col("reason").isNull(), F.concat(F.lit(f"{route_prefix}/"), "filetype", F.lit("/"), "out_file"))
+    return x.select("event_id", "recipe", "filetype", "product_id", routed.alias("file"), N.iso_text("valid").alias("datetime"),
+                    N.version_default("version").alias("version"), "reason")

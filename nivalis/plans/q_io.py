@@ -24,7 +24,7 @@ from ..sinks import documents as D
 from ..sinks import grids as S
 from ..sources import rasters as R
 from .q_grid import _SQL_G, raw_grid
-from .q_records import SQL_KP, SQL_PRODUCTS, SQL_RECIPES, SQL_REGISTRATIONS, _sql_hv
+from .q_records import SQL_PRODUCTS, SQL_REGISTRATIONS, _sql_hv, band_inventory_json
 from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, product_table
 from .q_transforms import _SQL_GEO, _SQL_RULES, CROP, SQL_HOLED, SQL_SHIFT, georef_times, holed_zones, zone_names
 from .registry import register
@@ -111,20 +111,6 @@ INVENTORY = T.StructType([T.StructField("bands", T.ArrayType(T.StructType([
 ])))])
 
 
-def band_inventory_json(fx: Fixtures) -> DataFrame:
-    """Inventory JSON text per file (what a metadata call prints); every 13th file is unreadable."""
-    b = fx.band
-    per_file = b.groupBy("file_id").agg(
-        F.sort_array(F.collect_list(F.struct("band", "valid_time", "comment"))).alias("raw"))
-    per_file = per_file.select("file_id", F.transform("raw", lambda x: F.struct(
-        x["band"].alias("band"),
-        F.create_map(F.lit(""), F.create_map(F.lit("GRIB_VALID_TIME"), x["valid_time"],
-                                             F.lit("GRIB_COMMENT"), x["comment"])).alias("metadata"))).alias("bands"))
-    js = F.to_json(F.struct("bands"))
-    return per_file.select("file_id", F.when(F.col("file_id") % 13 == 0, F.lit("ERROR 4: not recognized"))
-                           .otherwise(js).alias("info"))
-
-
 @register("band_inventory_scan", sql_ctes(("v_band",), [], """
 select file_id, cast(row_number() over (partition by file_id order by band) - 1 as int) as pos, band,
        valid_time, comment from v_band where file_id % 13 <> 0"""))
@@ -296,10 +282,9 @@ def publish_manifest(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- streams
-@register("notice_stream", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES, SQL_REGISTRATIONS],
-                                    "select * from registrations"))
+@register("notice_stream", sql_ctes(("v_notice", "v_acquirable", "v_band"), SQL_REGISTRATIONS, "select * from registrations"))
 def notice_stream(spark, sf_dir):
-    """From the arriving notices to registry rows: catalog check, recipe, name, product, routed key, version."""
+    """From the arriving notices to registry rows: catalog check, recipe, bands of the file, times, version, name, product, routed key."""
     from ..streaming.notices import run_notice_stream
     return run_notice_stream(spark, sf_dir)
 

@@ -41,7 +41,54 @@ def _sql_output_name(rule, n, ts):
             f"when {rule} = 'append_tif' then concat({n}, '.tif') "
             f"when {rule} = 'cog_suffix' then concat(case when position('.' in substr({n}, 2)) > 0 "
             f"then regexp_replace({n}, '\\.[^.]*$', '') else {n} end, '_cloud_optimized.tif') "
-            f"when {rule} = 'date_prefix' then concat(strftime({ts}, '%Y%m%d'), '_', {n}) end")
+            f"when {rule} = 'date_prefix' then strftime({ts}, '%Y%m%d') || '_' || {n} end")
+
+
+#: A filetype that recipes make and the product catalog does not know.
+UNLISTED = "prism_tmin_early"
+FILETYPES = [f for f in dict.fromkeys([*[r[-1] for r in C.RECIPES if r[1] != "members"], *C.DAILY_OUTPUTS]) if f != UNLISTED]
+
+
+def filetype_products(fx: Fixtures) -> DataFrame:
+    """The product catalog: name and id of every known filetype."""
+    names = fx.spark.sql("select name from values " + ", ".join(f"('{f}')" for f in FILETYPES) + " as v(name)")
+    return C.products_from_names(names)
+
+
+def stand_in_name(recipe, number, ts) -> "F.Column":
+    """Stand-in fixture: the name under which a product's file arrives; every 17th name has a broken date."""
+    day = F.when(number % 17 == 0, F.lit("2020")).otherwise(F.date_format(ts, "yyyyMMdd"))
+    return (F.when(recipe.startswith("prism_"), F.concat(F.lit("PRISM_"), F.split_part(recipe, F.lit("_"), F.lit(2)), F.lit("_early_4kmD2_"), day, F.lit("_bil.zip")))
+            .when(recipe == "nohrsc_snodas_unmasked", F.concat(F.lit("SNODAS_unmasked_"), day, F.lit(".tar")))
+            .when(recipe == "wpc_qpf_2p5km", F.concat(F.lit("p06m_"), number.cast("string"), F.lit(".grb")))
+            .when(recipe == "ncep_rtma_ru_anl", F.concat(F.lit("rtma2p5_ru.t"), F.date_format(ts, "HH"), F.lit("00z.2dvaranl_ndfd.grb2")))
+            .when(recipe.startswith("ncep_mrms"), F.concat(F.lit("MRMS_"), number.cast("string"), F.lit(".grib2.gz")))
+            .otherwise(F.concat(recipe, F.lit("_KWBR_"), number.cast("string"))))
+
+
+def announced_of(notice: DataFrame) -> DataFrame:
+    """Files that notices announce: event_id, file_id, acquirable, recipe, filename; the file of event n has inventory n."""
+    recipe = C.stand_in_recipe(F.col("event_id"))
+    return notice.select("event_id", F.col("event_id").alias("file_id"), N.key_parts("object_key")["acquirable"].alias("acquirable"),
+                         recipe.alias("recipe"), stand_in_name(recipe, F.col("event_id"), F.col("ts")).alias("filename"))
+
+
+def band_inventory_json(fx: Fixtures) -> DataFrame:
+    """Inventory JSON text per file (what a metadata call prints); every 13th file is unreadable.
+
+    The stand-in reference time of band n lies 6 n hours before its valid time.
+    """
+    b = fx.band
+    ref = F.concat((F.split_part("valid_time", F.lit(" "), F.lit(1)).cast("bigint") - 21600 * F.col("band")).cast("string"), F.lit(" sec UTC"))
+    per_file = b.groupBy("file_id").agg(
+        F.sort_array(F.collect_list(F.struct("band", "valid_time", "comment", ref.alias("ref_time")))).alias("raw"))
+    per_file = per_file.select("file_id", F.transform("raw", lambda x: F.struct(
+        x["band"].alias("band"),
+        F.create_map(F.lit(""), F.create_map(F.lit("GRIB_VALID_TIME"), x["valid_time"], F.lit("GRIB_REF_TIME"), x["ref_time"],
+                                             F.lit("GRIB_COMMENT"), x["comment"])).alias("metadata"))).alias("bands"))
+    js = F.to_json(F.struct("bands"))
+    return per_file.select("file_id", F.when(F.col("file_id") % 13 == 0, F.lit("ERROR 4: not recognized"))
+                           .otherwise(js).alias("info"))
 
 
 def key_parts_df(fx: Fixtures):
@@ -98,22 +145,67 @@ def acquirable_anti_join(spark, sf_dir):
     return kp.join(cat, "acquirable", "left_anti").select("event_id", "acquirable", "filename")
 
 
-def dispatched(fx: Fixtures):
-    kp = key_parts_df(fx)
-    valid = kp.join(fx.acquirable.withColumnRenamed("name", "acquirable"), "acquirable", "left_semi")
-    return C.dispatch(valid.withColumn("recipe", C.stand_in_recipe(F.col("event_id"))), C.recipes(fx.spark))
+SQL_DAY8 = "case when event_id % 17 = 0 then '2020' else strftime(ts, '%Y%m%d') end"
+SQL_ANNOUNCED = ("announced", f"""
+select event_id, ts, acquirable, recipe,
+       case when starts_with(recipe, 'prism_') then concat('PRISM_', split_part(recipe, '_', 2), '_early_4kmD2_', {SQL_DAY8}, '_bil.zip')
+            when recipe = 'nohrsc_snodas_unmasked' then concat('SNODAS_unmasked_', {SQL_DAY8}, '.tar')
+            when recipe = 'wpc_qpf_2p5km' then concat('p06m_', event_id, '.grb')
+            when recipe = 'ncep_rtma_ru_anl' then concat('rtma2p5_ru.t', strftime(ts, '%H'), '00z.2dvaranl_ndfd.grb2')
+            when starts_with(recipe, 'ncep_mrms') then concat('MRMS_', event_id, '.grib2.gz')
+            else concat(recipe, '_KWBR_', event_id) end as filename
+from (select k.*, {_SQL_RECIPE_OF} as recipe from kp k) q""")
+_SQL_NAME_DATE = ("coalesce(try_strptime(nullif(regexp_extract(a.filename, '^SNODAS_unmasked_([0-9]{8})\\.tar$', 1), ''), '%Y%m%d') + interval 6 hour, "
+                  "try_strptime(nullif(regexp_extract(a.filename, '^PRISM_[a-z]+_early_4kmD2_([0-9]{8})_bil\\.zip$', 1), ''), '%Y%m%d'))")
+_SQL_BAND_TS = "(timestamp '1970-01-01 00:00:00' + to_seconds(cast(split_part(b.valid_time, ' ', 1) as bigint){}))"
 
 
-@register("processor_dispatch", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES], f"""
-select k.event_id, k.acquirable, r.recipe, r.filetype, r.name_rule,
-       {_sql_output_name('r.name_rule', 'k.filename', 'k.ts')} as out_file
-from kp k join recipes r on r.recipe = {_SQL_RECIPE_OF}
-where k.acquirable in (select name from v_acquirable)"""))
+def _sql_daily_name(pattern: str) -> str:
+    head, mid, tail = pattern.split("{}")
+    return f"'{head}zz{mid}' || strftime(valid, '%Y%m%d') || '{tail}_cloud_optimized.tif'"
+
+
+SQL_REGISTRATIONS = [SQL_KP, SQL_RECIPES, SQL_ANNOUNCED, ("readable", "select * from v_band where file_id % 13 <> 0"), ("picks", """
+select a.event_id, any_value(a.acquirable) as acquirable, any_value(a.filename) as filename, any_value(r.recipe) as recipe, any_value(r.filetype) as filetype,
+       any_value(r.band_rule) as band_rule, any_value(r.time_from) as time_from, any_value(r.version_from) as version_from,
+       any_value(r.name_rule) as name_rule, count(b.band) as n_bands,
+       case any_value(r.band_rule)
+         when 'number' then min(b.band) filter (where b.band = r.band_number)
+         when 'comment' then coalesce(min(b.band) filter (where contains(b.comment, r.band_comment)), max(b.band))
+         when 'first' then min(b.band) end as band
+from announced a join recipes r on r.recipe = a.recipe left join readable b on b.file_id = a.event_id group by a.event_id"""), ("timed", f"""
+select a.*, case when a.time_from = 'grib_valid' then {_SQL_BAND_TS.format('')} else {_SQL_NAME_DATE} end as valid,
+       case when a.version_from = 'grib_ref' then strftime({_SQL_BAND_TS.format(' - 21600 * b.band')}, '%Y-%m-%dT%H:%M:%S') end as version
+from picks a left join readable b on b.file_id = a.event_id and b.band = a.band"""), ("made", f"""
+select t.* exclude (filetype), filetype, {_sql_output_name('t.name_rule', 't.filename', 't.valid')} as out_file from timed t where band_rule <> 'members'
+union all
+select t.* exclude (filetype), o.filetype, case o.filetype {' '.join(f"when '{ft}' then {_sql_daily_name(p)}" for ft, p in C.DAILY_OUTPUTS.items())} end
+from timed t, (select unnest([{', '.join(repr(ft) for ft in C.DAILY_OUTPUTS)}]) as filetype) o where band_rule = 'members'"""), ("judged", f"""
+select m.*, case when filetype in ({', '.join(repr(f) for f in FILETYPES)}) then {SQL_UUID.format(x='filetype')} end as product_id,
+       case when band_rule in ('first', 'number', 'comment') and n_bands = 0 then 'no bands'
+            when band_rule in ('first', 'number', 'comment') and band is null then 'no band by the rule of the recipe'
+            when valid is null then 'no time' when filetype = '{UNLISTED}' then 'unknown filetype' end as reason
+from made m"""), ("registrations", f"""
+select event_id, recipe, filetype, product_id, case when reason is null then concat('{ROUTE_PREFIX}/', filetype, '/', out_file) end as file,
+       strftime(valid, '%Y-%m-%dT%H:%M:%S') as datetime, coalesce(version, '{N.VERSION_DEFAULT}') as version, reason
+from judged where acquirable in (select name from v_acquirable)""")]
+
+
+def registrations_df(fx: Fixtures) -> DataFrame:
+    return C.registrations(announced_of(fx.notice), fx.acquirable, band_inventory_json(fx), C.recipes(fx.spark), filetype_products(fx), ROUTE_PREFIX)
+
+
+def processed(fx: Fixtures) -> DataFrame:
+    """Every output of the files that valid notices announce."""
+    known = announced_of(fx.notice).join(fx.acquirable.withColumnRenamed("name", "acquirable"), "acquirable", "left_semi")
+    return C.process_files(known, band_inventory_json(fx), C.recipes(fx.spark), filetype_products(fx))
+
+
+@register("processor_dispatch", sql_ctes(("v_notice", "v_acquirable", "v_band"), SQL_REGISTRATIONS, """
+select event_id, acquirable, recipe, filetype, filename, out_file from judged where acquirable in (select name from v_acquirable)"""))
 def processor_dispatch(spark, sf_dir):
-    """Every valid notice with its recipe (all of them are reached) and output name."""
-    d = dispatched(Fixtures(spark, sf_dir))
-    return d.select("event_id", "acquirable", "recipe", "filetype", "name_rule",
-                    N.output_name("name_rule", "filename", "ts").alias("out_file"))
+    """Every valid notice with its recipe (all of them are reached) and what it makes; dates in names are the band's."""
+    return processed(Fixtures(spark, sf_dir)).select("event_id", "acquirable", "recipe", "filetype", "filename", "out_file")
 
 
 NAME_RULES = ["cut_grib2gz", "cut_grb", "append_tif", "cog_suffix", "date_prefix"]
@@ -136,30 +228,25 @@ def product_table(fx: Fixtures):
 SQL_PRODUCTS = ("products", f"select name, {SQL_UUID.format(x='name')} as product_id from v_acquirable")
 
 
-@register("product_id_join", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_PRODUCTS], """
-select k.event_id, k.acquirable as filetype, p.product_id from kp k join products p on p.name = k.acquirable"""))
+@register("product_id_join", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES, ("files", f"""
+select k.event_id, unnest(case when r.band_rule = 'members' then [{', '.join(repr(f) for f in C.DAILY_OUTPUTS)}] else [r.filetype] end) as filetype
+from kp k join recipes r on r.recipe = {_SQL_RECIPE_OF}""")], f"""
+select event_id, filetype, {SQL_UUID.format(x='filetype')} as product_id from files where filetype <> '{UNLISTED}'"""))
 def product_id_join(spark, sf_dir):
+    """The product of every output by its filetype; a filetype without a product drops out (and is reported with the registrations)."""
     fx = Fixtures(spark, sf_dir)
-    kp = key_parts_df(fx)
-    p = product_table(fx).withColumnRenamed("name", "filetype")
-    return kp.select("event_id", F.col("acquirable").alias("filetype")).join(
-        p, "filetype", "inner")
-
-
-SQL_REGISTRATIONS = ("registrations", f"""
-select k.event_id, r.recipe, r.filetype, {SQL_UUID.format(x='r.filetype')} as product_id,
-       concat('{ROUTE_PREFIX}/', r.filetype, '/', {_sql_output_name('r.name_rule', 'k.filename', 'k.ts')}) as file,
-       strftime(k.ts, '%Y-%m-%dT%H:%M:%S') as datetime, '{N.VERSION_DEFAULT}' as version
-from kp k join recipes r on r.recipe = {_SQL_RECIPE_OF}
-where k.acquirable in (select name from v_acquirable)""")
+    d = C.dispatch(announced_of(fx.notice), C.recipes(spark))
+    made = F.when(F.col("band_rule") == "members", F.array(*[F.lit(f) for f in C.DAILY_OUTPUTS])).otherwise(F.array("filetype"))
+    x = d.select("event_id", F.explode(made).alias("filetype"))
+    return x.join(filetype_products(fx).withColumnRenamed("name", "filetype"), "filetype").select("event_id", "filetype", "product_id")
 
 
-@register("routed_key", sql_ctes(("v_notice", "v_acquirable"), [SQL_KP, SQL_RECIPES, SQL_REGISTRATIONS],
-                                 "select event_id, file as write_key from registrations"))
+@register("routed_key", sql_ctes(("v_notice", "v_acquirable", "v_band"), SQL_REGISTRATIONS,
+                                 "select event_id, file as write_key from registrations where reason is null"))
 def routed_key(spark, sf_dir):
-    """Key the output of each notice is written to: by the recipe's filetype and name rule."""
-    fx = Fixtures(spark, sf_dir)
-    return C.registrations(fx.notice, fx.acquirable, C.recipes(spark), ROUTE_PREFIX).select("event_id", F.col("file").alias("write_key"))
+    """Key every registered output is written to: by its filetype and the recipe's name rule."""
+    rows = registrations_df(Fixtures(spark, sf_dir)).where("reason is null")
+    return rows.select("event_id", F.col("file").alias("write_key"))
 
 
 @register("compound_extension", sql_ctes(("v_notice",), [SQL_KP], """
@@ -311,53 +398,16 @@ def first_match_pick(spark, sf_dir):
     return b.withColumn("k", F.row_number().over(w)).where("k = 1").select("file_id", "band", "comment")
 
 
-GRIB_RECIPES = [r[0] for r in C.RECIPES if r[1] in ("first", "number", "comment")]
-
-
-@register("product_recipes", sql_ctes(("v_band",), [SQL_RECIPES, ("assign", f"""
-select distinct file_id, list_extract([{', '.join(repr(r) for r in GRIB_RECIPES)}], cast(file_id % {len(GRIB_RECIPES)} as int) + 1) as recipe
-from v_band"""), ("pick", """
-select a.file_id, r.filetype, r.version_from,
-       case r.band_rule
-         when 'number' then max(case when b.band = r.band_number then b.band end)
-         when 'comment' then coalesce(min(b.band) filter (where contains(b.comment, r.band_comment)), max(b.band))
-         else min(b.band) end as band
-from assign a join recipes r on r.recipe = a.recipe join v_band b on b.file_id = a.file_id
-group by a.file_id, r.filetype, r.version_from, r.band_rule, r.band_number, r.band_comment""")], f"""
-select p.file_id, p.filetype, p.band,
-       strftime({SQL_GT.format(s='b.valid_time')}, '%Y-%m-%dT%H:%M:%S') as datetime,
-       case when p.version_from = 'grib_ref' then strftime({SQL_GT.format(s='f.valid_time')}, '%Y-%m-%dT%H:%M:%S') end as version,
-       case when b.band is null then 'no band by the rule of the recipe' end as reason
-from pick p
-left join v_band b on b.file_id = p.file_id and b.band = p.band
-join (select file_id, arg_min(valid_time, band) as valid_time from v_band group by file_id) f on f.file_id = p.file_id"""))
+@register("product_recipes", sql_ctes(("v_notice", "v_band"), SQL_REGISTRATIONS[:-1], """
+select event_id as file_id, recipe, filetype, band, strftime(valid, '%Y-%m-%dT%H:%M:%S') as datetime, version, out_file, reason from judged"""))
 def product_recipes(spark, sf_dir):
-    """One plan for all GRIB recipes: pick the band by rule, then time and version.
+    """One plan for all recipes over all files: band by rule, valid time, reference time, version and output names.
 
-    The recipe of a stand-in file is chosen by its id (fixture rule); the
-    reference-time band is stood in by the first band's valid time.
+    Outputs that cannot be registered (no bands, no band by the rule, no time, a filetype without a product) have their reason.
     """
-    b = Fixtures(spark, sf_dir).band
-    names = F.array(*[F.lit(r) for r in GRIB_RECIPES])
-    files = b.select("file_id").distinct().select(
-        "file_id", F.element_at(names, (F.col("file_id") % len(GRIB_RECIPES)).cast("int") + 1).alias("recipe"))
-    fr = C.dispatch(files, C.recipes(spark))
-    x = fr.join(b, "file_id")
-    bs = F.struct("band", "valid_time")
-    by_rule = (
-        F.when(F.col("band_rule") == "number", F.max(F.when(F.col("band") == F.col("band_number"), bs)))
-        .when(F.col("band_rule") == "comment", F.coalesce(
-            F.min(F.when(F.col("comment").contains(F.col("band_comment")), bs)), F.max(bs)))
-        .otherwise(F.min(bs))
-    )
-    g = x.groupBy("file_id", "filetype", "version_from", "band_rule", "band_number", "band_comment").agg(
-        by_rule.alias("s"), F.min(bs).alias("first"))
-    return g.select(
-        "file_id", "filetype", F.col("s.band").alias("band"),
-        N.iso_text(N.grib_time("s.valid_time")).alias("datetime"),
-        F.when(F.col("version_from") == "grib_ref", N.iso_text(N.grib_time("first.valid_time"))).alias("version"),
-        F.when(F.col("s").isNull(), "no band by the rule of the recipe").alias("reason"),
-    )
+    fx = Fixtures(spark, sf_dir)
+    x = C.process_files(announced_of(fx.notice), band_inventory_json(fx), C.recipes(spark), filetype_products(fx))
+    return x.select("file_id", "recipe", "filetype", "band", N.iso_text("valid").alias("datetime"), "version", "out_file", "reason")
 
 
 # ---------------------------------------------------------------- dates/names

@@ -124,14 +124,14 @@ def test_stream_equals_batch(spark):
     import __spark_entry__ as e
     from nivalis.fixtures import Fixtures
     from nivalis.operators import catalog as C
-    from nivalis.plans.q_records import ROUTE_PREFIX
+    from nivalis.plans.q_records import registrations_df
     q = e.queries()
     fx = Fixtures(spark, SF_SMALL)
     stream = q["notice_stream"](spark, SF_SMALL)
-    batch = C.registrations(fx.notice, fx.acquirable, C.recipes(spark), ROUTE_PREFIX)
+    batch = registrations_df(fx)
     assert stream.columns == batch.columns
-    a = sorted(tuple(r) for r in stream.collect())
-    assert a == sorted(tuple(r) for r in batch.collect()) and len({r[1] for r in a}) == len(C.RECIPES)
+    a = sorted((tuple(r) for r in stream.collect()), key=str)
+    assert a == sorted((tuple(r) for r in batch.collect()), key=str) and len({r[1] for r in a}) == len(C.RECIPES)
     s = sorted(tuple(r) for r in q["registry_stream"](spark, SF_SMALL).collect())
     u = sorted(tuple(r) for r in q["registry_upsert"](spark, SF_SMALL).collect())
     assert s == u

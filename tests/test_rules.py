@@ -147,12 +147,20 @@ def test_conformity_counts_nodata_edges(spark):
     assert got == {1: (4, 4, True), 2: (1, 6, False)}
 
 
-def test_file_without_its_band_is_reported(spark):
+def test_outputs_that_cannot_be_registered_are_reported(spark):
+    from nivalis.operators import catalog as C
     from nivalis.plans.registry import QUERIES
-    got = QUERIES["product_recipes"](spark, SF_SMALL)
-    files = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey").distinct().count()
-    assert got.count() == files
-    assert got.where("band is null").count() == got.where("reason is not null").count() > 0
+    got = QUERIES["product_recipes"](spark, SF_SMALL).collect()
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert len({r.file_id for r in got}) == events and {r.recipe for r in got} == {r[0] for r in C.RECIPES}
+    assert {r.reason for r in got} == {None, "no bands", "no band by the rule of the recipe", "no time", "unknown filetype"}
+    for r in got:
+        if r.reason is None:
+            assert r.datetime and r.out_file
+        if r.recipe == "wpc_qpf_2p5km" and r.band is not None:
+            assert r.version < r.datetime
+        if r.recipe == "ncep_rtma_ru_anl" and r.band is not None:
+            assert r.band == 3 and r.out_file.startswith(r.datetime[:10].replace("-", "") + "_rtma")
 
 
 def test_every_target_cell_has_a_row(spark):
