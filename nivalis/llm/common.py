@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int, each: int):
+    """Plans that are made and run inside shuffle into partitions of about ``each`` rows, into the session's number at most.
+
+    For tables much smaller than the corpus: the session's number fits the corpus, and a task per partition
+    costs more than its rows there.  Holds for the whole session while it lasts.
+    """
+    name = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(own), 1 + rows // each)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def id_crc32(col) -> F.Column:
     """Unsigned crc32 of an integer id written as decimal text (null counts as the empty text)."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))

@@ -4,9 +4,12 @@ Every node of the edge table gets the smallest node it can reach.  In a round
 each node's larger neighbours are tied to the smallest node next to it (large
 star), then its smaller neighbours and itself are tied to the smallest of them
 (small star); components become stars in O(log^2 n) rounds.  A hub's
-neighbours are reduced by a partial aggregation to their minimum and never
-gathered.  Every round is written to the shared folder, so lineage stays short
-and a lost executor costs its running tasks only.
+neighbours are reduced to their minimum by a partial aggregation; they meet
+that minimum in a join on the hub, whose rows adaptive skew handling splits.
+Every round is written to the shared folder, so lineage stays short and a lost
+executor costs its running tasks only.  The rounds end when one leaves the
+edges as they were, which their number and two digests of them tell (128 bits,
+added and xored, so no order and no shuffle is needed).
 """
 
 from __future__ import annotations
@@ -14,25 +17,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import partitions_for, stage
+
+#: Edges in one partition of a round.
+EDGES = 200_000
+
+
+def digest(edges: DataFrame) -> tuple:
+    """Number of edges and two digests over all of them."""
+    h = F.xxhash64("a", "b")
+    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(h), F.lit(0)),
+                           F.coalesce(F.sum(F.xxhash64("b", "a").cast("decimal(20,0)")), F.lit(0))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component for every node of ``edges`` (a, b); loops and repeated edges do no harm."""
+    spark = edges.sparkSession
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(),
                   "component_edges")
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
-        large = stage(large, "large_star")
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        after = stage(small.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct(), "small_star")
-        if after.join(edges, ["a", "b"], "left_anti").isEmpty() and edges.join(after, ["a", "b"], "left_anti").isEmpty():
-            break
-        edges = after
-    # All edges now point from a node to the smallest node of its component.
-    return after.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        after.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    before = digest(edges)
+    if not before[0]:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    with partitions_for(spark, 2 * before[0], EDGES):
+        while True:
+            after = star_round(edges)
+            now = digest(after)
+            if now == before:
+                break
+            edges, before = after, now
+        # All edges now point from a node to the smallest node of its component.
+        roots = after.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
+        return stage(after.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), "components")
+
+
+def star_round(edges: DataFrame) -> DataFrame:
+    """The edges after a large and a small star."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+             .filter("a <> b").distinct())
+    large = stage(large, "large_star")
+    smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+    return stage(small.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct(), "small_star")

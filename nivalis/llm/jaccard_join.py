@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, plain_text, slices, stage
+from .common import WHITE_SPACE, partitions_for, plain_text, slices, stage
 from .components import components
 from .jaccard_core import shingle_sets, signatures, similar
 
@@ -55,6 +55,9 @@ COLUMNS = 4_096
 CELLS, PER_CELL = 256, 6
 #: Shingles of a task that are counted together.
 COUNTED = 3_000_000
+#: Shingles of the corpus for one partition of the buckets (about four tenths of them are signatures), and members of
+#: buckets for one partition of what follows.
+SHINGLES, MEMBERS = 1_000_000, 20_000
 #: Text of one step: shingles take many times the room of their text.
 STEP = 2 << 20
 
@@ -169,12 +172,12 @@ def shown(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sig long, node long, n long")
 
 
-def buckets(rows: DataFrame) -> DataFrame:
+def buckets(rows: DataFrame, shingles: int) -> DataFrame:
     """(bucket, node, n, first, first_n, pair): runs of one signature and neighbouring sizes with two nodes or more.
 
     ``pair`` marks what is known to be a bucket of two, which its one comparison decides.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + shingles // SHINGLES)
     ordered = rows.repartition(parts, "sig").sortWithinPartitions("sig", "n", "node")
 
     def run(batches):
@@ -338,8 +341,15 @@ def block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links_of(docs: DataFrame, described: DataFrame) -> DataFrame:
     """Links between nodes, enough to give every connected component."""
-    bucket = buckets(shown(docs, hot_shingles(described)))
     rows = described.filter("kind = 0")
+    shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bucket = buckets(shown(docs, hot_shingles(described)), shingles)
+    with partitions_for(docs.sparkSession, bucket.count(), MEMBERS):
+        return bucket_links(docs, rows, bucket)
+
+
+def bucket_links(docs: DataFrame, rows: DataFrame, bucket: DataFrame) -> DataFrame:
+    """Links among the members of the buckets."""
     met = bucket.select("node").distinct()
     sketches = stage(rows.select("node", "n", "sketch").join(met, "node", "left_semi").dropDuplicates(["node"]), "near_sketches")
     star = sketched(bucket.filter((F.col("node") != F.col("first")) & (4 * F.col("first_n") >= 3 * F.col("n")))
@@ -358,6 +368,8 @@ def links_of(docs: DataFrame, described: DataFrame) -> DataFrame:
               .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct())
     across = sketched(across, sketches)  # the few star pairs among them that failed are verified again
     large = left.filter(F.col("k") > LARGE)
+    if large.isEmpty():
+        return links.unionByName(verify(across, sets_of(docs, rows, ends(across))))
     group = components(large.select(F.col("first").alias("a"), F.col("node").alias("b")))
     members = stage(large.select("node", "component").distinct().join(
         group.select("node", F.col("component").alias("group")), "node").select("group", "node", "component"), "near_members")
