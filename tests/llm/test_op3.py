@@ -56,3 +56,46 @@ def test_edge_cases(spark):
     assert got[6] == "broken tags\nhere"
     assert got[None] == "a\n" + ("b " * 100_000).strip()
     assert html_text.pages_text(df.limit(0)).count() == 0
+
+
+SENTENCES = [f"This is sentence number {i} of the article, and it says something about the weather in the hills." for i in range(8)]
+ARTICLE = "<article><h1>Head</h1>" + "".join(f"<p>{s}</p>" for s in SENTENCES) + "</article>"
+WHOLE = "\n".join(["Head", *SENTENCES])
+
+
+def test_names_of_wrappers_lose_nothing():
+    for name in ("layout has-sidebar", "no-sidebar", "with-header", "comments-open", "related-work", "share-price",
+                 "form-of-government", "modal", "sidebar layout"):
+        assert html_text.extract(f"<body><div class='{name}'>{ARTICLE}</div></body>") == WHOLE, name
+    assert html_text.extract(f"<body><form action=x><nav>Menu</nav>{ARTICLE}<input></form></body>") == WHOLE
+    assert html_text.extract("<body><form>" + "".join(f"<p>{s}</p>" for s in SENTENCES) + "</form></body>") == "\n".join(SENTENCES)
+    inner = ARTICLE.replace("<p>", "<div class='related-work'><p>", 1).replace("</p>", "</p></div>", 1)
+    assert html_text.extract(f"<body>{inner}</body>") == WHOLE
+
+
+def test_marked_parts_go_from_inside_and_outside_the_article():
+    junk = "".join(f"<p>{s.replace('weather', 'price')}</p>" for s in SENTENCES)
+    for name in ("comments", "comment-list", "ad", "ad-slot", "nav-links", "share-buttons", "relatedPosts", "newsletter", "cookie-banner"):
+        assert html_text.extract(f"<body>{ARTICLE}<section class='{name}'>{junk}</section></body>") == WHOLE, name
+        inner = ARTICLE.replace("</article>", f"<div id='{name}'>{junk[:200]}</p></div></article>")
+        assert html_text.extract(f"<body>{inner}</body>") == WHOLE, name
+    replies = "".join(f"<article class='comment'><p>{s} Indeed.</p></article>" for s in SENTENCES * 3)
+    assert html_text.extract(f"<body>{ARTICLE}<section class='comments'>{replies}</section></body>") == WHOLE
+    plain = "<div id=text>" + "".join(f"<p>{s}</p>" for s in SENTENCES) + "</div>"
+    assert html_text.extract(f"<body>{plain}<section class='comments'>{replies}</section></body>") == "\n".join(SENTENCES)
+    assert html_text.extract(f"<body>{ARTICLE}<form><p>Leave your name and say what you think of it.</p></form></body>") == WHOLE
+
+
+def test_a_long_quote_is_not_the_region():
+    quote = [f"Quoted sentence {i}, which is long enough to be the greater part of everything on this page." for i in range(20)]
+    page = (f"<body><div><p>{SENTENCES[0]}</p><blockquote>" + "".join(f"<p>{q}</p>" for q in quote)
+            + f"</blockquote><p>{SENTENCES[1]}</p></div></body>")
+    assert html_text.extract(page) == "\n".join([SENTENCES[0], *quote, SENTENCES[1]])
+
+
+def test_clusters_decide_without_an_article():
+    links = "<ul>" + "".join(f"<li><a href=x><b><i>Page</i> {i}</b></a></li>" for i in range(12)) + "</ul>"
+    page = f"<body>{links}" + "".join(f"<p>{s}</p>" for s in SENTENCES) + f"{links}</body>"
+    got = html_text.extract(page).split("\n")
+    assert [line for line in got if line in SENTENCES] == SENTENCES
+    assert len(got) <= len(SENTENCES) + 2 * html_text.RADIUS
