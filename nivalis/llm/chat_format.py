@@ -21,6 +21,7 @@ empty result; columns that no mapping names are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,7 +126,11 @@ def unescape(text: Column) -> Column:
 
 
 def render(df: DataFrame) -> DataFrame:
-    """Add ``formatted`` and ``loss_spans`` (byte start and length of each assistant text) from ``turns``."""
+    """Add ``formatted`` and ``loss_spans`` (byte start and length of each assistant text) from ``turns``.
+
+    Columns of these two names are replaced; all others, whatever their names, stay.
+    """
+    mark = f"parts_{uuid.uuid4().hex}"
     parts = F.transform("turns", lambda t: F.struct(
         F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"),
         (t["role"] == "assistant").alias("loss")))
@@ -139,10 +144,10 @@ def render(df: DataFrame) -> DataFrame:
         return F.struct((start + size + len(tail)).cast("long").alias("at"),
                         F.when(p["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    return (df.withColumn("parts", parts)
-            .withColumn("formatted", F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), ""))
-            .withColumn("loss_spans", F.aggregate("parts", zero, step, lambda acc: acc["spans"]))
-            .drop("parts"))
+    return (df.withColumn(mark, parts)
+            .withColumn("formatted", F.array_join(F.transform(mark, lambda p: F.concat(p["head"], p["body"], F.lit(tail))), ""))
+            .withColumn("loss_spans", F.aggregate(mark, zero, step, lambda acc: acc["spans"]))
+            .drop(mark))
 
 
 def stage_rendered(df: DataFrame) -> DataFrame:
