@@ -16,6 +16,7 @@ empty table gives an empty result; other columns play no part.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,16 +91,20 @@ def number(rows: DataFrame, shards: int) -> DataFrame:
             .withColumn("slot", F.col("start") + F.col("place")).drop("start", "place", "part", "seq"))
 
 
-def write_shards(docs: DataFrame, shards: int, path: str) -> None:
-    """Write whole documents to one folder per shard."""
-    ids = docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id")).distinct()
+def write_shards(docs: DataFrame, shards: int, path: str) -> str:
+    """Write whole documents to one folder per shard, each from the task that reads it: only the ids pass through Python.
 
-    def place(batches):
-        for batch in batches:
-            keys = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(jump_hash(keys, shards), pa.int32())],
-                                             names=["key", "shard"])
+    Returns the name of the folder column: ``shard``, with as many underscores behind it as set it apart from the
+    table's own columns.
+    """
+    name = "shard"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+
+    @F.pandas_udf("int")
+    def shard_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(jump_hash(ids.to_numpy(), shards), dtype="int32")
 
-    keyed = ids.mapInArrow(place, "key long, shard int")
-    (docs.join(keyed, F.coalesce(docs["doc_id"], F.lit(0)) == keyed["key"]).drop("key")
-     .write.partitionBy("shard").parquet(path))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    docs.withColumn(name, shard_of(key)).write.partitionBy(name).parquet(path)
+    return name
