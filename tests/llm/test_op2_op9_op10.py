@@ -139,3 +139,41 @@ def test_heavy_group_takes_the_broadcast_path(spark):
     assert got.count() == 30_000
     heavy = got.filter("group_size = 10000")
     assert heavy.count() == 10_000 and heavy.filter("kept").count() == 1
+
+
+def test_group_sizes_over_three_batches_and_compaction(spark):
+    index = exact_dedup.DigestIndex(spark, scratch_path(spark, "t-index"), 4)
+    batches = [[(1, "ab"), (2, "cd")], [(3, "a b"), (4, "a  b"), (5, "ef")], [(6, "ab"), (7, "ef"), (8, "gh")]]
+    sizes = [{1: (1, 1), 2: (2, 1)}, {3: (1, 3), 4: (1, 3), 5: (5, 1)}, {6: (1, 4), 7: (5, 2), 8: (8, 1)}]
+    for batch, want in zip(batches, sizes):
+        got = exact_dedup.decide(docs_of(spark, batch), index).collect()
+        assert {r.doc_id: (r.keep_id, r.group_size) for r in got} == want
+        assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
+    rows = sorted(map(tuple, index.table().collect()), key=str)
+    whole = index.compact(scratch_path(spark, "t-index"))
+    assert sorted(map(tuple, whole.table().collect()), key=str) == rows
+    assert spark.table(whole.name).count() == len(rows) == 4
+    assert not spark.catalog.tableExists(index.name)
+    got = exact_dedup.decide(docs_of(spark, [(9, "g h")]), whole).first()
+    assert (got.keep_id, got.group_size, got.kept) == (8, 2, False)
+    whole.close()
+
+
+def test_shard_folders_with_clashing_columns(spark):
+    docs = (spark.range(40).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.lit("t").alias("text"),
+                                   F.col("id").alias("shard"), F.lit("k").alias("key"), F.lit("u").alias("Shard_")))
+    path = scratch_path(spark, "t-shards")
+    name = sharding.write_shards(docs, 5, path)
+    back = spark.read.parquet(path)
+    assert name == "shard__" and set(back.columns) == {*docs.columns, name}
+    want = {r.doc_id: r.shard for r in sharding.assign(docs, 5).collect()}
+    got = {r.doc_id: r[name] for r in back.collect()}
+    assert got == want and back.select(*docs.columns).exceptAll(docs).count() == 0 and len(got) == 40
+
+
+def test_render_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("p", "t", [("user", "hi"), ("assistant", "yes")])],
+                               "parts string, text string, turns array<struct<role: string, text: string>>")
+    row = chat_format.render(df).first()
+    assert (row.parts, row.text) == ("p", "t") and row.formatted.count("<|im_start|>") == 2
+    assert [row.formatted.encode()[s.start : s.start + s.len] for s in row.loss_spans] == [b"yes"]
