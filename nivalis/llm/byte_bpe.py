@@ -1,15 +1,15 @@
 """Byte-level BPE as a monoid: encode halves, join neighbours, decode by concatenation.
 
-A text is halved until a leaf is at most ``LEAF`` characters; leaves are encoded
-by the tiktoken library.  Two neighbours are joined by re-encoding one window
-around their border: it reaches left and right to the nearest *sure* cuts that
-are at least ``window`` characters away.  A sure cut is a place where the
+A text is halved until a leaf is at most ``LEAF`` characters, a line or two; leaves are
+encoded by the tiktoken library.  Two neighbours are joined by re-encoding one window
+around their border: it grows left and right from ``window`` characters to the nearest
+*sure* cuts.  A sure cut is a place where the
 pattern ends a match whatever comes before it: after a letter or a digit when a
 character of another class follows, or before white space that follows
 something else.  The pattern looks back nowhere and looks ahead one character,
 and only inside white space, so matches left and right of sure cuts cannot
-change and their tokens are provably stable; where no sure cut is found the
-window grows to the end of the part.  Joining is associative, so any tree gives
+change and their tokens are provably stable; where there is no sure cut the
+window is all of that part.  Joining is associative, so any tree gives
 the encoding of the whole text.
 
 Defined cases: null texts are empty and have no tokens; repeated rows are
@@ -29,8 +29,10 @@ from pyspark.sql import types as T
 
 from .common import plain_text, slices
 
-LEAF = 16_384
-WINDOW = 32
+LEAF = 128
+WINDOW = 1
+#: A place where a match ends whatever comes before it.
+SURE = r"(?:(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})|(?<=\S)(?=\s))"
 
 
 class BytePairMonoid:
@@ -44,7 +46,8 @@ class BytePairMonoid:
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.leaf, self.window = leaf, window
-        self.sure = regex.compile(r"(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})|(?<=\S)(?=\s)")
+        self.first_sure = regex.compile(SURE).search
+        self.last_sure = regex.compile("(?r)" + SURE).search
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= self.leaf:
@@ -59,26 +62,14 @@ class BytePairMonoid:
         return a[: len(a) - self._tokens(reversed(a), left[p:])] + middle + b[self._tokens(b, right[:q]):]
 
     def _cut_left(self, text: str) -> int:
-        """The last sure cut at least a window before the end, or 0; the window doubles until there is one."""
-        reach = self.window
-        while reach < len(text):
-            lo = len(text) - 2 * reach if 2 * reach < len(text) else 0
-            cuts = [m.start() for m in self.sure.finditer(text, max(0, lo), len(text) - reach + 1)]
-            cuts = [c for c in cuts if lo < c <= len(text) - reach]
-            if cuts:
-                return cuts[-1]
-            reach *= 2
-        return 0
+        """The last sure cut at least a window before the end, or 0."""
+        hit = self.last_sure(text, 0, len(text) - self.window + 1) if len(text) > self.window else None
+        return hit.start() if hit else 0
 
     def _cut_right(self, text: str) -> int:
         """The first sure cut at least a window after the start, or the end."""
-        reach = self.window
-        while reach < len(text):
-            hit = self.sure.search(text, reach, min(len(text), 2 * reach + 1))
-            if hit and 0 < hit.start() < len(text):
-                return hit.start()
-            reach *= 2
-        return len(text)
+        hit = self.first_sure(text, self.window) if len(text) > self.window else None
+        return hit.start() if hit else len(text)
 
     def _tokens(self, tokens, text: str) -> int:
         """How many tokens, in the order given, make up ``text`` (a sure cut is a token border)."""

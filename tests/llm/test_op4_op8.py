@@ -121,3 +121,23 @@ def test_token_files_of_texts_with_added_tokens(spark):
     got = sorted(token_files.read_back(spark, path, manifest, "ids array<int>", lambda ids: (ids.tolist(),)).collect())
     want = [[*PLAIN.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert [r.ids for r in got] == want and [r.start for r in got] == [0, len(want[0]), len(want[0]) + len(want[1])]
+
+
+def test_texts_pass_the_tree_with_the_parameters_of_the_query():
+    class Seen:
+        def __init__(self, encoding):
+            self.encoding, self.sizes = encoding, []
+
+        def encode_ordinary(self, text):
+            self.sizes.append(len(text))
+            return self.encoding.encode_ordinary(text)
+
+    monoid = byte_bpe.BytePairMonoid(RANKS, PATTERN)
+    whole, monoid.encoding = monoid.encoding, Seen(monoid.encoding)
+    for text in ("It's the 3rd of May, isn't it?  We'll see 2024 \n\n\t lines. " * 40, "各位 读者，天气 很好。 " * 90, "a b" * 200,
+                 "x" * 1000 + " 12 " + "y" * 1000):
+        monoid.encoding.sizes.clear()
+        assert monoid.encode(text) == whole.encode_ordinary(text)
+        assert len(monoid.encoding.sizes) > 2 * len(text) / byte_bpe.LEAF - 2
+        if "xx" not in text:
+            assert max(monoid.encoding.sizes) <= byte_bpe.LEAF
