@@ -340,7 +340,7 @@ def block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links_of(docs: DataFrame, described: DataFrame) -> DataFrame:
-    """Links between nodes, enough to give every connected component."""
+    """Links between nodes, enough to give every connected component: verified ones, or from a node to the component they give it."""
     rows = described.filter("kind = 0")
     shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bucket = buckets(shown(docs, hot_shingles(described)), shingles)
@@ -368,13 +368,14 @@ def bucket_links(docs: DataFrame, rows: DataFrame, bucket: DataFrame) -> DataFra
               .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct())
     across = sketched(across, sketches)  # the few star pairs among them that failed are verified again
     large = left.filter(F.col("k") > LARGE)
+    known = label.select(F.col("node").alias("a"), F.col("component").alias("b"))  # what the verified links came to
     if large.isEmpty():
-        return links.unionByName(verify(across, sets_of(docs, rows, ends(across))))
+        return known.unionByName(verify(across, sets_of(docs, rows, ends(across))))
     group = components(large.select(F.col("first").alias("a"), F.col("node").alias("b")))
     members = stage(large.select("node", "component").distinct().join(
         group.select("node", F.col("component").alias("group")), "node").select("group", "node", "component"), "near_members")
     sets = sets_of(docs, rows, ends(across).unionByName(members.select("node")).distinct())
-    return links.unionByName(verify(across, sets)).unionByName(block_links(members, sets))
+    return known.unionByName(verify(across, sets)).unionByName(block_links(members, sets))
 
 
 def labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
