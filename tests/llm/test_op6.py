@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 
 from conftest import SF_SMALL
 from nivalis.llm import jaccard_core, jaccard_join, queries
-from nivalis.llm.components import components
+from nivalis.llm import components as components_module
+from nivalis.llm.components import components, forest_of
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 SCHEMA = "doc_id long, text string, lang string, node long, n long"
@@ -150,3 +151,38 @@ def test_tables_of_one_row_of_three_words(spark):
         rows = [(7, " ".join("abcdef"[:n]))]
         docs = spark.createDataFrame([(*rows[0], "en", 1, 2)], SCHEMA)
         assert got_of(jaccard_join.report(docs)) == brute(rows)
+
+
+def reached(edges):
+    up = {v: v for e in edges for v in e}
+
+    def root(v):
+        while up[v] != v:
+            v = up[v]
+        return v
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {v: root(v) for v in up}
+
+
+@given(st.lists(st.tuples(st.integers(-40, 40), st.integers(-40, 40)).filter(lambda e: e[0] != e[1]), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_forest_reaches_the_smallest_node(edges):
+    a, b = (np.array([e[i] for e in edges], np.int64) for i in (0, 1))
+    node, least = forest_of(a, b)
+    want = reached(edges)
+    assert dict(zip(node.tolist(), least.tolist())) == {v: r for v, r in want.items() if v != r}
+
+
+def test_components_over_many_small_forests(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "EDGES", 7)
+    rng = random.Random(5)
+    edges = [(rng.randrange(-200, 200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(1000, 1060)]
+    edges += [(5000, 2000 + i) for i in range(40)] + [(3, 3)] * 3
+    edges = [e for e in edges if e[0] != e[1] or e[0] == 3] * 2
+    rng.shuffle(edges)
+    got = [tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    want = reached([e for e in edges if e[0] != e[1]])
+    assert len(got) == len(want) and dict(got) == want
