@@ -33,13 +33,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     This cuts the lineage with files every executor can see, so a lost
-    executor costs only its running tasks.
+    executor costs only its running tasks.  With ``files``, at most so many
+    tasks write it, each taking several partitions of the plan's last shuffle.
     """
     bound_batches(df.sparkSession)
+    df = df.coalesce(files) if files else df
     path = scratch_path(df.sparkSession, name)
     df.write.mode("error").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -50,13 +52,15 @@ def partitions_for(spark: SparkSession, rows: int, each: int):
     """Plans that are made and run inside shuffle into partitions of about ``each`` rows, into the session's number at most.
 
     For tables much smaller than the corpus: the session's number fits the corpus, and a task per partition
-    costs more than its rows there.  Holds for the whole session while it lasts.
+    costs more than its rows there.  Holds for the whole session while it lasts.  Gives the number of files of
+    such tables: that of the partitions, or of the session's cores where those are more.
     """
     name = "spark.sql.shuffle.partitions"
     own = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(own), 1 + rows // each)))
+    parts = min(int(own), 1 + rows // each)
+    spark.conf.set(name, str(parts))
     try:
-        yield
+        yield max(parts, spark.sparkContext.defaultParallelism)
     finally:
         spark.conf.set(name, own)
 

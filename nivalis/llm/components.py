@@ -83,23 +83,23 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     edges = stage(edges.select("a", "b").filter("a <> b"), "component_edges")
     n = edges.count()
-    with partitions_for(spark, 2 * n, EDGES):
+    with partitions_for(spark, 2 * n, EDGES) as files:
         # Tasks of the files' small pieces together: a forest over more edges leaves less to the rounds.
         edges = stage(forests(edges.coalesce(1 + n // EDGES)), "component_forests")
         while True:
-            nodes = stage(by_node(edges), "components")
+            nodes = stage(by_node(edges), "components", files)
             if nodes.filter("lo <> hi or lo is not null and above").isEmpty():
                 return nodes.select("node", F.coalesce("lo", "node").alias("component"))
-            edges = star_round(edges)
+            edges = star_round(edges, files)
 
 
-def star_round(edges: DataFrame) -> DataFrame:
+def star_round(edges: DataFrame, files: int) -> DataFrame:
     """The edges after a large and a small star."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
              .filter("a <> b").distinct())
-    large = stage(large, "large_star")
+    large = stage(large, "large_star", files)
     smallest = large.groupBy("a").agg(F.min("b").alias("m"))
     small = large.join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-    return stage(forests(small.unionByName(smallest.select("a", F.col("m").alias("b")))), "small_star")
+    return stage(forests(small.unionByName(smallest.select("a", F.col("m").alias("b"))).coalesce(files)), "small_star")

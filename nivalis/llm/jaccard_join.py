@@ -256,7 +256,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return stage(found, "near_sets")
 
 
-def sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def sketched(pairs: DataFrame, sketches: DataFrame, files: int) -> DataFrame:
     """The pairs (a, b) that their sketches allow to be similar."""
     both = pairs
     for side in ("a", "b"):
@@ -269,14 +269,14 @@ def sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             ok = [7 * _apart(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column("sketch_a"), batch.column("sketch_b"), n)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return stage(both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long"), "near_pairs")
+    return stage(both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").coalesce(files).mapInArrow(run, "a long, b long"), "near_pairs")
 
 
 def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, files: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"))
@@ -287,7 +287,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                   for x, y in zip(batch.column("set_a"), batch.column("set_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return stage(both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long"), "near_links")
+    return stage(both.select("a", "b", "set_a", "set_b").coalesce(files).mapInArrow(run, "a long, b long"), "near_links")
 
 
 def overlap(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -344,38 +344,38 @@ def links_of(docs: DataFrame, described: DataFrame) -> DataFrame:
     rows = described.filter("kind = 0")
     shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bucket = buckets(shown(docs, hot_shingles(described)), shingles)
-    with partitions_for(docs.sparkSession, bucket.count(), MEMBERS):
-        return bucket_links(docs, rows, bucket)
+    with partitions_for(docs.sparkSession, bucket.count(), MEMBERS) as files:
+        return bucket_links(docs, rows, bucket, files)
 
 
-def bucket_links(docs: DataFrame, rows: DataFrame, bucket: DataFrame) -> DataFrame:
+def bucket_links(docs: DataFrame, rows: DataFrame, bucket: DataFrame, files: int) -> DataFrame:
     """Links among the members of the buckets."""
     met = bucket.select("node").distinct()
-    sketches = stage(rows.select("node", "n", "sketch").join(met, "node", "left_semi").dropDuplicates(["node"]), "near_sketches")
+    sketches = stage(rows.select("node", "n", "sketch").join(met, "node", "left_semi").dropDuplicates(["node"]), "near_sketches", files)
     star = sketched(bucket.filter((F.col("node") != F.col("first")) & (4 * F.col("first_n") >= 3 * F.col("n")))
-                    .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sketches)
-    links = verify(star, sets_of(docs, rows, ends(star)))
+                    .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sketches, files)
+    links = verify(star, sets_of(docs, rows, ends(star)), files)
     label = components(links)
     named = bucket.filter(~F.col("pair")).select("bucket", "node", "n", "first").join(label, "node", "left").select(
         "bucket", "node", "n", "first", F.coalesce("component", "node").alias("component"))
     mixed = (named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("k"))
              .filter("lo <> hi").select("bucket", "k"))
-    left = stage(named.join(mixed, "bucket"), "near_mixed")
+    left = stage(named.join(mixed, "bucket"), "near_mixed", files)
     small = left.filter(F.col("k") <= LARGE)
     x, y = (small.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component")]) for s in ("x", "y"))
     across = (x.join(y, (x["bucket"] == y["bucket"]) & (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
                      & (4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y")))
               .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct())
-    across = sketched(across, sketches)  # the few star pairs among them that failed are verified again
+    across = sketched(across, sketches, files)  # the few star pairs among them that failed are verified again
     large = left.filter(F.col("k") > LARGE)
     known = label.select(F.col("node").alias("a"), F.col("component").alias("b"))  # what the verified links came to
     if large.isEmpty():
-        return known.unionByName(verify(across, sets_of(docs, rows, ends(across))))
+        return known.unionByName(verify(across, sets_of(docs, rows, ends(across)), files))
     group = components(large.select(F.col("first").alias("a"), F.col("node").alias("b")))
     members = stage(large.select("node", "component").distinct().join(
-        group.select("node", F.col("component").alias("group")), "node").select("group", "node", "component"), "near_members")
+        group.select("node", F.col("component").alias("group")), "node").select("group", "node", "component"), "near_members", files)
     sets = sets_of(docs, rows, ends(across).unionByName(members.select("node")).distinct())
-    return known.unionByName(verify(across, sets)).unionByName(block_links(members, sets))
+    return known.unionByName(verify(across, sets, files)).unionByName(block_links(members, sets))
 
 
 def labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
