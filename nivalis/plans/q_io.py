@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..fixtures import LATTICE, Fixtures, sql_ctes
 from ..functions import names as N
 from ..operators import catalog as C
+from ..operators import cells as K
 from ..operators import zones as Z
 from ..session import scratch_path
 from ..sinks import documents as D
@@ -26,7 +27,8 @@ from ..sources import rasters as R
 from .q_grid import _SQL_G, raw_grid
 from .q_records import SQL_PRODUCTS, SQL_REGISTRATIONS, _sql_hv, band_inventory_json
 from .q_records import SQL_EXISTING, SQL_FRESH, SQL_INSERTS, SQL_DEF, product_table
-from .q_transforms import _SQL_GEO, _SQL_RULES, CROP, SQL_HOLED, SQL_SHIFT, georef_times, holed_zones, zone_names
+from .q_transforms import _SQL_GEO, _SQL_RULES, CROP, SQL_CC_EXPR, SQL_HOLED, SQL_INTERPOLATE_ALL, SQL_SHIFT, georef_times, holed_zones
+from .q_transforms import interpolate_all, materialize, shifted_date, zone_names
 from .registry import register
 
 _SQL_RAW_SWE = f"""
@@ -250,34 +252,72 @@ def header_csv_append(spark, sf_dir):
     return spark.read.schema(HEADER_CSV).csv(path)
 
 
-# The four raw daily products and the band each one's files hold.
-PUBLISHED = {"swe": "swe", "snowdepth": "depth", "snowpack_average_temperature": "temp_k", "snowmelt": "melt"}
+# The five daily products and what each one's files hold.
+PUBLISHED = {"swe": "swe", "snowdepth": "depth", "snowpack_average_temperature": "temp_k", "snowmelt": "melt",
+             "coldcontent": SQL_CC_EXPR.format(t="temp_k", s="swe")}
+#: Cells of a file are 16-bit integers, so a file holds its grid divided by the smallest of these that makes all cells fit.
+SCALES = [10**i for i in range(10)]
+CELL_MOST = 32767
+#: Files are numbered by product and step.
+STEP_ROOM = 1_000_000
+
+_SQL_PUB = [
+    ("pub", "select * from all_i union all " + " union all ".join(
+        f"select '{name}' as product, t, r, c, {v} as v from g" for name, v in PUBLISHED.items())),
+    ("pub_scale", "select product, t, case " + " ".join(
+        f"when coalesce(max(abs(round(v, 6))), 0) < {CELL_MOST * s} then {s}" for s in SCALES)
+        + f" else {SCALES[-1]} end as scale from pub group by product, t"),
+    ("pub_cell", """
+select p.product, p.t, p.r, p.c, s.scale, cast(coalesce(floor(round(p.v, 6) / s.scale + 0.5), -9999) as int) as n
+from pub p join pub_scale s on s.product = p.product and s.t = p.t"""),
+    ("pub_file", f"""
+select l.product, l.t, l.scale, md5(unhex(string_agg(printf('%04x', (coalesce(x.n, -9999) + 65536) % 65536), '' order by l.r, l.c))) as md5
+from (select s.product, s.t, s.scale, rr.r, cc.c from pub_scale s, (select unnest(range({LATTICE})) as r) rr,
+             (select unnest(range({LATTICE})) as c) cc) l
+left join pub_cell x on x.product = l.product and x.t = l.t and x.r = l.r and x.c = l.c group by l.product, l.t, l.scale"""),
+]
+
+
+def file_scales(grids: DataFrame) -> DataFrame:
+    """product, t, scale: the smallest of SCALES that makes all cells of the grid fit 16 bits."""
+    largest = grids.groupBy("product", "t").agg(F.coalesce(F.max(F.abs(F.round("v", 6))), F.lit(0.0)).alias("largest"))
+    scale = F.lit(SCALES[-1])
+    for s in reversed(SCALES):
+        scale = F.when(F.col("largest") < CELL_MOST * s, F.lit(s)).otherwise(scale)
+    return largest.select("product", "t", scale.cast("int").alias("scale"))
+
+
+def scaled(grids: DataFrame, scales: DataFrame) -> DataFrame:
+    """The grids with their scales, cells as the whole numbers that their files hold (null for nodata)."""
+    whole = F.floor(F.round("v", 6) / F.col("scale") + 0.5)
+    return grids.join(scales, ["product", "t"]).withColumn("v", whole)
 
 
-@register("publish_manifest", sql_ctes(("v_grid",), [], "\nunion all ".join(f"""
-select cast(t as int) as t, '{name}' as product_name, '{uuid}' as product,
-       md5(unhex(string_agg(printf('%04x', case when cast(round({PUBLISHED[name]}) as int) < 0
-           then 65536 + cast(round({PUBLISHED[name]}) as int) else cast(round({PUBLISHED[name]}) as int) end), '' order by r, c))) as md5,
+@register("publish_manifest", sql_ctes(("v_grid", "v_mask"), [*SQL_INTERPOLATE_ALL, *_SQL_PUB], f"""
+select cast(f.t as int) as t, f.product as product_name, i.uuid as product, f.scale, f.md5,
        strftime(cast({SQL_SHIFT} as timestamp), '%Y-%m-%dT%H:%M:%S') as datetime
-from (select l.t, l.r, l.c, coalesce(g.{PUBLISHED[name]}, -9999) as {PUBLISHED[name]}
-      from (select t, rr.r, cc.c from (select distinct t from v_grid) tt, (select unnest(range({LATTICE})) as r) rr,
-                   (select unnest(range({LATTICE})) as c) cc) l
-      left join v_grid g on g.t = l.t and g.r = l.r and g.c = l.c) q group by t""" for name, uuid in C.PUBLISH_IDS if name in PUBLISHED)))
+from pub_file f join (select * from (values {', '.join(f"('{n}', '{u}')" for n, u in C.PUBLISH_IDS)}) as v(name, uuid)) i on i.name = f.product"""))
 def publish_manifest(spark, sf_dir):
-    """Payload of each publish call, every raw daily product with its own file: product id, md5 of the bytes, datetime."""
-    from .q_transforms import one, shifted_date
+    """Payload of each publish call, each of the ten products with its own files: product id, scale, md5 of the bytes, datetime."""
     fx = Fixtures(spark, sf_dir)
-    out = None
-    for name, col in PUBLISHED.items():
-        base = scratch_path(spark, "published")
-        R.write_grid_files(one(fx, col), base, LATTICE, LATTICE, kinds=("raw",)).write.format("noop").mode("overwrite").save()
-        files = R.read_binary(spark, os.path.join(base, "raw"), "*.bil")
-        d = files.select(_t_from_path(r"grid_(\d+)").alias("t"), F.lit(name).alias("product_name"),
-                         F.md5("content").alias("md5"))
-        out = d if out is None else out.unionByName(d)
+    daily = F.array(*[F.struct(F.lit(name).alias("product"), v.alias("v")) for name, v in (
+        ("swe", F.col("swe")), ("snowdepth", F.col("depth")), ("snowpack_average_temperature", F.col("temp_k")),
+        ("snowmelt", F.col("melt")), ("coldcontent", K.cold_content("temp_k", "swe")))])
+    grids = raw_grid(fx).select("t", "r", "c", F.explode(daily).alias("p")).select("p.product", "t", "r", "c", "p.v")
+    # Read twice, for the scales and for the files.
+    grids = materialize(grids.unionByName(interpolate_all(fx)), "published_grids")
+    files = F.lit(0)
+    for i, (name, _) in enumerate(C.PUBLISH_IDS):
+        files = F.when(F.col("product") == name, F.lit(i)).otherwise(files)
+    scales = file_scales(grids).withColumn("file", (files * STEP_ROOM + F.col("t")).cast("int"))
+    cells = scaled(grids, scales).select(F.col("file").alias("t"), "r", "c", "v")
+    base = scratch_path(spark, "published")
+    R.write_grid_files(cells, base, LATTICE, LATTICE, kinds=("raw",)).write.format("noop").mode("overwrite").save()
+    written = R.read_binary(spark, os.path.join(base, "raw"), "*.bil").select(
+        _t_from_path(r"grid_(\d+)").alias("file"), F.md5("content").alias("md5"))
     ids = F.broadcast(C.publish_ids(spark))          # a fixed table
-    x = out.join(ids, F.col("product_name") == F.col("name"))
-    return x.select("t", "product_name", F.col("product_uuid").alias("product"), "md5",
+    x = written.join(scales, "file").join(ids, F.col("product") == F.col("name"))
+    return x.select("t", F.col("product").alias("product_name"), F.col("product_uuid").alias("product"), "scale", "md5",
                     N.iso_text(shifted_date("t").cast("timestamp_ntz")).alias("datetime"))
 
 

@@ -323,9 +323,12 @@ _SQL_ALL = ("all_i", "\nunion all ".join(
     for name, src in zip(INTERPOLATED, ("swe_f", "depth_f", "temp_i", "melt_i", "cc_i"))))
 
 
-@register("interpolate_for_datetime", sql_ctes(("v_grid", "v_mask"), [
-    *_SQL_SWE_F, *_SQL_DEPTH_F[1:], *_sql_restored("temp_k", "temp_i"), *_sql_restored("melt", "melt_i"), _SQL_CCI, _SQL_ALL],
-    sql_pyramid("all_i", "product, t")))
+#: Up to all_i (product, t, r, c, v), the five interpolated products.
+SQL_INTERPOLATE_ALL = [*_SQL_SWE_F, *_SQL_DEPTH_F[1:], *_sql_restored("temp_k", "temp_i"), *_sql_restored("melt", "melt_i"),
+                       _SQL_CCI, _SQL_ALL]
+
+
+@register("interpolate_for_datetime", sql_ctes(("v_grid", "v_mask"), SQL_INTERPOLATE_ALL, sql_pyramid("all_i", "product, t")))
 def interpolate_for_datetime(spark, sf_dir):
     return rounded(with_pyramid(interpolate_all(Fixtures(spark, sf_dir)), keys=("product", "t")))
 

@@ -218,3 +218,17 @@ def test_listings_are_compared_without_contents(spark):
     assert {x.file: x.state for x in states.collect()} == {"a.tar": "same", "b.tar": "gone", "c.tar": "changed", "d.tar": "new"}
     spine = spark.createDataFrame([("a.tar",), ("d.tar",), ("z.tar",)], "archive string")
     assert {x.archive: x.state for x in L.against_spine(states, spine).collect()} == {"a.tar": "same", "d.tar": "new", "z.tar": "missing"}
+
+
+def test_published_cells_fit_their_files(spark):
+    from nivalis.plans import q_io
+
+    rows = [("a", 1, 0, 0, 88_000.0), ("a", 1, 0, 1, -15.0), ("a", 1, 0, 2, None), ("a", 2, 0, 0, 32_766.4), ("b", 1, 0, 0, None),
+            ("b", 2, 0, 0, 32_767.0), ("b", 3, 0, 0, -5e8)]
+    grids = spark.createDataFrame(rows, "product string, t int, r int, c int, v double")
+    scales = q_io.file_scales(grids)
+    assert {(r.product, r.t): r.scale for r in scales.collect()} == {
+        ("a", 1): 10, ("a", 2): 1, ("b", 1): 1, ("b", 2): 10, ("b", 3): 100_000}
+    got = {(r.product, r.t, r.c): r.v for r in q_io.scaled(grids, scales).collect()}
+    assert got == {("a", 1, 0): 8_800, ("a", 1, 1): -1, ("a", 1, 2): None, ("a", 2, 0): 32_766, ("b", 1, 0): None,
+                   ("b", 2, 0): 3_277, ("b", 3, 0): -5_000}
