@@ -24,6 +24,7 @@ from .session import scratch_path, table
 # Fixed values of the fixture definition.
 LATTICE = 64            # rows = columns of the stand-in grid
 NODATA = -9999.0        # in-band sentinel of raw grids
+BAND_ROWS = 500_000     # rows of lineitem that a task groups to bands
 
 
 def epoch_seconds_ntz(col):
@@ -180,18 +181,27 @@ class Fixtures:
 
     @cached_property
     def band(self) -> DataFrame:
-        """Band inventory, one file per order (``v_band``)."""
+        """Band inventory, one file per order (``v_band``); the bands of a file lie in one partition.
+
+        The partitions follow the rows of the table, so what a task holds does
+        not grow with it, and grouping by file needs no further shuffle.  Flags
+        are ranked in their order: groups of numbers are hashed, those of texts
+        are sorted with all their rows.
+        """
         li = self.t("lineitem")
-        g = li.groupBy(
-            F.col("l_orderkey").alias("file_id"), F.col("l_linenumber").alias("band")
-        ).agg(
-            F.min("l_returnflag").alias("rf"),
-            F.min(epoch_seconds_ntz("l_shipdate")).alias("ep"),
+        flag = F.col("l_returnflag")
+        rank = (F.when(flag < "A", 0).when(flag == "A", 1).when(flag < "N", 2).when(flag == "N", 3)
+                .when(flag.isNotNull(), 4))
+        rows = li.select(
+            F.col("l_orderkey").alias("file_id"), F.col("l_linenumber").alias("band"),
+            rank.alias("rf"), epoch_seconds_ntz("l_shipdate").alias("ep"),
         )
+        g = rows.repartition(1 + li.count() // BAND_ROWS, "file_id").groupBy("file_id", "band").agg(
+            F.min("rf").alias("rf"), F.min("ep").alias("ep"))
         return g.select(
             "file_id", "band",
-            F.when(F.col("rf") == "A", "Total precipitation [kg/(m^2)]")
-            .when(F.col("rf") == "N", "Temperature [C]")
+            F.when(F.col("rf") == 1, "Total precipitation [kg/(m^2)]")
+            .when(F.col("rf") == 3, "Temperature [C]")
             .otherwise("Wind speed [m/s]").alias("comment"),
             F.concat(F.col("ep").cast("string"), F.lit(" sec UTC")).alias("valid_time"),
         )

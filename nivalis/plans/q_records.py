@@ -377,12 +377,13 @@ select file_id, search,
 from v_band, (select unnest([{', '.join(repr(s) for s in SEARCH_TEXTS)}]) as search) s
 group by file_id, search"""))
 def band_by_comment(spark, sf_dir):
+    """All texts are searched in one grouping by file; only the picked bands are multiplied."""
     b = Fixtures(spark, sf_dir).band
-    x = b.select("*", F.explode(F.array(*[F.lit(s) for s in SEARCH_TEXTS])).alias("search"))
-    hit = F.when(F.col("comment").contains(F.col("search")), F.struct("band", "valid_time"))
-    g = x.groupBy("file_id", "search").agg(
-        F.coalesce(F.min(hit), F.max(F.struct("band", "valid_time"))).alias("s"))
-    return g.select("file_id", "search", "s.band", "s.valid_time")
+    row = F.struct("band", "valid_time")
+    picks = [F.struct(F.lit(s).alias("search"), F.coalesce(F.min(F.when(F.col("comment").contains(s), row)), F.max(row)).alias("s"))
+             for s in SEARCH_TEXTS]
+    g = b.groupBy("file_id").agg(F.array(*picks).alias("picks")).select("file_id", F.explode("picks").alias("p"))
+    return g.select("file_id", "p.search", "p.s.band", "p.s.valid_time")
 
 
 @register("first_match_pick", sql_ctes(("v_band",), [], """

@@ -215,6 +215,34 @@ def test_notices_meet_the_catalog_without_a_shuffle(spark):
         assert "hashpartitioning(acquirable" not in plan and "BroadcastHashJoin" in plan, key
 
 
+@pytest.mark.parametrize("n_files", [6, 60])
+def test_bands_are_picked_by_comment_after_one_shuffle_by_rows(spark, tmp_path, monkeypatch, n_files):
+    from nivalis import fixtures as FX
+    from nivalis.plans.registry import QUERIES
+    flags = [None, "", "A", "AA", "B", "N", "NA", "R"]
+    rows = [(None if f % 6 == 5 else f, None if (f + b) % 9 == 8 else b, flags[(f * 3 + b * 5 + k) % 8], None if (f + b + k) % 7 == 6 else (f + 3 * b + k) * 3600)
+            for f in range(n_files) for b in range(1, 8) for k in range(3)]
+    (spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_returnflag string, s long")
+     .withColumn("l_shipdate", F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, s)")).drop("s").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    monkeypatch.setattr(FX, "BAND_ROWS", 100, raising=False)
+    got = QUERIES["band_by_comment"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "hashpartitioning(file_id#" in plan and f", {1 + len(rows) // 100}), REPARTITION_BY_NUM" in plan
+    bands = {}
+    for f, b, flag, s in rows:
+        had = bands.setdefault(f, {}).setdefault(b, ([], []))
+        had[0].extend([flag] if flag is not None else [])
+        had[1].extend([s] if s is not None else [])
+    want = set()
+    for f, of in bands.items():
+        order = sorted(of, key=lambda b: (b is not None, b))
+        for search, flag in (("Total precipitation", "A"), ("Temperature [C]", "N")):
+            b = next((b for b in order if min(of[b][0], default=None) == flag), order[-1])
+            want.add((f, search, b, f"{min(of[b][1])} sec UTC" if of[b][1] else None))
+    found = [tuple(r) for r in got.select("file_id", "search", "band", "valid_time").collect()]
+    assert len(found) == len(want) and set(found) == want
+
+
 def test_registry_batch_reads_its_months_only(spark):
     from nivalis.session import scratch_path
     from nivalis.streaming import registry as REG
